@@ -90,13 +90,8 @@ def refresh_silver(spark: SparkSession, lake: Lake, start, end, settings: Settin
 
     A pure function of bronze: a rerun gives the same days again.
     """
-    bronze = tables.read_bronze(spark, lake.bronze)
-    first, last = start.date(), end.date()
-    stored = spark.read.parquet(lake.bronze).select(*bronze.columns, tables.WEEK)
-    weeks = stored.where(
-        F.col(tables.WEEK).between(first - timedelta(days=6), last)
-    ).drop(tables.WEEK)
-    candles = silver(in_window(weeks, start, end), settings.series_by_symbol)
+    bronze = tables.read_bronze(spark, lake.bronze, start=start, end=end)
+    candles = silver(bronze, settings.series_by_symbol)
     tables.overwrite_days(candles, lake.silver)
 
 

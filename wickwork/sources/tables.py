@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import week_start
-from ..operators.candles import before_cutoff
+from ..operators.candles import before_cutoff, in_window
 from ..operators.keys import upsert
 from ..schema import BRONZE, HISTORY_CSV, INTERVAL, NUMBERS
 
@@ -16,9 +17,20 @@ WEEK = "week_start"
 DAY = "ts_date"
 
 
-def read_bronze(spark: SparkSession, *paths: str) -> DataFrame:
-    """Bronze candles by declared schema; several folders are read as one table."""
-    return spark.read.schema(BRONZE).parquet(*paths)
+def read_bronze(
+    spark: SparkSession, *paths: str, start: datetime | None = None, end: datetime | None = None
+) -> DataFrame:
+    """Bronze candles by declared schema; several folders are read as one table.
+
+    With bounds only the week folders that can hold candles of [start, end) are read.
+    """
+    stored = spark.read.schema(BRONZE).parquet(*paths)
+    if start is not None:
+        stored = stored.where(F.col(WEEK) >= start.date() - timedelta(days=6))
+    if end is not None:
+        stored = stored.where(F.col(WEEK) <= end.date())
+    candles = stored.select(*BRONZE.names)
+    return candles if start is None or end is None else in_window(candles, start, end)
 
 
 def bronze_union(*frames: DataFrame) -> DataFrame:
