@@ -181,7 +181,7 @@ def test_bronze_round_trip_by_week(spark, tmp_path):
     assert back.schema.simpleString() == BRONZE.simpleString()
     got = [(r["open_time"], r["close"]) for r in back.orderBy("open_time").collect()]
     assert got == [(datetime(2024, 1, 1), 1.0), (datetime(2024, 1, 8), 105.0)]
-    assert list((tmp_path / "bronze" / "week_start=2024-01-01").glob("*.snappy.parquet"))
+    assert list((tmp_path / "bronze" / "week_start=2024-01-01").rglob("*.snappy.parquet"))
     week = tables.read_bronze(spark, path, start=START, end=START + timedelta(days=7))
     assert week.count() == 1
     plan = week._jdf.queryExecution().executedPlan().toString()

@@ -8,6 +8,7 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,13 +87,15 @@ def extract(
 
 
 def refresh_silver(spark: SparkSession, lake: Lake, start, end, settings: Settings = DEFAULTS):
-    """Rebuild the silver days of a window from every bronze extraction of them.
+    """Rebuild the silver days a window touches from every bronze extraction of them.
 
     A pure function of bronze: a rerun gives the same days again.
     """
-    bronze = tables.read_bronze(spark, lake.bronze, start=start, end=end)
-    candles = silver(bronze, settings.series_by_symbol)
-    tables.overwrite_days(candles, lake.silver)
+    midnight = {"hour": 0, "minute": 0, "second": 0, "microsecond": 0}
+    first = start.replace(**midnight)
+    last = (end - timedelta(microseconds=1)).replace(**midnight) + timedelta(days=1)
+    bronze = tables.read_bronze(spark, lake.bronze, start=first, end=last)
+    tables.overwrite_days(silver(bronze, settings.series_by_symbol), lake.silver)
 
 
 def _marks(spark: SparkSession, path: str, version: str) -> DataFrame | None:
@@ -147,6 +150,19 @@ def recent_candles(spark: SparkSession, lake: Lake, marks: DataFrame, rows: int)
     return probe.drop(tables.DAY)
 
 
+def written(seen: Observation) -> tuple[int, datetime | None]:
+    """Row count and latest time of a finished write.
+
+    Adaptive execution drops the observation together with an empty result, and
+    then there is no row to read.
+    """
+    try:
+        metrics = seen.get
+    except Py4JJavaError:
+        return 0, None
+    return metrics["n"], metrics.get("last")
+
+
 def run_increment(
     spark: SparkSession,
     lake: Lake,
@@ -205,10 +221,10 @@ def run_increment(
                 tables.rewrite_days(counted, path)
             else:
                 tables.append_days(counted, path)
-            inserted[name] = seen.get["n"]
+            inserted[name], latest = written(seen)
             if name == "features":
                 before = None if marks is None else marks.agg(F.max("mark")).first()[0]
-                last_ts = seen.get["last"] or before
+                last_ts = latest or before
         log("ok", inserted["features"], last_ts)
         return inserted
     except Exception as error:
@@ -255,8 +271,9 @@ def run_week(
         batch = extract(spark, landed, start, end, now, settings)
         extracted = batch.count()
         seen = Observation("loaded")
-        tables.write_bronze(batch.observe(seen, F.count(F.lit(1)).alias("n")), lake.bronze)
-        loaded = seen.get["n"]
+        counted = batch.observe(seen, F.count(F.lit(1)).alias("n"))
+        tables.write_bronze(counted, lake.bronze, f"{start:%Y%m%d%H%M}")
+        loaded, _ = written(seen)
         refresh_silver(spark, lake, start, end, settings)
         run_increment(spark, lake, settings, now)
         steps = check_tables(spark, lake, run_id)

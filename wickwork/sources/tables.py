@@ -8,12 +8,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import week_start
+from ..functions.scalars import week_label, week_start
 from ..operators.candles import before_cutoff, in_window
 from ..operators.keys import upsert
 from ..schema import BRONZE, HISTORY_CSV, INTERVAL, NUMBERS
 
 WEEK = "week_start"
+BATCH = "batch"
 DAY = "ts_date"
 
 
@@ -38,17 +39,22 @@ def bronze_union(*frames: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [f.select(*BRONZE.names) for f in frames])
 
 
-def write_bronze(candles: DataFrame, path: str) -> None:
-    """Snappy Parquet, one folder per week; a rerun replaces only its weeks."""
+def write_bronze(candles: DataFrame, path: str, batch: str | None = None) -> None:
+    """Snappy Parquet in folders per week and batch.
+
+    ``batch`` labels the extraction (the first day of its window); by default it is
+    the week.  A rerun of a batch replaces that batch, other batches stay.
+    """
+    label = F.lit(batch) if batch else week_label("open_time")
     (
         candles.select(*BRONZE.names)
-        .withColumn(WEEK, F.to_date(week_start("open_time")))
+        .withColumns({WEEK: F.to_date(week_start("open_time")), BATCH: label})
         .hint("rebalance", F.col(WEEK))
         .sortWithinPartitions("open_time")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
-        .partitionBy(WEEK)
+        .partitionBy(WEEK, BATCH)
         .parquet(path)
     )
 
