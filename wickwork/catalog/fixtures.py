@@ -109,13 +109,14 @@ def pinned_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every candle extracted once, those of even hours twice; the first pass has defects."""
-    b = bars(spark, sf_dir)
+    """Every candle extracted once, those of even hours twice; the first pass has defects.
+
+    Both passes come from one aggregation of the ticks.
+    """
     minute = F.minute("ts") % 20
 
-    def extraction(df: DataFrame, high: Column, close: Column, source: str, days: int):
-        return df.select(
-            "series_id",
+    def extraction(high: Column, close: Column, source: str, days: int) -> Column:
+        return F.struct(
             F.col("ts").alias("open_time"),
             (F.col("ts") + F.expr("INTERVAL 1 MINUTE")).alias("close_time"),
             F.col("open_price").alias("open"),
@@ -131,10 +132,10 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     high = F.when(minute == 7, F.col("low_price") - 1).otherwise(F.col("high_price"))
     close = F.when(minute != 11, F.col("close_price"))
-    first = extraction(b, high, close, "src_a", 1)
-    again = b.where(F.hour("ts") % 2 == 0)
-    second = extraction(again, F.col("high_price"), F.col("close_price"), "src_b", 8)
-    return first.unionByName(second)
+    first = extraction(high, close, "src_a", 1)
+    second = extraction(F.col("high_price"), F.col("close_price"), "src_b", 8)
+    passes = F.when(F.hour("ts") % 2 == 0, F.array(first, second)).otherwise(F.array(first))
+    return bars(spark, sf_dir).select("series_id", F.inline(passes))
 
 
 def bronze_only(df: DataFrame) -> DataFrame:

@@ -217,13 +217,13 @@ def _by_week(spark, d):
 
 @query(
     "coverage",
-    f"""SELECT week, symbol, row_count, round(coverage_pct, 6) AS coverage_pct,
-      round(span_hours, 6) AS span_hours, round(span_days, 6) AS span_days FROM ({_COVERED})""",
+    f"SELECT week, symbol, row_count, coverage_pct, span_hours, span_days FROM ({_COVERED})",
 )
 def coverage(spark, d):
     measured = P.coverage(_by_week(spark, d))
-    rounded = [F.round(c, 6).alias(c) for c in ("coverage_pct", "span_hours", "span_days")]
-    return measured.select("week", "symbol", "row_count", *rounded)
+    return measured.select(
+        "week", "symbol", "row_count", "coverage_pct", "span_hours", "span_days"
+    )
 
 
 def _level(good: str, fair: str) -> str:
@@ -252,14 +252,13 @@ _CHECKS = [
     "dq_checks",
     f"WITH m AS ({_COVERED}) "
     + " UNION ALL ".join(
-        f"SELECT week, symbol, '{name}' AS check_name, round({value}, 6) AS check_value, "
+        f"SELECT week, symbol, '{name}' AS check_name, {value} AS check_value, "
         f"{level} AS check_status, CAST({alert} AS VARCHAR) AS alert FROM m"
         for name, value, level, alert in _CHECKS
     ),
 )
 def dq_checks(spark, d):
-    checks = R.batch_checks(_by_week(spark, d), by=["week", "symbol"])
-    return checks.withColumn("check_value", F.round("check_value", 6))
+    return R.batch_checks(_by_week(spark, d), by=["week", "symbol"])
 
 
 def _rule_sql(rule: str, column: str, fails: str, source: str) -> str:
@@ -418,7 +417,7 @@ def scalar_time(spark, d):
 
 @query(
     "scalar_math",
-    """SELECT event_id, round(ln(value), 6) AS log_value,
+    """SELECT event_id, round(CASE WHEN value > 0 THEN ln(value) END, 6) AS log_value,
       round(value / NULLIF(user_id % 3, 0), 6) AS ratio,
       CASE WHEN event_id % 4 <> 0 THEN greatest(value, user_id) END AS larger,
       CASE WHEN event_id % 4 <> 0 THEN least(value, user_id) END AS smaller,

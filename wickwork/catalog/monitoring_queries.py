@@ -123,19 +123,23 @@ def runs_per_day(spark, d):
     return M.runs_per_day(X.run_log(spark, d))
 
 
-_SHARE = "CASE WHEN rows_extracted <> 0 AND rows_loaded <> 0 THEN rows_loaded / rows_extracted * 100 ELSE 100.0 END"
+_SHARE = (
+    "CASE WHEN rows_extracted <> 0 AND rows_loaded <> 0 "
+    "THEN rows_loaded / rows_extracted * 100 ELSE 100.0 END"
+)
 
 
 @query(
     "load_integrity",
-    f"""SELECT run_id, rows_extracted, rows_loaded, round({_SHARE}, 6) AS integrity_pct,
+    f"""SELECT run_id, rows_extracted, rows_loaded, {_SHARE} AS integrity_pct,
       CASE WHEN {_SHARE} >= 99 THEN 'green' WHEN {_SHARE} >= 95 THEN 'amber' ELSE 'red' END
         AS integrity_tier FROM ({X.RUN_LOG_SQL})""",
 )
 def load_integrity(spark, d):
     runs = M.with_load_integrity(X.run_log(spark, d))
-    share = F.round("integrity_pct", 6).alias("integrity_pct")
-    return runs.select("run_id", "rows_extracted", "rows_loaded", share, "integrity_tier")
+    return runs.select(
+        "run_id", "rows_extracted", "rows_loaded", "integrity_pct", "integrity_tier"
+    )
 
 
 # A run of the snapshot is one block of fifty consecutive events.

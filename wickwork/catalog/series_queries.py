@@ -21,10 +21,21 @@ from .registry import query
 KEY = ["series_id", "ts"]
 
 
+# Decimals to which the engines agree.  Maxima, minima and plain arithmetic agree bit
+# by bit; an average of prices in cents may end in a 5 at the seventh decimal.
+_LINES = ["tenkan", "kijun", "span_a", "span_b"]
+_DISTANCES = [*[f"{line}_dist" for line in _LINES], "cloud_thickness"]
+_EXACT = {*KEY, *_LINES, *_DISTANCES, *SIGNALS}
+_DECIMALS = {"vol_ma_60m": 7}
+
+
 def _out(df, *columns):
-    """Key and columns, doubles rounded to six decimals."""
+    """The columns, doubles that are not exact rounded."""
     doubles = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)}
-    return df.select(*[F.round(c, 6).alias(c) if c in doubles else F.col(c) for c in columns])
+    rounded = doubles - _EXACT
+    return df.select(
+        *[F.round(c, _DECIMALS.get(c, 6)).alias(c) if c in rounded else F.col(c) for c in columns]
+    )
 
 
 def _ln(x: str) -> str:
@@ -90,13 +101,15 @@ features AS (
 _FEATURES_WITH = f"WITH bars AS ({X.BARS}), {_RETURNS}"
 
 
-def _six(columns) -> str:
-    """Select list: signals as they are, everything else to six decimals."""
-    return ", ".join(c if c in SIGNALS else f"round({c}, 6) AS {c}" for c in columns)
+def _rounded_list(columns) -> str:
+    """Select list with the roundings of ``_out``."""
+    return ", ".join(
+        c if c in _EXACT else f"round({c}, {_DECIMALS.get(c, 6)}) AS {c}" for c in columns
+    )
 
 
 def _features_sql(*columns: str) -> str:
-    return f"{_FEATURES_WITH} SELECT series_id, ts, {_six(columns)} FROM features"
+    return f"{_FEATURES_WITH} SELECT series_id, ts, {_rounded_list(columns)} FROM features"
 
 
 _LABELS_WITH = f"""WITH bars AS ({X.BARS}),
@@ -153,9 +166,6 @@ def rolling_avg(spark, d):
     return _out(out, *KEY, "vol_ma_60m")
 
 
-_LINES = ["tenkan", "kijun", "span_a", "span_b"]
-
-
 def _ichimoku(df, w, keys):
     return P.with_ichimoku(df, w)
 
@@ -177,9 +187,6 @@ def volume_zscore(spark, d):
     return _out(P.with_volume_zscore(out), *KEY, "vol_zscore")
 
 
-_DISTANCES = [*[f"{line}_dist" for line in _LINES], "cloud_thickness"]
-
-
 @query("ichimoku_distances", _features_sql(*_DISTANCES))
 def ichimoku_distances(spark, d):
     out = P.with_distances(_over(spark, d, P.ICHIMOKU_HALO, _ichimoku))
@@ -246,7 +253,7 @@ def valid_label_horizon(spark, d):
 
 def _mart_sql(where: str = "") -> str:
     return f"""{_FEATURES_WITH} SELECT series_id, ts, 'v1' AS version_id,
-      ts + INTERVAL 1 DAY AS raw_ingested_at, 'events' AS source, {_six(FEATURES)},
+      ts + INTERVAL 1 DAY AS raw_ingested_at, 'events' AS source, {_rounded_list(FEATURES)},
       series_id AS symbol, '1m' AS timeframe FROM features {where}"""
 
 

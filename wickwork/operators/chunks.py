@@ -92,11 +92,12 @@ def split_with_halo(
     if chunk_rows is None:
         return whole
     plan = pinned(plan_chunks(df, halo, chunk_rows, series, ts))
-    if not plan.where(F.col(OWN) > 0).limit(1).count():
+    days, last = plan.agg(F.count(F.lit(1)), F.max(OWN)).first()
+    if not last:
         return whole
     return (
         df.withColumn(DAY, F.to_date(ts))
-        .join(broadcast_if_small(plan), [series, DAY])
+        .join(broadcast_if_small(plan, rows=days), [series, DAY])
         .drop(DAY)
         .withColumn(CHUNK, F.explode("_chunks"))
         .drop("_chunks")

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import broadcast_if_small, pinned
 from .dedupe import _first_by
 
 
@@ -30,20 +31,31 @@ def insert_ignore(
 def upsert(
     old: DataFrame, new: DataFrame, keys: list[str], order: list | None = None
 ) -> DataFrame:
-    """The table after replacing or adding the new rows."""
-    replaced = new.select(*keys).distinct()
+    """The table after replacing or adding the new rows.
+
+    The replaced keys are materialised: while they are few, the old rows stay where
+    they are; beyond that both sides are shuffled on the key.
+    """
+    replaced = broadcast_if_small(pinned(new.select(*keys).distinct()))
     return old.join(replaced, keys, "left_anti").unionByName(_one_per_key(new, keys, order))
 
 
 def fk_violations(
     child: DataFrame, parent: DataFrame, keys: dict[str, str] | list[str]
 ) -> DataFrame:
-    """Child rows whose complete key has no parent; a NULL in the key passes."""
+    """Child rows whose complete key has no parent; a NULL in the key passes.
+
+    The orphaned keys are found among distinct keys, so neither a key with very many
+    child rows nor repeated parents skew the join; the child rows themselves move
+    only if there are too many orphaned keys to broadcast.
+    """
     pairs = keys if isinstance(keys, dict) else {k: k for k in keys}
-    parents = parent.select(*[F.col(p).alias(f"_fk_{c}") for c, p in pairs.items()]).distinct()
-    on = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_fk_{c}") for c in pairs])
-    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in pairs])
-    return child.where(complete).join(parents, on, "left_anti")
+    columns = list(pairs)
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+    parents = parent.select(*[F.col(p).alias(c) for c, p in pairs.items()]).distinct()
+    used = child.where(complete).select(*columns).distinct()
+    orphans = pinned(used.join(parents, columns, "left_anti"))
+    return child.join(broadcast_if_small(orphans), columns, "left_semi").select(*child.columns)
 
 
 def active_version(versions: DataFrame) -> DataFrame:

@@ -193,8 +193,9 @@ def monitoring_snapshot(
     """One JSON document per run: the run, recent history, its steps, its metrics.
 
     ``steps`` and the long-form ``metrics`` carry run_id.  A run with more steps than
-    a document holds is spread over numbered parts by a hash of the step, so no task
-    ever nests an unbounded list; the parts together hold every step once.
+    a document holds is spread evenly over numbered parts, equal steps included, so no
+    task ever nests an unbounded list; the parts together hold every step once.
+    ``steps`` must be a stored table, whose row numbering is the same on a retry.
     """
     step = F.struct(*[F.col(c) for c in steps.columns if c != "run_id"])
     counts = steps.groupBy("run_id").agg(F.count(F.lit(1)).alias("_n"))
@@ -203,9 +204,10 @@ def monitoring_snapshot(
             "run_id", F.ceil(F.col("_n") / steps_per_document).alias("_parts")
         )
     )
-    spread = F.pmod(F.xxhash64(step), F.coalesce("_parts", F.lit(1).cast("bigint")))
+    spread = F.pmod("_row", F.coalesce("_parts", F.lit(1).cast("bigint")))
     nested = (
-        steps.join(broadcast_if_small(large), "run_id", "left")
+        steps.withColumn("_row", F.monotonically_increasing_id())
+        .join(broadcast_if_small(large), "run_id", "left")
         .groupBy("run_id", spread.alias("part"))
         .agg(F.sort_array(F.collect_list(step)).alias("steps"))
     )

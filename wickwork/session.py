@@ -48,14 +48,17 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, rows: int | None = None
+) -> DataFrame:
     """Broadcast hint behind a count; a larger table is left to a shuffled join.
 
-    ``df`` must be cheap to count, so pass a pinned or written table.
+    ``df`` must be cheap to count, so pass a pinned or written table, or its ``rows``
+    if they are known.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    if rows is None:
+        rows = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if rows <= max_rows else df
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
