@@ -7,7 +7,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wickwork.functions import series as S
-from wickwork.operators.chunks import CHUNK, OWN, Halo, plan_chunks, split_with_halo
+from wickwork.operators import chunks
+from wickwork.operators.chunks import CHUNK, OWN, Halo, plan_chunks, split_with_halo, task_count
 from wickwork.operators.rolling import Rolling, with_rolling
 from wickwork.plans.features import FEATURE_HALO, feature_set
 from wickwork.plans.labels import LABEL_HALO, label_set
@@ -80,6 +81,36 @@ def test_one_series_holding_most_rows_is_split(spark, make_candles):
     assert chunks["S"] >= 3 and chunks["T"] == 1
 
 
+def test_chunks_without_broadcast(spark, make_candles, monkeypatch):
+    """A plan table too large to broadcast meets the candles in a shuffled join."""
+    candles = random_candles(make_candles, 3000, 11, 0.5).cache()
+    want = label_set(candles, chunk_rows=None)
+    monkeypatch.setattr(chunks, "broadcast_if_small", lambda df, rows=None: df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = label_set(candles, chunk_rows=500)
+        assert "SortMergeJoin" in got._jdf.queryExecution().executedPlan().toString()
+        assert_equal_frames(want, got, ["series_id", "ts"], 0)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        candles.unpersist()
+
+
+def test_one_shuffle_of_the_candles(make_candles):
+    candles = random_candles(make_candles, 6000, 2, 0.5).cache()
+    plan = feature_set(candles, chunk_rows=1500)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "SinglePartition" not in plan and "BroadcastHashJoin" in plan
+    candles.unpersist()
+
+
+def test_task_count():
+    assert task_count(rows=100, groups=1, parallelism=8) == 4
+    assert task_count(rows=1_000_000, groups=50, parallelism=8) == 32
+    assert task_count(rows=10**9, groups=50_000, parallelism=8) == 500
+    assert task_count(rows=10**13, groups=10**9, parallelism=8) == 200_000
+
+
 def test_halo_arithmetic():
     assert FEATURE_HALO == Halo(back=1440) and LABEL_HALO == Halo(ahead=15)
     assert Halo(1, 2) + Halo(3, 4) == Halo(4, 6)

@@ -12,7 +12,7 @@ from wickwork.config import Settings
 from wickwork.operators.candles import silver
 from wickwork.plans import marts as M
 from wickwork.plans.versions import feature_versions
-from wickwork.plans.weekly import Lake, previous_week, run_increment, run_week
+from wickwork.plans.weekly import Lake, previous_week, recent_candles, run_increment, run_week
 from wickwork.schema import BRONZE, FEATURES
 from wickwork.session import pinned
 from wickwork.sources import tables
@@ -131,6 +131,46 @@ def test_runs_in_steps_equal_one_full_refresh(spark, candles, tmp_path):
     assert_same(spark.read.parquet(steps.features), spark.read.parquet(whole.features))
 
 
+def test_ended_and_new_series(spark, make_candles, tmp_path):
+    """An ended series does not matter any more, a new one is taken from its start."""
+    lake = Lake(str(tmp_path / "a"))
+    day = 1440
+    ended = make_candles(range(1, 200), range(0, 199), series="ENDED")
+    running = make_candles(range(1, 2401), range(20 * day, 20 * day + 2400), series="RUN")
+    tables.overwrite_days(ended.unionByName(running), lake.silver)
+    run_increment(spark, lake, SMALL, AS_OF)
+    more = make_candles(range(2401, 2451), range(20 * day + 2400, 20 * day + 2450), series="RUN")
+    young = make_candles(range(5, 305), range(3 * day, 3 * day + 300), series="NEW")
+    everything = pinned(ended.unionByName(running).unionByName(more).unionByName(young))
+    tables.overwrite_days(everything, lake.silver)
+    counts = run_increment(spark, lake, SMALL, AS_OF)
+    assert counts["features"] == 350
+    whole = Lake(str(tmp_path / "b"))
+    tables.overwrite_days(everything, whole.silver)
+    run_increment(spark, whole, SMALL, AS_OF)
+    assert_same(spark.read.parquet(lake.features), spark.read.parquet(whole.features))
+
+
+def test_increment_starts_at_recent_days(spark, make_candles, tmp_path):
+    lake = Lake(str(tmp_path))
+    n = 40 * 1440
+    ts = F.timestamp_seconds(F.col("id") * 60 + int(START.timestamp()))
+    template = make_candles([1.0]).drop("ts", "series_id")
+    ended = make_candles([1, 2, 3], series="ENDED")
+    long = spark.range(n).select(F.lit("LONG").alias("series_id"), ts.alias("ts")).crossJoin(template)
+    both = long.select(*ended.columns).unionByName(ended)
+    tables.overwrite_days(both, lake.silver)
+    marks = pinned(
+        spark.createDataFrame(
+            [("LONG", START + timedelta(days=38)), ("ENDED", START + timedelta(minutes=2))],
+            "series_id string, mark timestamp",
+        )
+    )
+    recent = recent_candles(spark, lake, marks, 1440)
+    first = recent.agg(F.min("ts")).first()[0]
+    assert first == datetime(2024, 1, 1) + timedelta(days=34)
+
+
 def test_late_rows_stay_out_of_the_marts(spark, make_candles, tmp_path):
     lake = Lake(str(tmp_path))
     tables.overwrite_days(make_candles([1, 2, 3], minutes=[0, 2, 3]), lake.silver)

@@ -23,6 +23,10 @@ CHUNK = "_chunk"
 OWN = "_own_chunk"
 DAY = "_day"
 
+# Window work is heavy per byte, so tasks are sized by rows: about a minute each.
+TASK_ROWS = 2_000_000
+MOST_TASKS = 200_000
+
 
 @dataclass(frozen=True)
 class Halo:
@@ -76,31 +80,47 @@ def plan_chunks(
     if halo.back:
         reach = F.col("_before") + F.col("_n") - 1 + F.lit(halo.back)
         last = F.least(F.col("_final"), chunk_of(reach))
-    return days.select(series, DAY, OWN, F.sequence(first, last).alias("_chunks"))
+    return days.select(series, DAY, "_n", OWN, F.sequence(first, last).alias("_chunks"))
+
+
+def task_count(rows: int, groups: int, parallelism: int) -> int:
+    """Shuffle partitions for window groups: by rows, but enough to keep all cores busy."""
+    spread = min(4 * groups, 4 * parallelism)
+    return max(1, min(MOST_TASKS, max(-(-rows // TASK_ROWS), spread)))
 
 
 def split_with_halo(
     df: DataFrame, halo: Halo, chunk_rows: int | None, series: str = "series_id", ts: str = "ts"
 ) -> DataFrame:
-    """Add the chunk columns, copying the halo rows.
+    """Add the chunk columns, copying the halo rows, arranged for the windows.
 
     ``chunk_rows=None`` keeps each series whole.  The plan table is materialised
-    first: its measured size decides between a broadcast and a shuffled join, and
-    if no series needs a second chunk the data is left as it is.
+    first; its measured size decides between a broadcast and a shuffled join, its row
+    counts size the one shuffle of the data, and if no series needs a second chunk
+    nothing is copied.
     """
     whole = df.withColumns({CHUNK: F.lit(0).cast("bigint"), OWN: F.lit(0).cast("bigint")})
     if chunk_rows is None:
         return whole
     plan = pinned(plan_chunks(df, halo, chunk_rows, series, ts))
-    days, last = plan.agg(F.count(F.lit(1)), F.max(OWN)).first()
-    if not last:
+    days, last, rows, groups = plan.agg(
+        F.count(F.lit(1)),
+        F.max(OWN),
+        F.sum(F.col("_n") * F.size("_chunks")),
+        F.countDistinct(series, OWN),
+    ).first()
+    if not days:
         return whole
+    tasks = task_count(rows, groups, df.sparkSession.sparkContext.defaultParallelism)
+    if not last:
+        return whole.repartition(tasks, series)
     return (
         df.withColumn(DAY, F.to_date(ts))
-        .join(broadcast_if_small(plan, rows=days), [series, DAY])
+        .join(broadcast_if_small(plan.drop("_n"), rows=days), [series, DAY])
         .drop(DAY)
         .withColumn(CHUNK, F.explode("_chunks"))
         .drop("_chunks")
+        .repartition(tasks, series, CHUNK)
     )
 
 

@@ -103,13 +103,15 @@ def choose_source(
     A batch may be a DataFrame or a function returning one, whose failure counts as
     the cause for that source.
     """
-    causes = []
+    causes = {}
     for name, batch in batches.items():
         try:
             candles = batch() if callable(batch) else batch
             if validate_batch(candles, start, end, min_ratio):
                 return candles
-            causes.append(f"{name}: invalid data")
         except Exception as error:  # any failure of one source moves on to the next
-            causes.append(f"{name}: {error}")
-    raise RuntimeError("All sources failed: " + " | ".join(causes))
+            causes[name] = error
+        else:
+            causes[name] = "invalid data"
+    listed = " | ".join(f"{name}: {cause}" for name, cause in causes.items())
+    raise RuntimeError(f"All sources failed: {listed}")

@@ -48,11 +48,9 @@ class Lake:
 
 def previous_week(now: datetime) -> tuple[datetime, datetime]:
     """Start and exclusive end of the last complete week in UTC."""
-    now = now.astimezone(timezone.utc)
-    monday = (now - timedelta(days=now.weekday())).replace(
-        hour=0, minute=0, second=0, microsecond=0
-    )
-    return monday - timedelta(days=7), monday
+    year, week, _ = now.astimezone(timezone.utc).isocalendar()
+    this_monday = datetime.fromisocalendar(year, week, 1).replace(tzinfo=timezone.utc)
+    return this_monday - timedelta(weeks=1), this_monday
 
 
 def load_source(
@@ -115,16 +113,44 @@ def _marks(spark: SparkSession, path: str, version: str) -> DataFrame | None:
     return pinned(high_water(recent, ["series_id"]))
 
 
+def live_marks(stored: DataFrame, newest: DataFrame, marks: DataFrame) -> DataFrame:
+    """Marks of the series that have candles after them.
+
+    ``newest`` is the last stored day per series, known from the folder column.  Times
+    are read only for series whose last day is the day of their mark; the list of those
+    days is bounded by the calendar.
+    """
+    both = pinned(marks.join(newest, "series_id"))
+    mark_day = F.to_date("mark")
+    later = both.where(F.col("_last") > mark_day)
+    same = both.where(F.col("_last") == mark_day)
+    days = [r[0] for r in same.select("_last").distinct().collect()]
+    unfinished = (
+        stored.where(F.col(tables.DAY).isin(days))
+        .select("series_id", "ts", F.col(tables.DAY).alias("_last"))
+        .join(broadcast_if_small(same), ["series_id", "_last"])
+        .where(F.col("ts") > F.col("mark"))
+    )
+    columns = ["series_id", "mark"]
+    return pinned(later.select(*columns).unionByName(unfinished.select(*columns).distinct()))
+
+
 def recent_candles(spark: SparkSession, lake: Lake, marks: DataFrame, rows: int) -> DataFrame:
-    """Silver from far enough back that every series has ``rows`` rows before its mark.
+    """Silver from far enough back that every live series has ``rows`` rows before its mark.
 
     Day folders are probed in growing steps, counting only; the first day of the table
-    ends the search for series that are younger than the look-back.  A series without
-    a mark is new to the mart and is read whole.
+    ends the search for series that are younger than the look-back.  A series that has
+    ended does not hold the start back, and one without a mark is read whole.
     """
     stored = spark.read.parquet(lake.silver)
+    newest = pinned(stored.groupBy("series_id").agg(F.max(tables.DAY).alias("_last")))
+    live = live_marks(stored, newest, marks)
+    start, known = live.agg(F.min("mark"), F.count(F.lit(1))).first()
+    fresh = pinned(newest.join(marks, "series_id", "left_anti").select("series_id"))
+    unknown = stored.join(broadcast_if_small(fresh), "series_id", "left_semi")
+    if not known:
+        return unknown.drop(tables.DAY)
     earliest = stored.agg(F.min(tables.DAY)).first()[0]
-    start, known = marks.agg(F.min("mark"), F.count(F.lit(1))).first()
     span = 1
     while True:
         span *= 4
@@ -134,7 +160,7 @@ def recent_candles(spark: SparkSession, lake: Lake, marks: DataFrame, rows: int)
             return probe.drop(tables.DAY)
         enough = (
             probe.select("series_id", "ts")
-            .join(broadcast_if_small(marks), "series_id")
+            .join(broadcast_if_small(live), "series_id")
             .where(F.col("ts") <= F.col("mark"))
             .groupBy("series_id")
             .count()
@@ -142,12 +168,8 @@ def recent_candles(spark: SparkSession, lake: Lake, marks: DataFrame, rows: int)
             .count()
         )
         if enough == known:
-            break
-    known_series = broadcast_if_small(marks.select("series_id"))
-    older = stored.where(F.col(tables.DAY) < first)
-    if older.select("series_id").distinct().join(known_series, "series_id", "left_anti").take(1):
-        probe = probe.unionByName(older.join(known_series, "series_id", "left_anti"))
-    return probe.drop(tables.DAY)
+            older = unknown.where(F.col(tables.DAY) < first)
+            return (probe.unionByName(older) if fresh.take(1) else probe).drop(tables.DAY)
 
 
 def written(seen: Observation) -> tuple[int, datetime | None]:
