@@ -56,9 +56,9 @@ def test_standardize_empty_input(spark):
 
 
 def test_coerce_numeric_and_times(spark):
-    df = spark.createDataFrame([("1.5",), ("abc",), ("",), ("1.5d",), ("1e3",), (None,), ("inf",)], "x string")
+    df = spark.createDataFrame([("1.5",), ("abc",), ("",), ("1.5d",), ("1e3",), (None,), ("inf",), ("NaN",)], "x string")
     got = [r[0] for r in df.select(coerce_numeric("x")).collect()]
-    assert got == [1.5, None, None, None, 1000.0, None, float("inf")]
+    assert got == [1.5, None, None, None, 1000.0, None, float("inf"), None]
     df = spark.createDataFrame([("1704067200000",), ("2024-01-01T00:00:00.0000000Z",), ("soon",)], "x string")
     got = [r[0] for r in df.select(parse_mixed_ts("x")).collect()]
     assert got == [datetime(2024, 1, 1), datetime(2024, 1, 1), None]
@@ -69,6 +69,29 @@ def test_unreadable_times(spark):
     assert unreadable_times(df).count() == 1
 
 
+def test_numeric_times_and_missing_prices(spark):
+    nan = float("nan")
+    raw = spark.createDataFrame(
+        [(1704067200000.0, 1704067260000, 1.0, nan, 0.5, 1.0, 2.0)],
+        "open_time double, close_time bigint, open double, high double, low double, close double, volume double",
+    )
+    (row,) = standardize(raw, "X", "s", F.lit(AS_OF)).collect()
+    assert (row["open_time"], row["close_time"]) == (datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 1))
+    assert row["high"] is None
+
+
+def test_nan_prices(spark):
+    nan = float("nan")
+    b = bronze(spark, (0, 1, {"high": nan}), (1, 1, {"low": nan}), (2, 1, {}))
+    assert C.silver_filter(b).count() == 1
+    assert validate_batch(b, START, START + timedelta(minutes=3), 1.0) is True
+
+
+def test_unreadable_pages(spark):
+    pages = spark.createDataFrame([("[]",), ("[[1]]",), ('[{"a":1}]',), ("<html>",), ('{"msg":1}',)], "payload string")
+    assert {r[0] for r in payloads.unreadable_pages(pages).collect()} == {"<html>", '{"msg":1}'}
+
+
 KLINES = '[[1704067200000,"100","110","90","105","12.5",1704067259999,"0",1,"0","0","0"]]'
 ARRAYS = "[[1704067200,90,110,100,105,12.5]]"
 OBJECTS = (

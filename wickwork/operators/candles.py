@@ -15,10 +15,9 @@ _PRICE_NAMES = {c: f"{c}_price" for c in NUMBERS if c != "volume"} | {"volume":
 
 
 def silver_filter(bronze: DataFrame) -> DataFrame:
-    """Rows with a time, a close and high >= low; NULL prices fail the comparison."""
-    return bronze.where(
-        F.col("open_time").isNotNull() & F.col("close").isNotNull() & (F.col("high") >= F.col("low"))
-    )
+    """Rows with a time, a close and high >= low; NULL and NaN prices fail the comparison."""
+    ordered = (F.col("high") >= F.col("low")) & ~F.isnan("high")
+    return bronze.where(F.col("open_time").isNotNull() & F.col("close").isNotNull() & ordered)
 
 
 def dedupe_latest(bronze: DataFrame, key: str = "series_id") -> DataFrame:

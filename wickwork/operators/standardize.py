@@ -11,11 +11,18 @@ from ..schema import BRONZE, INTERVAL, NUMBERS, RAW_CANDLE
 from .dedupe import keep_first
 
 
+def known_number(x: ColumnOrName) -> Column:
+    """NaN means a missing value, so it becomes NULL."""
+    return F.when(~F.isnan(_col(x)), _col(x))
+
+
 def coerce_numeric(x: ColumnOrName) -> Column:
     """Text to double; anything that is not a number becomes NULL."""
     text = _col(x).cast("string")
     # Spark also reads "1.5d" and "1.5f" as numbers, which they are not in a payload
-    return F.when(~text.rlike(r"[0-9.][dDfF]\s*$"), text.try_cast("double"))
+    return F.when(
+        ~text.rlike(r"[0-9.][dDfF]\s*$"), known_number(text.try_cast("double"))
+    )
 
 
 def parse_mixed_ts(x: ColumnOrName) -> Column:
@@ -33,9 +40,16 @@ def _parsed(df: DataFrame, name: str) -> Column:
         return F.col(name).cast("timestamp")
     if isinstance(kind, T.IntegralType):
         return F.timestamp_millis(name)
+    if isinstance(kind, T.NumericType):
+        return F.timestamp_micros((F.col(name) * 1000).cast("bigint"))
     return parse_mixed_ts(name)
 
 
+def _number(df: DataFrame, name: str) -> Column:
+    is_double = isinstance(df.schema[name].dataType, T.DoubleType)
+    return known_number(name) if is_double else coerce_numeric(name)
+
+
 def _as_column(x) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
 
@@ -54,11 +68,7 @@ def standardize(
     """
     candles = raw.select(
         *[_parsed(raw, c).alias(c) for c in ("open_time", "close_time")],
-        *[
-            (F.col(c) if isinstance(raw.schema[c].dataType, T.DoubleType) else coerce_numeric(c))
-            .alias(c)
-            for c in NUMBERS
-        ],
+        *[_number(raw, c).alias(c) for c in NUMBERS],
         _as_column(symbol).alias("symbol"),
         _as_column(interval).alias("interval"),
         _as_column(source).alias("source"),

@@ -36,9 +36,11 @@ def validate_batches(
     if not set(REQUIRED) - {"open_time"} | {ts} <= set(df.columns):
         missing = sorted((set(REQUIRED) - {"open_time"} | {ts}) - set(df.columns))
         raise ValueError(f"missing columns: {', '.join(missing)}")
+    # Spark sorts NaN above every number; a missing price must not count as inverted
+    inverted = (F.col("high") < F.col("low")) & ~F.isnan("low")
     per_time = df.groupBy(*by, start, end, ts).agg(
         F.count(F.lit(1)).alias("_copies"),
-        F.count_if(F.col("high") < F.col("low")).alias("_inverted"),
+        F.count_if(inverted).alias("_inverted"),
     )
     need = F.floor(expected_minutes(start, end) * F.lit(min_ratio)).cast("bigint")
     return (

@@ -21,7 +21,7 @@ from ..operators.validate import choose_source
 from ..schema import SYMBOL_BY_SOURCE
 from ..session import broadcast_if_small, pinned, prepare
 from ..sources import tables
-from ..sources.payloads import DECODERS, read_pages
+from ..sources.payloads import DECODERS, read_pages, unreadable_pages
 from .features import FEATURE_HALO
 from .marts import feature_increment, high_water, label_increment
 from .monitoring import (
@@ -58,9 +58,12 @@ def load_source(
 ) -> DataFrame:
     """Landed pages of one vendor as standard candles of the window.
 
-    A page whose times cannot be read disqualifies the source.
+    A page that is not a list, or whose times cannot be read, disqualifies the source.
     """
-    raw = DECODERS[source](read_pages(spark, *paths))
+    pages = read_pages(spark, *paths)
+    if unreadable_pages(pages).take(1):
+        raise ValueError("unreadable payload")
+    raw = DECODERS[source](pages)
     if unreadable_times(raw).take(1):
         raise ValueError("unreadable timestamps")
     candles = standardize(raw, SYMBOL_BY_SOURCE[source], source, F.lit(extracted_at))
@@ -198,7 +201,10 @@ def run_increment(
     Marts first, checkpoint last: after a crash the next run finds its marks in the
     marts and continues.  A failure leaves an error row and is raised again.
     """
-    versions = pinned(feature_versions(spark, as_of) if versions is None else versions)
+    if versions is None:
+        tables.replace_table(feature_versions(spark, as_of), lake.feature_versions)
+        versions = spark.read.parquet(lake.feature_versions)
+    versions = pinned(versions)
     active = versions.where("is_active").orderBy(F.col("created_at").desc()).first()
     if active is None:
         raise RuntimeError("No active version")

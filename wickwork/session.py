@@ -23,9 +23,8 @@ def get_spark(app: str = "wickwork", master: str | None = None, **conf) -> Spark
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Candle times are UTC; marts replace only the day partitions they touch."""
+    """Candle times are UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     return spark
 
 

@@ -75,6 +75,11 @@ def decode_history_objects(pages: DataFrame, payload: str = "payload") -> DataFr
     return _candles(items, {c: F.col("_item")[name] for c, name in HISTORY_FIELDS.items()})
 
 
+def unreadable_pages(pages: DataFrame, payload: str = "payload") -> DataFrame:
+    """Pages that are not a JSON array, such as an error text."""
+    return pages.where(F.from_json(payload, "array<string>").isNull())
+
+
 DECODERS = {
     "binance": decode_klines,
     "coinbase": decode_candle_arrays,
