@@ -49,7 +49,8 @@ def test_chunked_features_equal_whole_ones(make_candles, chunk_rows, density):
 
 @pytest.mark.parametrize("chunk_rows", [5, 40, 500])
 def test_chunked_labels_equal_whole_ones(make_candles, chunk_rows):
-    candles = random_candles(make_candles, 3000, 7, 0.02).cache()
+    candles = random_candles(make_candles, 3000, 7, 0.02)
+    candles = candles.unionByName(make_candles([3, 4, 5] * 10, series="SMALL")).cache()
     whole = label_set(candles, chunk_rows=None)
     chunked = label_set(candles, chunk_rows=chunk_rows)
     assert_equal_frames(whole, chunked, ["series_id", "ts"], 0)
@@ -136,6 +137,21 @@ def test_block_rolling_equals_sliding_frames(make_candles, rows):
     candles.unpersist()
 
 
+def test_nested_frames_share_their_sorts(make_candles):
+    candles = random_candles(make_candles, 900, 4, 0.5).cache()
+    specs = [Rolling(f"s{n}", "std", "close_price", n) for n in (240, 60, 36, 12, 5)]
+    got = with_rolling(candles, specs, ["series_id"], block_from=10)
+    w = Window.partitionBy("series_id").orderBy("ts")
+    want = candles.select(
+        *candles.columns, *[S.rolling_std(s.column, s.rows, w).alias(s.name) for s in specs]
+    )
+    assert_equal_frames(want, got, ["series_id", "ts"], 1e-11)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # one by time, then two for 240 / 60 / 12 and two for 36
+    assert plan.count("- Sort ") == 5 and plan.count("Exchange") == 1
+    candles.unpersist()
+
+
 def test_feature_list_is_complete(make_candles):
     out = feature_set(make_candles([1, 2, 3]))
     assert len(FEATURES) == 28

@@ -80,7 +80,9 @@ def plan_chunks(
     if halo.back:
         reach = F.col("_before") + F.col("_n") - 1 + F.lit(halo.back)
         last = F.least(F.col("_final"), chunk_of(reach))
-    return days.select(series, DAY, "_n", OWN, F.sequence(first, last).alias("_chunks"))
+    return days.select(
+        series, DAY, "_n", "_final", OWN, F.sequence(first, last).alias("_chunks")
+    )
 
 
 def task_count(rows: int, groups: int, parallelism: int) -> int:
@@ -103,22 +105,31 @@ def split_with_halo(
     if chunk_rows is None:
         return whole
     plan = pinned(plan_chunks(df, halo, chunk_rows, series, ts))
-    days, last, rows, groups = plan.agg(
+    is_cut = F.col("_final") > 0
+    days, cut_days, rows, groups = plan.agg(
         F.count(F.lit(1)),
-        F.max(OWN),
+        F.count_if(is_cut),
         F.sum(F.col("_n") * F.size("_chunks")),
-        F.countDistinct(series, OWN),
+        F.approx_count_distinct(F.hash(series, OWN)),
     ).first()
     if not days:
         return whole
     tasks = task_count(rows, groups, df.sparkSession.sparkContext.defaultParallelism)
-    if not last:
+    if not cut_days:
         return whole.repartition(tasks, series)
+    # only series with several chunks are in the map; the others stay in chunk 0
+    cut = plan.where(is_cut).select(series, DAY, OWN, "_chunks")
+    zero = F.lit(0).cast("bigint")
     return (
         df.withColumn(DAY, F.to_date(ts))
-        .join(broadcast_if_small(plan.drop("_n"), rows=days), [series, DAY])
+        .join(broadcast_if_small(cut, rows=cut_days), [series, DAY], "left")
         .drop(DAY)
-        .withColumn(CHUNK, F.explode("_chunks"))
+        .withColumns(
+            {
+                OWN: F.coalesce(OWN, zero),
+                CHUNK: F.explode(F.coalesce("_chunks", F.array(zero))),
+            }
+        )
         .drop("_chunks")
         .repartition(tasks, series, CHUNK)
     )

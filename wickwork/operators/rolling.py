@@ -19,7 +19,7 @@ from ..functions.series import rolling_avg, rolling_std, safe_divide
 
 
 # Frames from this many rows on are computed block-wise (measured break-even).
-BLOCK_FROM = 256
+BLOCK_FROM = 32
 
 
 @dataclass(frozen=True)
@@ -80,7 +80,8 @@ def with_rolling(
     """Add one column per spec, each over ``keys`` ordered by ``ts``.
 
     Frames shorter than ``block_from`` rows stay plain sliding windows: there the
-    two extra sorts cost more than the repeated updates.
+    two extra sorts cost more than the repeated updates.  Frames that divide each
+    other share those sorts.
     """
     keys = list(keys)
     base = df.columns
@@ -89,43 +90,65 @@ def with_rolling(
     out = df.withColumns(
         {s.name: plain[s.stat](s.column, s.rows, w) for s in specs if s.rows < block_from}
     )
-    sizes = sorted({s.rows for s in specs if s.rows >= block_from})
+    sizes = sorted({s.rows for s in specs if s.rows >= block_from}, reverse=True)
     if sizes:
         out = out.withColumn("_pos", F.row_number().over(w) - 1)
-    for rows in sizes:
-        wanted = [s for s in specs if s.rows == rows]
-        out = _blocked(out, wanted, rows, keys, ts)
+    for chain in _chains(sizes):
+        out = _blocked(out, [s for s in specs if s.rows in chain], chain, keys, ts)
     return out.select(*base, *[s.name for s in specs])
 
 
-def _blocked(df: DataFrame, specs: list[Rolling], rows: int, keys: list[str], ts: str) -> DataFrame:
-    columns = sorted({s.column for s in specs})
+def _chains(sizes: list[int]) -> list[list[int]]:
+    """Sizes, longest first, grouped so that each divides the one before: they share sorts."""
+    chains: list[list[int]] = []
+    for size in sizes:
+        fitting = [chain for chain in chains if chain[-1] % size == 0]
+        if fitting:
+            fitting[0].append(size)
+        else:
+            chains.append([size])
+    return chains
+
+
+def _blocked(
+    df: DataFrame, specs: list[Rolling], chain: list[int], keys: list[str], ts: str
+) -> DataFrame:
+    pairs = sorted({(s.rows, s.column) for s in specs}, reverse=True)
     # a block is named by its first position; the negative name sorts from the end
-    start = F.col("_pos") - F.col("_pos") % rows
-    out = df.withColumns({"_block": start, "_block_back": -start})
-
-    def parts(df: DataFrame, label: str, block: str, order: Column, upto: int) -> DataFrame:
-        frame = (
-            Window.partitionBy(*keys, block)
-            .orderBy(order)
-            .rowsBetween(Window.unboundedPreceding, upto)
-        )
+    start = {n: F.col("_pos") - F.col("_pos") % n for n in chain}
+    blocks, backs = ([f"_{way}{n}" for n in chain] for way in ("block", "back"))
+    out = df.withColumns(
+        {b: start[n] for b, n in zip(blocks, chain)} | {b: -start[n] for b, n in zip(backs, chain)}
+    )
+
+    def parts(df: DataFrame, label: str, names: list[str], order: Column, upto: int) -> DataFrame:
         raw, derived = {}, {}
-        for c in columns:
-            r, d = _running(c, f"{label}_{c}", frame)
+        for rows, column in pairs:
+            depth = chain.index(rows) + 1
+            frame = (
+                Window.partitionBy(*keys, *names[:depth])
+                .orderBy(*names[depth:], order)
+                .rowsBetween(Window.unboundedPreceding, upto)
+            )
+            r, d = _running(column, f"{label}{rows}_{column}", frame)
             raw |= r
             derived |= d
         return df.withColumns(raw).withColumns(derived)
 
     # rows after the current one in its block, read by the row one frame later
-    out = parts(out, "tail", "_block_back", F.col(ts).desc(), -1)
-    out = parts(out, "head", "_block", F.col(ts).asc(), Window.currentRow)
+    out = parts(out, "tail", backs, F.col(ts).desc(), -1)
+    out = parts(out, "head", blocks, F.col(ts).asc(), Window.currentRow)
     # block names grow with time: the same order as ts, and no further sort
-    w = Window.partitionBy(*keys).orderBy("_block", ts)
+    w = Window.partitionBy(*keys).orderBy(*blocks, ts)
     out = out.withColumns(
-        {t: F.lag(t, rows, 0).over(w) for c in columns for t in _triple(f"tail_{c}")}
-    )
-    return out.select(
-        *df.columns,
-        *[_merged(s.stat, f"tail_{s.column}", f"head_{s.column}").alias(s.name) for s in specs],
+        {
+            t: F.lag(t, rows, 0).over(w)
+            for rows, column in pairs
+            for t in _triple(f"tail{rows}_{column}")
+        }
     )
+    merged = {
+        s.name: _merged(s.stat, f"tail{s.rows}_{s.column}", f"head{s.rows}_{s.column}")
+        for s in specs
+    }
+    return out.select(*df.columns, *[c.alias(name) for name, c in merged.items()])

@@ -14,7 +14,10 @@ BROADCAST_ROWS = 500_000
 
 
 def get_spark(app: str = "wickwork", master: str | None = None, **conf) -> SparkSession:
-    builder = SparkSession.builder.appName(app)
+    """A session whose checkpoints are removed once no DataFrame needs them."""
+    builder = SparkSession.builder.appName(app).config(
+        "spark.cleaner.referenceTracking.cleanCheckpoints", "true"
+    )
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
