@@ -1,0 +1 @@
+"""Candle features, labels and quality checks on PySpark."""

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from ..functions.series import rolling_avg, rolling_std, safe_divide
 
-
-# Frames from this many rows on are computed block-wise (measured break-even).
+# Frames from this many rows on are computed block-wise; at 60 rows, the shortest frame
+# of the feature set, that measured faster than sliding.
 BLOCK_FROM = 32
 
 

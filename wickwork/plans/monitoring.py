@@ -211,7 +211,8 @@ def monitoring_snapshot(
         .groupBy("run_id", spread.alias("part"))
         .agg(F.sort_array(F.collect_list(step)).alias("steps"))
     )
-    newest_first = F.sort_array(F.collect_list(F.struct("started_at", F.struct(*RUN_COLUMNS).alias("run"))), asc=False)
+    dated = F.struct("started_at", F.struct(*RUN_COLUMNS).alias("run"))
+    newest_first = F.sort_array(F.collect_list(dated), asc=False)
     history = recent_runs(runs).agg(F.transform(newest_first, lambda r: r["run"]).alias("history"))
     quality = metrics.groupBy("run_id").agg(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("metric_name", "metric_value")))).alias(
