@@ -7,7 +7,8 @@ as long as each chunk also sees the rows its frames reach back (or ahead) to.
 The cut is planned on one row per (series, day): with ``before`` the number of
 rows ahead of a day, the day belongs to chunk ``floor(before / C)`` and is copied
 to every other chunk whose frames may touch one of its rows.  No row number over
-the data is needed, and the data itself is shuffled once, on (series, chunk).
+the data is needed, and the data itself is shuffled once, on (series, chunk), or twice
+where the map of the cut series is too large to broadcast.
 """
 
 from __future__ import annotations

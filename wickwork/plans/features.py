@@ -121,8 +121,8 @@ def feature_set(candles: DataFrame, chunk_rows: int | None = CHUNK_ROWS) -> Data
     """All 28 features of each candle.
 
     ``candles`` is silver; it is read twice (plan of the chunks, data), so pass a
-    written or pinned table.  One shuffle on (series, chunk); the plain windows share
-    its sort, the day-long deviation adds two sorts and no shuffle.
+    written or pinned table.  The plain windows share the sort after the shuffle on
+    (series, chunk); the block-wise statistics add two sorts and no shuffle.
     """
 
     def build(df, w, keys):
