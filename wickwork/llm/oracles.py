@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .adaptive_rules import FENCE, MEASURES, MIN_ROWS
 from .hilbert import BITS, LEVELS, OVERHEAD, SHARDS
 from .mixing import MOST_EPOCHS, SEED, WEIGHTS
 
@@ -151,3 +152,61 @@ SELECT doc_id, size, crc AS text_crc32, 'rows' AS law,
        NULL::INT AS grown_shard
 FROM cut
 """
+
+
+def _measures() -> str:
+    return ", ".join(f"{e.replace(' div ', ' // ').replace('1000L', '1000')} AS {m}" for m, (e, _, _) in MEASURES.items())
+
+
+def _limits() -> str:
+    """Per measure: quartiles of the group, its language or all, and the limits from them."""
+    out = []
+    for m, (_, least, below) in MEASURES.items():
+        def quartile(q: int, m=m) -> str:
+            level = "CASE WHEN g.n >= {0} THEN g.{1}_{2} WHEN l.n >= {0} THEN l.{1}_{2} ELSE a.{1}_{2} END"
+            return level.format(MIN_ROWS, m, q)
+        spread = f"greatest({quartile(3)} - {quartile(1)}, {least})"
+        out.append(f"d.{m} <= {quartile(3)} + {FENCE} * {spread}")
+        if below:
+            out.append(f"d.{m} >= {quartile(1)} - {FENCE} * {spread}")
+    return " AND ".join(out)
+
+
+_QUARTILES = ", ".join(
+    f"quantile_disc({m}, {q / 4}) AS {m}_{q}" for m in MEASURES for q in (1, 3)
+)
+
+SQL["op2_adaptive_rules"] = f"""
+WITH base AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+split AS (
+  SELECT *, regexp_extract_all(text, '{WORD}') AS w,
+         list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM base),
+grams AS (
+  SELECT r, place, array_to_string(list_slice(w, place, place + 4), ' ') AS words
+  FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS place FROM split WHERE len(w) >= 5)),
+twice AS (SELECT r, words FROM grams GROUP BY r, words HAVING count(*) > 1),
+repeats AS (
+  SELECT r, count(DISTINCT word) AS n
+  FROM (SELECT r, unnest(range(place, place + 5)) AS word FROM grams JOIN twice USING (r, words)) GROUP BY r),
+counts AS (
+  SELECT r, doc_id, lang, source, len(w)::BIGINT AS n_words,
+         length(array_to_string(w, ''))::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         len(lines)::BIGINT AS n_lines,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM split LEFT JOIN repeats USING (r)),
+measured AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, {_measures()} FROM counts),
+good AS (SELECT * FROM measured WHERE NOT base_failed),
+g AS (SELECT lang, source, count(*) AS n, {_QUARTILES} FROM good GROUP BY lang, source),
+l AS (SELECT lang, count(*) AS n, {_QUARTILES} FROM good GROUP BY lang),
+a AS (SELECT {_QUARTILES} FROM good)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce({_limits()}, true) AS kept
+FROM measured d CROSS JOIN a
+LEFT JOIN g ON d.lang IS NOT DISTINCT FROM g.lang AND d.source IS NOT DISTINCT FROM g.source
+LEFT JOIN l ON d.lang IS NOT DISTINCT FROM l.lang
+"""

@@ -41,3 +41,10 @@ def op7_winnowing(spark: SparkSession, folder: str) -> DataFrame:
 
     docs, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
     return summary(find_leaks(docs, benchmark, keep=["doc_id"]), "doc_id")
+
+
+@register
+def op2_adaptive_rules(spark: SparkSession, folder: str) -> DataFrame:
+    from .adaptive_rules import judge
+
+    return judge(table(spark, folder, "documents"), keep=["doc_id"]).select("row.doc_id", "*").drop("row")
