@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import prepare
+from .common import bucket
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -48,3 +50,15 @@ def op2_adaptive_rules(spark: SparkSession, folder: str) -> DataFrame:
     from .adaptive_rules import judge
 
     return judge(table(spark, folder, "documents"), keep=["doc_id"]).select("row.doc_id", "*").drop("row")
+
+
+@register
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from .toxicity import score
+
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = bucket("doc_id", 3, 1)
+    scored = score(docs, labels.where(~held_out), keep=["doc_id"]).select("row.doc_id", "score")
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
