@@ -62,3 +62,15 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
     )
+
+
+@register
+def op3_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    from .neighbours import score
+
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = bucket("doc_id", 5, 0)
+    scored = score(docs, labels.where(~held_out), keep=["doc_id"]).select("row.doc_id", "score")
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
