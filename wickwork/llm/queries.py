@@ -74,3 +74,13 @@ def op3_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
     )
+
+
+@register
+def op10_ppm(spark: SparkSession, folder: str) -> DataFrame:
+    from .ppm import score
+
+    docs = table(spark, folder, "documents")
+    held_out = bucket("doc_id", 7, 2)
+    scored = score(docs, docs.where(~held_out), keep=["doc_id"]).select("row.doc_id", "*").drop("row")
+    return scored.withColumn("held_out", held_out)
