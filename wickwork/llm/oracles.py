@@ -210,3 +210,31 @@ FROM measured d CROSS JOIN a
 LEFT JOIN g ON d.lang IS NOT DISTINCT FROM g.lang AND d.source IS NOT DISTINCT FROM g.source
 LEFT JOIN l ON d.lang IS NOT DISTINCT FROM l.lang
 """
+
+
+SQL["op8_jaccard_join"] = """
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\\x20\\x09-\\x0D]+'), []) AS w
+  FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT r, array_to_string(list_slice(w, i, i + 4), ' ') AS g
+  FROM (SELECT r, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT r, count(*) AS n FROM s GROUP BY r),
+often AS (SELECT g FROM s GROUP BY g HAVING count(*) > 1),
+links AS MATERIALIZED (
+  SELECT a, b FROM (
+    SELECT x.r AS a, y.r AS b, count(*) AS c
+    FROM (SELECT * FROM s SEMI JOIN often USING (g)) x JOIN (SELECT * FROM s SEMI JOIN often USING (g)) y USING (g)
+    WHERE x.r <> y.r GROUP BY x.r, y.r)
+  JOIN n na ON na.r = a JOIN n nb ON nb.r = b WHERE 100 * c >= 75 * (na.n + nb.n - c)),
+reach AS (
+  SELECT a, b FROM links
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles,
+       CASE WHEN m.least IS NULL THEN d.doc_id ELSE least(d.doc_id, m.least) END AS component_id
+FROM d LEFT JOIN n USING (r)
+LEFT JOIN (SELECT a AS r, min(doc_id) AS least FROM reach JOIN d ON d.r = reach.b GROUP BY a) m USING (r)
+"""

@@ -84,3 +84,13 @@ def op10_ppm(spark: SparkSession, folder: str) -> DataFrame:
     held_out = bucket("doc_id", 7, 2)
     scored = score(docs, docs.where(~held_out), keep=["doc_id"]).select("row.doc_id", "*").drop("row")
     return scored.withColumn("held_out", held_out)
+
+
+@register
+def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    from .jaccard_join import classes_of
+
+    found = classes_of(table(spark, folder, "documents"))
+    return found.select(
+        F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("class").alias("component_id")
+    )
