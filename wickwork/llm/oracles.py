@@ -238,3 +238,23 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles,
 FROM d LEFT JOIN n USING (r)
 LEFT JOIN (SELECT a AS r, min(doc_id) AS least FROM reach JOIN d ON d.r = reach.b GROUP BY a) m USING (r)
 """
+
+
+SQL["op6_debruijn"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '{WORD}'), []) AS w FROM documents),
+windows AS (
+  SELECT r, doc_id, i, array_to_string(list_slice(w, i, i + 49), ' ') AS words
+  FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+first AS (SELECT words, min(doc_id) AS least FROM windows GROUP BY words HAVING count(*) > 1),
+gone AS (
+  SELECT DISTINCT r, unnest(range(i, i + 50)) AS i
+  FROM windows JOIN first USING (words) WHERE least < doc_id),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS words, count(*) AS n
+  FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d) ANTI JOIN gone USING (r, i)
+  GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(words, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""

@@ -94,3 +94,11 @@ def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("class").alias("component_id")
     )
+
+
+@register
+def op6_debruijn(spark: SparkSession, folder: str) -> DataFrame:
+    from .debruijn import cut_repeats
+
+    cut = cut_repeats(table(spark, folder, "documents"), keep=["doc_id"], texts=False)
+    return cut.select("row.doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
