@@ -390,7 +390,7 @@ def probed(pairs: DataFrame, postings_of: DataFrame) -> DataFrame:
 def classes_of(
     docs: DataFrame, *, doc: str = "doc_id", text: str = "text", list_rows: int = LIST_ROWS
 ) -> DataFrame:
-    """(doc, text_key, n, class): the smallest id of each document's class."""
+    """(doc, text_key, n, group, class): each document's group, and the smallest id in it."""
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     base = base_table(docs, doc, text)
     frequent = frequent_shingles(base, list_rows)
@@ -421,5 +421,56 @@ def classes_of(
         "doc",
         "text_key",
         F.col("n"),
+        F.col("class").alias("group"),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc")).alias("class"),
     )
+
+
+def keep_one(docs: DataFrame, *, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of `docs`, one of each group: that of the smallest id, then the smallest text hash.
+
+    Rows that go are found by the hash of id and text; while those hashes are few enough
+    they are broadcast, packed, so the texts are not shuffled. Texts without words all stay.
+    """
+    found = stored(
+        classes_of(docs, doc=doc, text=text)
+        .where("n > 0")
+        .select("group", F.xxhash64(F.col("doc"), F.col("text_key")).alias("row_key"), "doc", "text_key")
+    )
+    first = F.struct(F.col("doc").isNull().alias("unnamed"), "doc", "text_key", "row_key")
+    best = found.groupBy("group").agg(F.min(first).alias("first"))
+    rows = found.join(best, "group")
+    gone = rows.where(F.col("row_key") != F.col("first.row_key")).select("row_key").distinct()
+    again = (
+        rows.where(F.col("row_key") == F.col("first.row_key"))
+        .groupBy("row_key")
+        .agg(F.count("*").alias("n"))
+        .where("n > 1")
+        .select("row_key")
+    )
+    keyed = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        F.xxhash64(docs[doc].cast("bigint"), F.xxhash64(docs[text].cast("string"))).alias("row_key"),
+    )
+    stay = without(keyed, stored(gone))
+    repeated = stored(again)
+    # The same row twice or more: one of them stays.
+    single = without(stay, repeated).select("row.*")
+    return single.union(
+        stay.join(repeated, "row_key", "left_semi").dropDuplicates(["row_key"]).select("row.*")
+    )
+
+
+def without(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    if keys.count() > KNOWN_KEYS:
+        return rows.join(keys, "row_key", "left_anti")
+    known = rows.sparkSession.sparkContext.broadcast(
+        np.sort(keys.toArrow().column("row_key").to_numpy())
+    )
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = within(known.value, batch.column("row_key").to_numpy(zero_copy_only=False))
+            yield batch.filter(pa.array(at < 0))
+
+    return rows.mapInArrow(choose, rows.schema)

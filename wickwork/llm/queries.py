@@ -102,3 +102,10 @@ def op6_debruijn(spark: SparkSession, folder: str) -> DataFrame:
 
     cut = cut_repeats(table(spark, folder, "documents"), keep=["doc_id"], texts=False)
     return cut.select("row.doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+
+
+@register
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    from .pii import find_private, summary
+
+    return summary(find_private(table(spark, folder, "documents"), keep=["doc_id"]), "doc_id")
