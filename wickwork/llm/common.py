@@ -123,7 +123,7 @@ def ranked(df: DataFrame, *order: Column, measures: dict[str, Column] | None = N
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, component): the smallest node reachable over `links` (a, b); linked nodes only.
+    """(node, component): the smallest node reachable over `links` (a, b); linked nodes but the smallest.
 
     Hash-to-min rounds with a written table each; a node sends the smallest node it knows to
     all others it knows, so the rounds grow with the logarithm of the longest path. A

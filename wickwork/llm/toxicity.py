@@ -447,10 +447,11 @@ def fit(facts: list[list[float]], labels: list[int]) -> tuple[np.ndarray, np.nda
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
         step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + pull, z.T @ (y - p) - pull @ w)
         w = w + np.clip(step, -2, 2)
+        # More evidence never lowers a score; a longer text alone never raises it.
+        w[1:FACTS] = np.maximum(w[1:FACTS], 0)
+        w[FACTS] = min(w[FACTS], 0)
         if np.abs(step).max() < 1e-6:
             break
-    # More evidence never lowers a score.
-    w[1:4] = np.maximum(w[1:4], 0)
     return mean, scale, w
 
 
@@ -461,10 +462,11 @@ def predict(facts: np.ndarray, model: tuple[np.ndarray, np.ndarray, np.ndarray])
 
 def restored(docs: DataFrame, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """(row, restored): every text as the channel's likeliest clean text, lower-case."""
-    model = docs.sparkSession.sparkContext.broadcast(char_model(docs, text))
+    context = docs.sparkSession.sparkContext
+    model, no_terms = context.broadcast(char_model(docs, text)), context.broadcast({})
 
     def work(texts: pa.Array) -> list:
-        own = matcher_of(model, model).decoder
+        own = matcher_of(model, no_terms).decoder
         return [[None if t is None else own.restore(t) for t in texts.to_pylist()]]
 
     return annotate(docs, text, [("restored", "string")], work, keep)
