@@ -441,17 +441,25 @@ def fit(facts: list[list[float]], labels: list[int]) -> tuple[np.ndarray, np.nda
     scale[scale < 1e-6] = 1.0
     z = np.column_stack([np.ones(len(x)), (x - mean) / scale])
     share = (y.sum() + 0.5) / (len(y) + 1)
-    w = np.array([math.log(share / (1 - share)), *[0.0] * FACTS])
-    pull = np.diag([1e-3, *[0.3] * FACTS])
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + pull, z.T @ (y - p) - pull @ w)
-        w = w + np.clip(step, -2, 2)
-        # More evidence never lowers a score; a longer text alone never raises it.
-        w[1:FACTS] = np.maximum(w[1:FACTS], 0)
-        w[FACTS] = min(w[FACTS], 0)
-        if np.abs(step).max() < 1e-6:
+    # More evidence never lowers a score; a longer text alone never raises it.
+    sign = np.array([0, *[1] * (FACTS - 1), -1])
+    used = np.ones(FACTS + 1, bool)
+    while True:
+        w = np.zeros(FACTS + 1)
+        w[0] = math.log(share / (1 - share))
+        pull = np.diag([1e-3, *[0.3] * FACTS])[np.ix_(used, used)]
+        part = z[:, used]
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(part @ w[used], -30, 30)))
+            slope = part.T @ (y - p) - pull @ w[used]
+            step = np.linalg.solve((part * (p * (1 - p))[:, None]).T @ part + pull, slope)
+            w[used] += np.clip(step, -2, 2)
+            if np.abs(step).max() < 1e-6:
+                break
+        wrong = used & (w * sign < 0)
+        if not wrong.any():
             break
+        used &= ~wrong
     return mean, scale, w
 
 
