@@ -49,6 +49,16 @@ def test_standardize_text_candle(spark):
     assert row["open_time"] == datetime(2024, 1, 1)
 
 
+@pytest.mark.parametrize("turn", [1, -1])
+def test_standardize_keeps_the_complete_duplicate(spark, turn):
+    whole = ("2024-01-01T00:00:00Z", "2024-01-01T00:01:00Z", "9", "9", "9", "9", "1")
+    holes = ("2024-01-01T00:00:00Z", "2024-01-01T00:01:00Z", None, "5", "5", None, "1")
+    columns = "open_time string, close_time string, open string, high string, low string, close string, volume string"
+    raw = spark.createDataFrame([whole, holes][::turn], columns)
+    (row,) = standardize(raw, "X", "s", F.lit(AS_OF)).collect()
+    assert (row["open"], row["close"]) == (9.0, 9.0)
+
+
 def test_standardize_empty_input(spark):
     raw = batch(spark).where("false").drop("symbol", "interval", "source", "extracted_at")
     out = standardize(raw, "BTCUSDT", "binance", F.lit(AS_OF))

@@ -82,6 +82,14 @@ def test_one_series_holding_most_rows_is_split(spark, make_candles):
     assert chunks["S"] >= 3 and chunks["T"] == 1
 
 
+def test_a_series_without_a_name_is_split(spark, make_candles):
+    candles = random_candles(make_candles, 6000, 3, 0.9).withColumn("series_id", F.lit(None).cast("string"))
+    split = split_with_halo(candles, LABEL_HALO, 1000)
+    assert split.select(CHUNK).distinct().count() >= 4
+    whole, cut = label_set(candles, chunk_rows=None), label_set(candles, chunk_rows=1000)
+    assert_equal_frames(whole.drop("series_id"), cut.drop("series_id"), ["ts"], 0)
+
+
 def test_chunks_without_broadcast(spark, make_candles, monkeypatch):
     """A plan table too large to broadcast meets the candles in a shuffled join."""
     candles = random_candles(make_candles, 3000, 11, 0.5).cache()

@@ -156,21 +156,25 @@ def test_step_figures(spark):
     assert M.filter_results(clean, ["test"], ["error"]).count() == 4
 
 
-def test_snapshot_splits_a_large_run_and_keeps_every_step(spark, tmp_path):
-    metrics = spark.createDataFrame([("r1", "row_count", 3.0)], "run_id string, metric_name string, metric_value double")
+def test_snapshot_has_one_shape_for_every_run(spark, tmp_path):
+    metrics = spark.createDataFrame(
+        [("r1", "row_count", 3.0, START), ("r1", "row_count", 5.0, AS_OF), ("gone", "row_count", 1.0, START)],
+        "run_id string, metric_name string, metric_value double, created_at timestamp",
+    )
     log = spark.createDataFrame(
         [("r1", "success", START, 1.0, 3, 3), ("r2", "failed", START, 1.0, 0, 0)],
         "run_id string, status string, started_at timestamp, duration_seconds double, rows_extracted bigint, rows_loaded bigint",
     )
-    documents = M.monitoring_snapshot(log, steps(spark, 50), metrics, F.lit(AS_OF), steps_per_document=10)
-    M.write_snapshot(documents, str(tmp_path / "s"))
+    both = steps(spark, 50).unionByName(steps(spark, 2).withColumn("run_id", F.lit("gone")))
+    M.write_snapshot(M.monitoring_snapshot(log, both, metrics, F.lit(AS_OF)), str(tmp_path / "s"))
     back = spark.read.json(str(tmp_path / "s"))
-    assert back.where("run_id = 'r2'").count() == 1
-    assert back.where("run_id = 'r1'").count() > 1
-    names = back.select(F.explode("steps.rows.model_name").alias("n"))
-    assert names.count() == 50 and names.distinct().count() == 50
-    whole = M.monitoring_snapshot(log, steps(spark, 50), metrics, F.lit(AS_OF))
-    assert whole.count() == 2
+    counts = {(r["run_id"], r["kind"]): r["count"] for r in back.groupBy("run_id", "kind").count().collect()}
+    assert counts == {
+        ("r1", "run"): 1, ("r2", "run"): 1, ("r1", "step"): 50, ("gone", "step"): 2, ("r1", "metric"): 1, ("gone", "metric"): 1}
+    assert back.where("kind = 'step' AND run_id = 'r1'").select("dbt.model_name").distinct().count() == 50
+    assert back.where("run_id = 'r1'").agg(F.max("quality.metric_value")).first()[0] == 5.0
+    assert back.where("exported_at IS NULL").count() == 0
+    assert back.where("coalesce(pipeline._fetched_at, dbt._fetched_at, quality._fetched_at) IS NULL").count() == 0
 
 
 def test_error_text_is_cut_in_the_run_log(spark):
@@ -185,3 +189,5 @@ def test_broadcast_needs_a_small_table(spark):
     assert BROADCAST_ROWS > 0
     assert hinted(broadcast_if_small(spark.range(10), max_rows=10))
     assert not hinted(broadcast_if_small(spark.range(11), max_rows=10))
+    wide = spark.range(40).select(F.repeat(F.lit("x"), 1 << 20).alias("text"))
+    assert not hinted(broadcast_if_small(wide, max_rows=100, rows=40))

@@ -12,7 +12,15 @@ from wickwork.config import Settings
 from wickwork.operators.candles import silver
 from wickwork.plans import marts as M
 from wickwork.plans.versions import feature_versions
-from wickwork.plans.weekly import Lake, previous_week, recent_candles, run_increment, run_week
+from wickwork.plans.days import DayIndex, days_to_read, read_days
+from wickwork.plans.weekly import (
+    Lake,
+    load_history,
+    previous_week,
+    run_increment,
+    run_week,
+    store_silver,
+)
 from wickwork.schema import BRONZE, FEATURES
 from wickwork.session import pinned
 from wickwork.sources import tables
@@ -106,7 +114,8 @@ def test_upsert_days_rewrites_only_touched_days(spark, make_candles, tmp_path):
 
 
 def write_silver(candles, lake, days):
-    tables.overwrite_days(candles.where(F.col("ts") < F.lit(START + timedelta(days=days))), lake.silver)
+    rows = candles.where(F.col("ts") < F.lit(START + timedelta(days=days)))
+    store_silver(candles.sparkSession, lake, rows)
 
 
 def test_runs_in_steps_equal_one_full_refresh(spark, candles, tmp_path):
@@ -131,51 +140,109 @@ def test_runs_in_steps_equal_one_full_refresh(spark, candles, tmp_path):
     assert_same(spark.read.parquet(steps.features), spark.read.parquet(whole.features))
 
 
-def test_ended_and_new_series(spark, make_candles, tmp_path):
-    """An ended series does not matter any more, a new one is taken from its start."""
+@pytest.mark.parametrize("with_ended", [True, False])
+def test_ended_and_new_series(spark, make_candles, tmp_path, with_ended):
+    """Ended, new, young, gapped and nameless series give the rows of one full run."""
     lake = Lake(str(tmp_path / "a"))
     day = 1440
-    ended = make_candles(range(1, 200), range(0, 199), series="ENDED")
-    running = make_candles(range(1, 2401), range(20 * day, 20 * day + 2400), series="RUN")
-    tables.overwrite_days(ended.unionByName(running), lake.silver)
+    parts = [make_candles(range(1, 2401), range(20 * day, 20 * day + 2400), series="RUN")]
+    if with_ended:
+        parts.append(make_candles(range(1, 200), range(0, 199), series="ENDED"))
+    parts.append(make_candles(range(3, 63), range(21 * day, 21 * day + 60), series="YOUNG"))
+    parts.append(make_candles(range(1, 41), [m * 700 for m in range(40)], series="GAPS"))
+    parts.append(make_candles(range(7, 47), range(20 * day, 20 * day + 40), series="N").withColumn("series_id", F.lit(None)))
+    first = pinned(unioned(parts))
+    store_silver(spark, lake, first)
     run_increment(spark, lake, SMALL, AS_OF)
-    more = make_candles(range(2401, 2451), range(20 * day + 2400, 20 * day + 2450), series="RUN")
-    young = make_candles(range(5, 305), range(3 * day, 3 * day + 300), series="NEW")
-    everything = pinned(ended.unionByName(running).unionByName(more).unionByName(young))
-    tables.overwrite_days(everything, lake.silver)
+    parts.append(make_candles(range(2401, 2451), range(20 * day + 2400, 20 * day + 2450), series="RUN"))
+    parts.append(make_candles(range(5, 305), range(3 * day, 3 * day + 300), series="NEW"))
+    parts.append(make_candles(range(63, 93), range(21 * day + 60, 21 * day + 90), series="YOUNG"))
+    parts.append(make_candles(range(41, 61), [m * 700 for m in range(40, 60)], series="GAPS"))
+    parts.append(make_candles(range(47, 87), range(20 * day + 40, 20 * day + 80), series="N").withColumn("series_id", F.lit(None)))
+    everything = pinned(unioned(parts))
+    store_silver(spark, lake, everything)
     counts = run_increment(spark, lake, SMALL, AS_OF)
-    assert counts["features"] == 350
+    assert counts["features"] == everything.count() - first.count()
+    assert run_increment(spark, lake, SMALL, AS_OF) == {"features": 0, "labels": 0}
     whole = Lake(str(tmp_path / "b"))
-    tables.overwrite_days(everything, whole.silver)
+    store_silver(spark, whole, everything)
     run_increment(spark, whole, SMALL, AS_OF)
-    assert_same(spark.read.parquet(lake.features), spark.read.parquet(whole.features))
+    for name in ("features", "labels"):
+        assert_same(spark.read.parquet(getattr(lake, name)), spark.read.parquet(getattr(whole, name)))
+
 
+def unioned(parts):
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
-def test_increment_starts_at_recent_days(spark, make_candles, tmp_path):
+
+def test_increment_reads_recent_folders_only(spark, make_candles, tmp_path):
+    """A young and an ended series do not open the history."""
     lake = Lake(str(tmp_path))
-    n = 40 * 1440
     ts = F.timestamp_seconds(F.col("id") * 60 + int(START.timestamp()))
     template = make_candles([1.0]).drop("ts", "series_id")
     ended = make_candles([1, 2, 3], series="ENDED")
-    long = spark.range(n).select(F.lit("LONG").alias("series_id"), ts.alias("ts")).crossJoin(template)
-    both = long.select(*ended.columns).unionByName(ended)
-    tables.overwrite_days(both, lake.silver)
-    marks = pinned(
-        spark.createDataFrame(
-            [("LONG", START + timedelta(days=38)), ("ENDED", START + timedelta(minutes=2))],
-            "series_id string, mark timestamp",
-        )
-    )
-    recent = recent_candles(spark, lake, marks, 1440)
-    first = recent.agg(F.min("ts")).first()[0]
-    assert first == datetime(2024, 1, 1) + timedelta(days=34)
+    young = make_candles(range(1, 50), range(39 * 1440 - 49, 39 * 1440), series="YOUNG")
+    long = spark.range(39 * 1440).select(F.lit("LONG").alias("series_id"), ts.alias("ts")).crossJoin(template)
+    first = long.select(*ended.columns).unionByName(ended).unionByName(young)
+    store_silver(spark, lake, first)
+    run_increment(spark, lake, SMALL, AS_OF)
+    more = spark.range(39 * 1440, 40 * 1440).select(F.lit("LONG").alias("series_id"), ts.alias("ts")).crossJoin(template)
+    later = make_candles(range(50, 60), range(39 * 1440, 39 * 1440 + 10), series="YOUNG")
+    store_silver(spark, lake, more.select(*ended.columns).unionByName(later))
+    stored = DayIndex(spark, lake.silver).read()
+    for name, back, ahead, days in (("features", 1440, 0, 3), ("labels", 0, 15, 2)):
+        done = DayIndex(spark, getattr(lake, name), ("series_id", "version_id")).read()
+        rows, read = read_days(spark.read.parquet(lake.silver), days_to_read(stored, done, back, ahead))
+        assert len(read) == days and min(read) >= (START + timedelta(days=40 - days)).date()
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [ts_date" in plan or "PartitionFilters: [isnotnull(ts_date" in plan
+        assert rows.where("series_id = 'ENDED'").count() == 0
+
+
+def test_day_counts_survive_a_broken_write(spark, make_candles, tmp_path):
+    lake = Lake(str(tmp_path))
+    store_silver(spark, lake, make_candles([1, 2, 3]))
+    index = DayIndex(spark, lake.silver)
+
+    def broken():
+        tables.overwrite_days(make_candles([1, 2, 3, 4, 5]), lake.silver)
+        raise OSError("lost")
+
+    with pytest.raises(OSError):
+        index.update([START.date()], broken)
+    assert [r["rows"] for r in index.read().collect()] == [5]
+
+
+def test_a_refresh_keeps_other_versions(spark, make_candles, tmp_path):
+    lake = Lake(str(tmp_path))
+    store_silver(spark, lake, make_candles(range(1, 61)))
+    one = feature_versions(spark, AS_OF)
+    two = one.withColumn("version_id", F.lit("2/b"))
+    run_increment(spark, lake, SMALL, AS_OF, versions=one)
+    run_increment(spark, lake, SMALL, AS_OF, versions=two)
+    assert run_increment(spark, lake, SMALL, AS_OF, versions=two, full_refresh=True)["features"] == 60
+    assert run_increment(spark, lake, SMALL, AS_OF, versions=two) == {"features": 0, "labels": 0}
+    found = spark.read.parquet(lake.features).groupBy("version_id").count().collect()
+    assert {r["version_id"]: r["count"] for r in found} == {"v1": 60, "2/b": 60}
+
+
+def test_history_file_feeds_the_marts(spark, tmp_path):
+    path = tmp_path / "history.csv"
+    s = int(START.timestamp())
+    lines = [f"{s + 60 * m},100,101,99,100.5,{m + 1}" for m in range(100)]
+    path.write_text("\n".join(["timestamp,open,high,low,close,volume", *lines]))
+    counts = load_history(spark, str(tmp_path / "lake"), str(path), AS_OF, SMALL, cutoff=START + timedelta(minutes=80))
+    assert counts == {"features": 80, "labels": 65}
 
 
 def test_late_rows_stay_out_of_the_marts(spark, make_candles, tmp_path):
     lake = Lake(str(tmp_path))
-    tables.overwrite_days(make_candles([1, 2, 3], minutes=[0, 2, 3]), lake.silver)
+    store_silver(spark, lake, make_candles([1, 2, 3], minutes=[0, 2, 3]))
     run_increment(spark, lake, SMALL, AS_OF)
-    tables.overwrite_days(make_candles([1, 9, 2, 3, 4], minutes=[0, 1, 2, 3, 4]), lake.silver)
+    store_silver(spark, lake, make_candles([1, 9, 2, 3, 4], minutes=[0, 1, 2, 3, 4]))
     run_increment(spark, lake, SMALL, AS_OF)
     got = [r["ts"].minute for r in rows(spark.read.parquet(lake.features), "ts")]
     assert got == [0, 2, 3, 4]
@@ -198,7 +265,7 @@ def klines(start, minutes, price=100.0):
     ms = int(start.timestamp() * 1000)
     return json.dumps(
         [
-            [ms + 60_000 * m, str(price + m % 9), str(price + m % 9 + 1), str(price + m % 9 - 1), str(price + m % 11 - 1),
+            [ms + 60_000 * m, str(price + m % 9), str(price + m % 9 + 1), str(price + m % 9 - 1), str(price + m % 9 + m % 3 / 2),
              "2.5", ms + 60_000 * m + 59_999, "0", 1, "0", "0", "0"]
             for m in minutes
         ]
@@ -236,6 +303,9 @@ def test_weekly_job_end_to_end(spark, tmp_path):
     assert spark.read.parquet(lake.data_quality).count() == 12
     steps = spark.read.parquet(lake.step_results)
     assert steps.where("status = 'pass'").count() == steps.count() > 20
+    records = [json.loads(r[0]) for r in spark.read.text(lake.snapshot).collect()]
+    assert sum(r["kind"] == "run" for r in records) == 2
+    assert sum(r["kind"] == "step" for r in records) == steps.count()
     with pytest.raises(RuntimeError, match="All sources failed: binance: invalid data"):
         run_week(spark, root, {"binance": [str(land / "bad.json")]}, now=AS_OF + timedelta(days=14),
                  settings=settings, window=(second, second + timedelta(minutes=300)))
@@ -243,6 +313,19 @@ def test_weekly_job_end_to_end(spark, tmp_path):
     assert failed["status"] == "failed" and "All sources failed" in failed["error_message"]
 
 
+def test_failing_rules_fail_the_run(spark, tmp_path):
+    """A batch without volume passes validation and breaks the rules of the returns."""
+    (tmp_path / "k.json").write_text(klines(START, range(100)).replace('"2.5"', '"0"'))
+    lake = Lake(str(tmp_path / "lake"))
+    with pytest.raises(RuntimeError, match="Quality rules failed: returns_not_null_log_volume"):
+        run_week(spark, lake.root, {"binance": [str(tmp_path / "k.json")]}, now=AS_OF,
+                 settings=SMALL, window=(START, START + timedelta(minutes=100)))
+    (run,) = spark.read.parquet(lake.pipeline_runs).collect()
+    assert run["status"] == "failed" and run["rows_loaded"] == 100
+    tested = {r[0].split("_")[0] for r in spark.read.parquet(lake.step_results).select("model_name").collect()}
+    assert tested == {"bronze", "silver", "returns", "features", "labels", "feature", "checkpoints"}
+
+
 def test_previous_week():
     assert previous_week(datetime(2024, 1, 17, 12, tzinfo=timezone.utc)) == (
         datetime(2024, 1, 8, tzinfo=timezone.utc), datetime(2024, 1, 15, tzinfo=timezone.utc))
@@ -275,12 +358,24 @@ def test_stream_equals_batch(spark, candles, tmp_path):
         run_available(spark, root, str(tmp_path / "cp"), settings, as_of=AS_OF)
     run_available(spark, root, str(tmp_path / "cp"), settings, as_of=AS_OF)
     whole = Lake(str(tmp_path / "batch"))
-    tables.overwrite_days(silver(files[0].unionByName(files[1]), {}), whole.silver)
+    store_silver(spark, whole, silver(files[0].unionByName(files[1]), {}))
     run_increment(spark, whole, settings, AS_OF)
     for name in ("silver", "features", "labels"):
         assert_same(spark.read.parquet(getattr(lake, name)), spark.read.parquet(getattr(whole, name)))
 
 
+def test_stream_and_batch_agree_on_ties(spark, make_candles, tmp_path):
+    """Equal extraction times: the smaller source wins, whichever came first."""
+    settings = Settings(chunk_rows=None, series_by_symbol={})
+    for name, order in (("x", ("b", "a")), ("y", ("a", "b"))):
+        lake = Lake(str(tmp_path / name))
+        for source in order:
+            rows_ = make_candles([ord(source)]).withColumn("source", F.lit(source))
+            as_bronze(rows_, 9).coalesce(1).write.mode("append").parquet(lake.bronze)
+            run_available(spark, lake.root, str(tmp_path / f"cp-{name}"), settings, as_of=AS_OF)
+        assert [r["source"] for r in spark.read.parquet(lake.silver).collect()] == ["a"]
+
+
 def test_stream_ignores_an_older_extraction(spark, make_candles, tmp_path):
     settings = Settings(chunk_rows=None, series_by_symbol={})
     lake = Lake(str(tmp_path))

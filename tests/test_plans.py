@@ -1,8 +1,11 @@
 """Physical plans: what is pushed down, pre-aggregated and shuffled."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from wickwork.catalog import QUERIES
 from wickwork.operators import keys as K
 from wickwork.operators.candles import silver
 from wickwork.operators.profile import quality_metrics
@@ -63,3 +66,9 @@ def test_day_folders_are_pruned(spark, make_candles, tmp_path):
     one = spark.read.parquet(path).where(F.col(tables.DAY) >= F.lit("2024-01-02").cast("date"))
     assert "PartitionFilters: [isnotnull(ts_date" in physical(one)
     assert one.count() == 1
+
+
+def test_window_queries_pin_only_what_they_need(spark):
+    plan = physical(QUERIES["rolling_std"](spark, "/root/testdata/sf0.001"))
+    scanned = re.search(r"Scan ExistingRDD\[([^\]]*)\]", plan).group(1)
+    assert [c.split("#")[0] for c in scanned.split(",")] == ["series_id", "ts", "close_price"]

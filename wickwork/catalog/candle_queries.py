@@ -86,8 +86,10 @@ def norm_history_objects(spark, d):
       "interval", 'vendor' AS source, TIMESTAMP '2024-02-01' AS extracted_at
     FROM ({X.BRONZE_SQL})
     QUALIFY row_number() OVER (PARTITION BY symbol, open_time
-      ORDER BY close_time NULLS FIRST, open NULLS FIRST, high NULLS FIRST, low NULLS FIRST,
-               close NULLS FIRST) = 1""",
+      ORDER BY (close_time IS NULL)::INT + (open IS NULL)::INT + (high IS NULL)::INT
+               + (low IS NULL)::INT + (close IS NULL)::INT + (volume IS NULL)::INT,
+               close_time NULLS FIRST, open NULLS FIRST, high NULLS FIRST, low NULLS FIRST,
+               close NULLS FIRST, volume NULLS FIRST) = 1""",
 )
 def standardize_ohlcv(spark, d):
     raw = X.bronze(spark, d).withColumns({c: F.col(c).cast("string") for c in NUMBERS})

@@ -103,9 +103,13 @@ def candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def pinned_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Materialised once: windows read their input twice, and the ticks are far larger."""
-    return pinned(candles(spark, sf_dir))
+def pinned_candles(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Materialised once: windows read their input twice, and the ticks are far larger.
+
+    Only ``columns`` are kept, all of them by default: nothing is pruned behind a checkpoint.
+    """
+    rows = candles(spark, sf_dir)
+    return pinned(rows.select(*columns) if columns else rows)
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from .registry import query
 
 _NEW_ORDERS = """SELECT o_orderkey, o_custkey, o_orderstatus,
   o_totalprice * 1.1 AS o_totalprice, o_orderdate, o_orderpriority
-  FROM orders WHERE o_orderkey % 2 = 0"""
+  FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0"""
 _OLD_ORDERS = "SELECT * FROM orders WHERE o_orderkey % 3 <> 0"
 _ORDER_OUT = (
     "o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 4) AS o_totalprice, "
@@ -26,7 +26,8 @@ _ORDER_OUT = (
 def _old_and_new(spark, d):
     orders = X.table(spark, d, "orders")
     old = orders.where(F.col("o_orderkey") % 3 != 0)
-    new = orders.where(F.col("o_orderkey") % 2 == 0).withColumn(
+    even, third = F.col("o_orderkey") % 2 == 0, F.col("o_orderkey") % 3 == 0
+    new = orders.where(even | third).withColumn(
         "o_totalprice", F.col("o_totalprice") * 1.1
     )
     return old, new

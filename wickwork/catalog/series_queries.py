@@ -120,8 +120,9 @@ labels AS (SELECT *,
   FROM ahead)"""
 
 
-def _over(spark, d, halo, build):
-    return P.over_series(X.pinned_candles(spark, d), halo, build)
+def _over(spark, d, halo, build, *columns):
+    """``build`` over candles of the named columns only."""
+    return P.over_series(X.pinned_candles(spark, d, *KEY, *columns), halo, build)
 
 
 _LOGRETS = [f"logret_{n}m" for n in P.RETURN_HORIZONS]
@@ -129,7 +130,7 @@ _LOGRETS = [f"logret_{n}m" for n in P.RETURN_HORIZONS]
 
 @query("log_returns", _features_sql(*_LOGRETS))
 def log_returns(spark, d):
-    out = _over(spark, d, P.RETURNS_HALO, lambda df, w, keys: P.with_returns(df, w))
+    out = _over(spark, d, P.RETURNS_HALO, lambda df, w, keys: P.with_returns(df, w), "close_price")
     return _out(out, *KEY, *_LOGRETS)
 
 
@@ -146,7 +147,7 @@ def lagged_returns(spark, d):
     def build(df, w, keys):
         return P.with_lagged_returns(P.with_returns(df, w, (1,)), w)
 
-    return _out(_over(spark, d, P.LAGGED_HALO, build), *KEY, *_LAGGED)
+    return _out(_over(spark, d, P.LAGGED_HALO, build, "close_price"), *KEY, *_LAGGED)
 
 
 def _volatility(df, w, keys):
@@ -155,47 +156,54 @@ def _volatility(df, w, keys):
 
 @query("rolling_std", _features_sql("vol_60m", "vol_1d"))
 def rolling_std(spark, d):
-    return _out(_over(spark, d, P.VOLATILITY_HALO, _volatility), *KEY, "vol_60m", "vol_1d")
+    return _out(_over(spark, d, P.VOLATILITY_HALO, _volatility, "close_price"), *KEY, "vol_60m", "vol_1d")
 
 
 @query("rolling_avg", _features_sql("vol_ma_60m"))
 def rolling_avg(spark, d):
-    out = _over(
-        spark, d, P.VOLUME_HALO, lambda df, w, keys: with_rolling(df, P.VOLUME[:1], keys)
-    )
+    def build(df, w, keys):
+        return with_rolling(df, P.VOLUME[:1], keys)
+
+    out = _over(spark, d, P.VOLUME_HALO, build, "volume")
     return _out(out, *KEY, "vol_ma_60m")
 
 
+_BAR = ["high_price", "low_price", "close_price"]
+
+
 def _ichimoku(df, w, keys):
     return P.with_ichimoku(df, w)
 
 
 @query("ichimoku", _features_sql(*_LINES))
 def ichimoku(spark, d):
-    return _out(_over(spark, d, P.ICHIMOKU_HALO, _ichimoku), *KEY, *_LINES)
+    return _out(_over(spark, d, P.ICHIMOKU_HALO, _ichimoku, *_BAR), *KEY, *_LINES)
 
 
 @query("volatility", _features_sql("vol_annualized", "vol_ratio"))
 def volatility(spark, d):
-    out = P.with_volatility_ratios(_over(spark, d, P.VOLATILITY_HALO, _volatility))
+    out = P.with_volatility_ratios(_over(spark, d, P.VOLATILITY_HALO, _volatility, "close_price"))
     return _out(out, *KEY, "vol_annualized", "vol_ratio")
 
 
 @query("volume_zscore", _features_sql("vol_zscore"))
 def volume_zscore(spark, d):
-    out = _over(spark, d, P.VOLUME_HALO, lambda df, w, keys: with_rolling(df, P.VOLUME, keys))
+    def build(df, w, keys):
+        return with_rolling(df, P.VOLUME, keys)
+
+    out = _over(spark, d, P.VOLUME_HALO, build, "volume")
     return _out(P.with_volume_zscore(out), *KEY, "vol_zscore")
 
 
 @query("ichimoku_distances", _features_sql(*_DISTANCES))
 def ichimoku_distances(spark, d):
-    out = P.with_distances(_over(spark, d, P.ICHIMOKU_HALO, _ichimoku))
+    out = P.with_distances(_over(spark, d, P.ICHIMOKU_HALO, _ichimoku, *_BAR))
     return _out(out, *KEY, *_DISTANCES)
 
 
 @query("binary_signals", _features_sql(*SIGNALS[:3]))
 def binary_signals(spark, d):
-    out = P.with_signals(_over(spark, d, P.ICHIMOKU_HALO, _ichimoku))
+    out = P.with_signals(_over(spark, d, P.ICHIMOKU_HALO, _ichimoku, *_BAR))
     return _out(out, *KEY, *SIGNALS[:3])
 
 
@@ -204,7 +212,7 @@ def lagged_signal(spark, d):
     def build(df, w, keys):
         return P.with_lagged_signal(P.with_ichimoku(df, w), w)
 
-    return _out(_over(spark, d, P.SIGNAL_HALO, build), *KEY, SIGNALS[3])
+    return _out(_over(spark, d, P.SIGNAL_HALO, build, *_BAR), *KEY, SIGNALS[3])
 
 
 @query("feature_set", _features_sql(*FEATURES))
@@ -212,6 +220,15 @@ def feature_set(spark, d):
     return _out(P.feature_set(X.pinned_candles(spark, d)), *KEY, *FEATURES)
 
 
+# The same results from chunks so short that every series is cut many times.
+CUT_ROWS = 300
+
+
+@query("feature_set_cut", _features_sql(*FEATURES))
+def feature_set_cut(spark, d):
+    return _out(P.feature_set(X.pinned_candles(spark, d), CUT_ROWS), *KEY, *FEATURES)
+
+
 _LABEL_COLUMNS = "round(y_logret_5m, 6) AS y_logret_5m, round(y_logret_15m, 6) AS y_logret_15m"
 
 
@@ -222,7 +239,7 @@ def future_returns(spark, d):
             {f"y_logret_{h}m": S.future_log_return("close_price", h, w) for h in L.LABEL_HORIZONS}
         )
 
-    out = _over(spark, d, L.LABEL_HALO, build)
+    out = _over(spark, d, L.LABEL_HALO, build, "close_price")
     return _out(out, *KEY, "y_logret_5m", "y_logret_15m")
 
 
@@ -236,7 +253,7 @@ def shock_label(spark, d):
             }
         )
 
-    out = _over(spark, d, Halo(ahead=L.SHOCK_HORIZON), build)
+    out = _over(spark, d, Halo(ahead=L.SHOCK_HORIZON), build, "close_price")
     return out.select(*KEY, "y_shock_15m", "y_shock_15m_1")
 
 
@@ -273,10 +290,21 @@ def _labels_sql(where: str = "") -> str:
     WHERE y_logret_5m IS NOT NULL AND y_logret_15m IS NOT NULL {where}"""
 
 
+def _label_candles(spark, d):
+    return X.pinned_candles(spark, d, *KEY, "symbol", "timeframe", "close_price")
+
+
 @query("labels_mart", _labels_sql())
 def labels_mart(spark, d):
     versions = feature_versions(spark, X.AS_OF)
-    return _mart_out(M.labels_mart(X.pinned_candles(spark, d), versions, X.AS_OF))
+    return _mart_out(M.labels_mart(_label_candles(spark, d), versions, X.AS_OF))
+
+
+@query("labels_mart_cut", _labels_sql())
+def labels_mart_cut(spark, d):
+    versions = feature_versions(spark, X.AS_OF)
+    rows = M.labels_mart(_label_candles(spark, d), versions, X.AS_OF, chunk_rows=CUT_ROWS)
+    return _mart_out(rows)
 
 
 @query("feature_increment", _mart_sql("WHERE ts > TIMESTAMP '2024-01-22'"))
@@ -286,10 +314,27 @@ def feature_increment(spark, d):
     return _mart_out(rows)
 
 
-@query("label_increment", _labels_sql("AND ts > TIMESTAMP '2024-01-22'"))
+@query("feature_increment_cut", _mart_sql("WHERE ts > TIMESTAMP '2024-01-22'"))
+def feature_increment_cut(spark, d):
+    versions = feature_versions(spark, X.AS_OF)
+    candles = X.pinned_candles(spark, d)
+    return _mart_out(M.feature_increment(candles, versions, X.MARK, X.AS_OF, CUT_ROWS))
+
+
+@query(
+    "label_increment",
+    _labels_sql(
+        "AND ts > CASE series_id WHEN 'click' THEN TIMESTAMP '2024-01-22'"
+        " WHEN 'view' THEN TIMESTAMP '2024-01-10' ELSE TIMESTAMP '1970-01-01' END"
+    ),
+)
 def label_increment(spark, d):
+    """A mark per series; series without one are new."""
     versions = feature_versions(spark, X.AS_OF)
-    rows = M.label_increment(X.pinned_candles(spark, d), versions, X.MARK, X.AS_OF)
+    marks = spark.createDataFrame(
+        [("click", X.MARK), ("view", X.utc(2024, 1, 10))], "series_id string, mark timestamp"
+    )
+    rows = M.label_increment(_label_candles(spark, d), versions, marks, X.AS_OF)
     return _mart_out(rows)
 
 

@@ -26,6 +26,12 @@ def dedupe_latest(bronze: DataFrame, key: str = "series_id") -> DataFrame:
     return keep_latest(bronze, [key, "open_time"], "extracted_at", rest)
 
 
+def latest_silver(rows: DataFrame) -> DataFrame:
+    """``dedupe_latest`` for rows in silver layout: same rule, same ties."""
+    rest = ["source", "symbol", *_PRICE_NAMES.values()]
+    return keep_latest(rows, ["series_id", "ts"], "ingested_at", rest)
+
+
 def with_series(df: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
     return df.withColumn("series_id", series_of("symbol", mapping))
 

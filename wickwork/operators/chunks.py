@@ -119,12 +119,15 @@ def split_with_halo(
     if not cut_days:
         return whole.repartition(tasks, series)
     # only series with several chunks are in the map; the others stay in chunk 0
-    cut = plan.where(is_cut).select(series, DAY, OWN, "_chunks")
+    cut = plan.where(is_cut).select(
+        F.col(series).alias("_series"), F.col(DAY).alias("_cut_day"), OWN, "_chunks"
+    )
     zero = F.lit(0).cast("bigint")
+    # a series without a name is a series, too
+    same = F.col(series).eqNullSafe(F.col("_series")) & (F.to_date(ts) == F.col("_cut_day"))
     return (
-        df.withColumn(DAY, F.to_date(ts))
-        .join(broadcast_if_small(cut, rows=cut_days), [series, DAY], "left")
-        .drop(DAY)
+        df.join(broadcast_if_small(cut, rows=cut_days), same, "left")
+        .drop("_series", "_cut_day")
         .withColumns(
             {
                 OWN: F.coalesce(OWN, zero),

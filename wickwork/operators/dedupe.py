@@ -22,5 +22,7 @@ def keep_latest(
     return _first_by(df, keys, [F.col(latest).desc(), *[F.col(c).asc() for c in tiebreak]])
 
 
-def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    return _first_by(df, keys, [F.col(c).asc() for c in order])
+def keep_first(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
+    """The first row per key, ascending."""
+    columns = [F.col(c) if isinstance(c, str) else c for c in order]
+    return _first_by(df, keys, [c.asc() for c in columns])

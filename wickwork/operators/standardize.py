@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,6 +67,7 @@ def standardize(
 
     ``raw`` holds open_time, close_time and the five numbers as text, numbers or
     timestamps; text is taken as the constant name, a Column is evaluated per row.
+    Of rows for one minute the one with the fewest missing values stays.
     """
     candles = raw.select(
         *[_parsed(raw, c).alias(c) for c in ("open_time", "close_time")],
@@ -74,7 +77,9 @@ def standardize(
         _as_column(source).alias("source"),
         extracted_at.cast("timestamp").alias("extracted_at"),
     ).select(*BRONZE.names)
-    return keep_first(candles, ["source", "symbol", "open_time"], RAW_CANDLE[1:])
+    values = [F.col(c) for c in RAW_CANDLE[1:]]
+    missing = reduce(lambda a, b: a + b, [v.isNull().cast("int") for v in values])
+    return keep_first(candles, ["source", "symbol", "open_time"], [missing, *values])
 
 
 def unreadable_times(raw: DataFrame, columns: tuple[str, ...] = ("open_time", "close_time")):

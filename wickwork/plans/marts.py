@@ -91,8 +91,10 @@ def with_marks(candles: DataFrame, marks) -> DataFrame:
     """Add ``_mark``: one time for all series, or a table (series_id, mark)."""
     if not isinstance(marks, DataFrame):
         return candles.withColumn("_mark", F.lit(marks if marks is not None else EPOCH))
-    table = broadcast_if_small(marks.select("series_id", F.col("mark").alias("_mark")))
-    joined = candles.join(table, "series_id", "left")
+    named = marks.select(F.col("series_id").alias("_series"), F.col("mark").alias("_mark"))
+    # a series without a name has a mark, too
+    same = F.col("series_id").eqNullSafe(F.col("_series"))
+    joined = candles.join(broadcast_if_small(named), same, "left").drop("_series")
     epoch = F.lit(EPOCH).cast(candles.schema["ts"].dataType)
     return joined.withColumn("_mark", F.coalesce("_mark", epoch))
 
@@ -131,12 +133,9 @@ def lookback_days(candles: DataFrame, marks, rows: int) -> DataFrame:
 
 def with_lookback(candles: DataFrame, marks, rows: int) -> DataFrame:
     """New rows plus at least ``rows`` earlier rows of the same series."""
-    start = broadcast_if_small(pinned(lookback_days(candles, marks, rows)))
-    return (
-        candles.join(start, "series_id")
-        .where(F.to_date("ts") >= F.col("_from"))
-        .drop("_from")
-    )
+    start = lookback_days(candles, marks, rows).withColumnRenamed("series_id", "_series")
+    wanted = F.col("series_id").eqNullSafe(F.col("_series")) & (F.to_date("ts") >= F.col("_from"))
+    return candles.join(broadcast_if_small(pinned(start)), wanted).drop("_series", "_from")
 
 
 def feature_increment(

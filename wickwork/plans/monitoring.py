@@ -11,7 +11,6 @@ from ..functions.scalars import tier, truncate_text
 from ..operators.keys import top_per_group
 from ..operators.profile import in_long_form
 from ..schema import CHECKPOINT_LOG, QUALITY_LOG, RUN_LOG, STEP_LOG
-from ..session import broadcast_if_small, pinned
 
 # Spellings of a status, limits of the views.
 STATUS_NAMES = {"pass": "success", "fail": "error", "failed": "error"}
@@ -179,65 +178,54 @@ def with_load_integrity(runs: DataFrame) -> DataFrame:
     )
 
 
-# A document nests the steps of one run; runs beyond this many steps get several.
-STEPS_PER_DOCUMENT = 1000
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
+def latest_metrics(metrics: DataFrame) -> DataFrame:
+    """The last value of each metric of a run; the log may hold a metric twice."""
+    order = ["created_at"] if "created_at" in metrics.columns else []
+    newest = F.struct(*[F.col(c) for c in (*order, "metric_value")])
+    kept = metrics.groupBy("run_id", "metric_name").agg(F.max(newest).alias("_kept"))
+    return kept.select("run_id", "metric_name", "_kept.*")
 
 
 def monitoring_snapshot(
-    runs: DataFrame,
-    steps: DataFrame,
-    metrics: DataFrame,
-    exported_at: Column,
-    steps_per_document: int = STEPS_PER_DOCUMENT,
+    runs: DataFrame, steps: DataFrame, metrics: DataFrame, exported_at: Column
 ) -> DataFrame:
-    """One JSON document per run: the run, recent history, its steps, its metrics.
+    """The state of the pipeline as JSON records: (run_id, kind, document).
 
-    ``steps`` and the long-form ``metrics`` carry run_id.  A run with more steps than
-    a document holds is spread evenly over numbered parts, equal steps included, so no
-    task ever nests an unbounded list; the parts together hold every step once.
-    ``steps`` must be a stored table, whose row numbering is the same on a retry.
+    Every run gives one record with the recent history (at most 20 runs), every step and
+    every metric one of its own, whatever the size of the run.  Steps and metrics of a
+    run that is not in the run log are kept.  All records carry the time they were
+    fetched at.
     """
-    step = F.struct(*[F.col(c) for c in steps.columns if c != "run_id"])
-    counts = steps.groupBy("run_id").agg(F.count(F.lit(1)).alias("_n"))
-    large = pinned(
-        counts.where(F.col("_n") > steps_per_document).select(
-            "run_id", F.ceil(F.col("_n") / steps_per_document).alias("_parts")
-        )
-    )
-    spread = F.pmod("_row", F.coalesce("_parts", F.lit(1).cast("bigint")))
-    nested = (
-        steps.withColumn("_row", F.monotonically_increasing_id())
-        .join(broadcast_if_small(large), "run_id", "left")
-        .groupBy("run_id", spread.alias("part"))
-        .agg(F.sort_array(F.collect_list(step)).alias("steps"))
-    )
     dated = F.struct("started_at", F.struct(*RUN_COLUMNS).alias("run"))
     newest_first = F.sort_array(F.collect_list(dated), asc=False)
     history = recent_runs(runs).agg(F.transform(newest_first, lambda r: r["run"]).alias("history"))
-    quality = metrics.groupBy("run_id").agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("metric_name", "metric_value")))).alias(
-            "metrics"
-        )
-    )
-    documents = (
-        runs.join(nested, "run_id", "left")
-        .join(quality, "run_id", "left")
-        .crossJoin(F.broadcast(history))
-    )
-    payload = F.struct(
-        F.struct(*[F.col(c) for c in runs.columns], "history").alias("pipeline"),
-        F.struct(F.coalesce("steps", F.array()).alias("rows")).alias("steps"),
-        F.struct("run_id", "metrics").alias("quality"),
-        exported_at.alias("exported_at"),
-        F.col("run_id").alias("run_id"),
-    )
-    return documents.select(
-        "run_id", F.coalesce("part", F.lit(0)).alias("part"), F.to_json(payload).alias("document")
+    fetched = exported_at.alias("_fetched_at")
+
+    def records(rows: DataFrame, kind: str, field: str, *body: str) -> DataFrame:
+        part = F.struct(*[F.col(c) for c in body], fetched)
+        document = F.struct("run_id", F.lit(kind).alias("kind"), part.alias(field), exported_at.alias("exported_at"))
+        return rows.select("run_id", F.lit(kind).alias("kind"), F.to_json(document, _JSON).alias("document"))
+
+    # one row of history, by construction
+    with_history = runs.crossJoin(F.broadcast(history))
+    values = latest_metrics(metrics)
+    return (
+        records(with_history, "run", "pipeline", *runs.columns, "history")
+        .unionByName(records(steps, "step", "dbt", *[c for c in steps.columns if c != "run_id"]))
+        .unionByName(records(values, "metric", "quality", *[c for c in values.columns if c != "run_id"]))
     )
 
 
 def write_snapshot(documents: DataFrame, path: str) -> None:
-    """Documents as JSON lines."""
-    documents.select("document").write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).text(path)
+    """Records as JSON lines, those of a run together; a large run is several files."""
+    (
+        documents.repartitionByRange("run_id", "kind", F.xxhash64("document"))
+        .sortWithinPartitions("run_id", "kind", "document")
+        .select("document")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .text(path)
+    )

@@ -7,9 +7,9 @@ import traceback
 import uuid
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
+from functools import reduce
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULTS, Settings
@@ -18,18 +18,22 @@ from ..operators.candles import in_window, silver
 from ..operators.profile import quality_metrics
 from ..operators.standardize import standardize, unreadable_times
 from ..operators.validate import choose_source
-from ..schema import SYMBOL_BY_SOURCE
-from ..session import broadcast_if_small, pinned, prepare
+from ..schema import QUALITY_LOG, RUN_LOG, STEP_LOG, SYMBOL_BY_SOURCE
+from ..session import pinned, prepare
 from ..sources import tables
 from ..sources.payloads import DECODERS, read_pages, unreadable_pages
-from .features import FEATURE_HALO
-from .marts import feature_increment, high_water, label_increment
+from .days import DayIndex, days_to_read, marks_of, read_days
+from .features import FEATURE_HALO, with_log_volume
+from .labels import LABEL_HALO
+from .marts import after_mark, features_mart, labels_mart
 from .monitoring import (
     checkpoint_log_row,
+    monitoring_snapshot,
     quality_rows,
     rule_steps,
     run_row,
     step_rows,
+    write_snapshot,
 )
 from .versions import feature_versions
 
@@ -63,7 +67,7 @@ def load_source(
     pages = read_pages(spark, *paths)
     if unreadable_pages(pages).take(1):
         raise ValueError("unreadable payload")
-    raw = DECODERS[source](pages)
+    raw = pinned(DECODERS[source](pages))  # decoded once
     if unreadable_times(raw).take(1):
         raise ValueError("unreadable timestamps")
     candles = standardize(raw, SYMBOL_BY_SOURCE[source], source, F.lit(extracted_at))
@@ -87,6 +91,14 @@ def extract(
     return choose_source(attempts, start, end, settings.min_ratio)
 
 
+def store_silver(spark: SparkSession, lake: Lake, candles: DataFrame, days: list | None = None):
+    """Replace the silver days of ``candles`` and keep the day counts beside them."""
+    days = tables.days_of(candles) if days is None else days
+    index = DayIndex(spark, lake.silver)
+    index.read()
+    index.update(days, lambda: tables.overwrite_days(candles, lake.silver))
+
+
 def refresh_silver(spark: SparkSession, lake: Lake, start, end, settings: Settings = DEFAULTS):
     """Rebuild the silver days a window touches from every bronze extraction of them.
 
@@ -96,96 +108,8 @@ def refresh_silver(spark: SparkSession, lake: Lake, start, end, settings: Settin
     first = start.replace(**midnight)
     last = (end - timedelta(microseconds=1)).replace(**midnight) + timedelta(days=1)
     bronze = tables.read_bronze(spark, lake.bronze, start=first, end=last)
-    tables.overwrite_days(silver(bronze, settings.series_by_symbol), lake.silver)
-
-
-def _marks(spark: SparkSession, path: str, version: str) -> DataFrame | None:
-    """Mark per series of one version, or None for a table that does not exist yet.
-
-    The newest day of each series comes from the folder column; times are read only
-    from there on.
-    """
-    if not tables.table_exists(spark, path):
-        return None
-    target = spark.read.parquet(path).where(F.col("version_id") == version)
-    newest = pinned(target.groupBy("series_id").agg(F.max(tables.DAY).alias("_newest")))
-    oldest = newest.agg(F.min("_newest")).first()[0]
-    if oldest is None:
-        return None
-    recent = target.where(F.col(tables.DAY) >= oldest)
-    return pinned(high_water(recent, ["series_id"]))
-
-
-def live_marks(stored: DataFrame, newest: DataFrame, marks: DataFrame) -> DataFrame:
-    """Marks of the series that have candles after them.
-
-    ``newest`` is the last stored day per series, known from the folder column.  Times
-    are read only for series whose last day is the day of their mark; the list of those
-    days is bounded by the calendar.
-    """
-    both = pinned(marks.join(newest, "series_id"))
-    mark_day = F.to_date("mark")
-    later = both.where(F.col("_last") > mark_day)
-    same = both.where(F.col("_last") == mark_day)
-    days = [r[0] for r in same.select("_last").distinct().collect()]
-    unfinished = (
-        stored.where(F.col(tables.DAY).isin(days))
-        .select("series_id", "ts", F.col(tables.DAY).alias("_last"))
-        .join(broadcast_if_small(same), ["series_id", "_last"])
-        .where(F.col("ts") > F.col("mark"))
-    )
-    columns = ["series_id", "mark"]
-    return pinned(later.select(*columns).unionByName(unfinished.select(*columns).distinct()))
-
-
-def recent_candles(spark: SparkSession, lake: Lake, marks: DataFrame, rows: int) -> DataFrame:
-    """Silver from far enough back that every live series has ``rows`` rows before its mark.
-
-    Day folders are probed in growing steps, counting only; the first day of the table
-    ends the search for series that are younger than the look-back.  A series that has
-    ended does not hold the start back, and one without a mark is read whole.
-    """
-    stored = spark.read.parquet(lake.silver)
-    newest = pinned(stored.groupBy("series_id").agg(F.max(tables.DAY).alias("_last")))
-    live = live_marks(stored, newest, marks)
-    start, known = live.agg(F.min("mark"), F.count(F.lit(1))).first()
-    fresh = pinned(newest.join(marks, "series_id", "left_anti").select("series_id"))
-    unknown = stored.join(broadcast_if_small(fresh), "series_id", "left_semi")
-    if not known:
-        return unknown.drop(tables.DAY)
-    earliest = stored.agg(F.min(tables.DAY)).first()[0]
-    span = 1
-    while True:
-        span *= 4
-        first = max(start.date() - timedelta(days=span), earliest)
-        probe = stored.where(F.col(tables.DAY) >= first)
-        if first == earliest:
-            return probe.drop(tables.DAY)
-        enough = (
-            probe.select("series_id", "ts")
-            .join(broadcast_if_small(live), "series_id")
-            .where(F.col("ts") <= F.col("mark"))
-            .groupBy("series_id")
-            .count()
-            .where(F.col("count") >= rows)
-            .count()
-        )
-        if enough == known:
-            older = unknown.where(F.col(tables.DAY) < first)
-            return (probe.unionByName(older) if fresh.take(1) else probe).drop(tables.DAY)
-
-
-def written(seen: Observation) -> tuple[int, datetime | None]:
-    """Row count and latest time of a finished write.
-
-    Adaptive execution drops the observation together with an empty result, and
-    then there is no row to read.
-    """
-    try:
-        metrics = seen.get
-    except Py4JJavaError:
-        return 0, None
-    return metrics["n"], metrics.get("last")
+    days = [(first + timedelta(days=d)).date() for d in range((last - first).days)]
+    store_silver(spark, lake, silver(bronze, settings.series_by_symbol), days)
 
 
 def run_increment(
@@ -199,7 +123,8 @@ def run_increment(
     """Bring both marts up to date with silver and log a checkpoint.
 
     Marts first, checkpoint last: after a crash the next run finds its marks in the
-    marts and continues.  A failure leaves an error row and is raised again.
+    marts and continues.  A full refresh replaces the rows of the active version only.
+    A failure leaves an error row and is raised again.
     """
     if versions is None:
         tables.replace_table(feature_versions(spark, as_of), lake.feature_versions)
@@ -226,33 +151,31 @@ def run_increment(
     inserted: dict[str, int] = {}
     last_ts = None
     try:
-        for name in ("features", "labels"):
+        stored = DayIndex(spark, lake.silver).read()
+        if stored is None:
+            raise RuntimeError("No silver table")
+        for name, halo in (("features", FEATURE_HALO), ("labels", LABEL_HALO)):
             path = getattr(lake, name)
-            marks = None if full_refresh else _marks(spark, path, version)
-            if marks is None:
-                candles = spark.read.parquet(lake.silver).drop(tables.DAY)
-            elif name == "features":
-                candles = recent_candles(spark, lake, marks, FEATURE_HALO.back)
-            else:
-                first = marks.agg(F.min("mark")).first()[0].date()
-                stored = spark.read.parquet(lake.silver)
-                candles = stored.where(F.col(tables.DAY) >= first).drop(tables.DAY)
+            index = DayIndex(spark, path, ("series_id", "version_id"))
+            known = index.read()
+            before, _ = _extent(known, version)
+            candles, marks, days = _to_extend(spark, lake, stored, known, version, halo, full_refresh)
             if name == "features":
-                rows = feature_increment(candles, versions, marks, as_of, settings.chunk_rows)
+                rows = features_mart(candles, versions, as_of, settings.chunk_rows)
             else:
-                rows = label_increment(
-                    candles, versions, marks, as_of, settings.shock_threshold, settings.chunk_rows
+                rows = labels_mart(
+                    candles, versions, as_of, settings.shock_threshold, settings.chunk_rows
                 )
-            seen = Observation(name)
-            counted = rows.observe(seen, F.count(F.lit(1)).alias("n"), F.max("ts").alias("last"))
-            if full_refresh and tables.table_exists(spark, path):
-                tables.rewrite_days(counted, path)
+            if marks is not None:
+                rows = after_mark(rows, marks)
+            if full_refresh:
+                index.update(days, lambda: tables.replace_version(rows, path, version))
             else:
-                tables.append_days(counted, path)
-            inserted[name], latest = written(seen)
+                index.update(days, lambda: tables.append_versions(rows, path))
+            after, latest = _extent(index.read(), version)
+            inserted[name] = after if full_refresh else after - before
             if name == "features":
-                before = None if marks is None else marks.agg(F.max("mark")).first()[0]
-                last_ts = latest or before
+                last_ts = latest
         log("ok", inserted["features"], last_ts)
         return inserted
     except Exception as error:
@@ -260,19 +183,92 @@ def run_increment(
         raise
 
 
-def check_tables(spark: SparkSession, lake: Lake, run_id: str) -> DataFrame:
-    """Quality rules of silver and both marts as test steps."""
-    sets = {
-        "silver": rules.SILVER_RULES,
-        "features": rules.FEATURE_RULES,
-        "labels": rules.LABEL_RULES,
-    }
-    steps = None
-    for name, rule_set in sets.items():
-        table = spark.read.parquet(getattr(lake, name))
-        part = rule_steps(rules.evaluate(table, rule_set), name, run_id)
-        steps = part if steps is None else steps.unionByName(part)
-    return steps
+def _extent(counts: DataFrame | None, version: str) -> tuple[int, datetime | None]:
+    """Rows and latest time of one version."""
+    if counts is None:
+        return 0, None
+    own = counts.where(F.col("version_id") == version)
+    return own.agg(F.coalesce(F.sum("rows"), F.lit(0)), F.max("last_ts")).first()
+
+
+def _to_extend(spark, lake: Lake, stored: DataFrame, counts, version: str, halo, full: bool):
+    """Candles an increment needs, marks per series (None: all rows are new), and the days it may change."""
+    silver_rows = spark.read.parquet(lake.silver)
+    own = None if counts is None else counts.where(F.col("version_id") == version)
+    if own is None or full or not own.take(1):
+        days = {r[0] for r in stored.select(tables.DAY).distinct().collect()}
+        if own is not None:
+            days |= {r[0] for r in own.select(tables.DAY).distinct().collect()}
+        return silver_rows.drop(tables.DAY), None, sorted(days)
+    needed = days_to_read(stored, own, halo.back, halo.ahead)
+    candles, days = read_days(silver_rows, needed)
+    return candles.drop(tables.DAY), pinned(marks_of(own)), days
+
+
+def load_history(
+    spark: SparkSession,
+    root: str,
+    csv_path: str,
+    now: datetime | None = None,
+    settings: Settings = DEFAULTS,
+    symbol: str = "btc",
+    source: str = "bitstamp",
+    cutoff: datetime | None = None,
+) -> dict[str, int]:
+    """Load a CSV of old candles as one bronze batch and bring silver and the marts up to date.
+
+    Run it before the first weekly load: marts only grow behind their marks.
+    """
+    prepare(spark)
+    lake, now = Lake(root), now or datetime.now(timezone.utc)
+    history = tables.read_history_csv(spark, csv_path, symbol, source, cutoff)
+    candles = pinned(tables.history_as_bronze(history, now))
+    first, last = candles.agg(F.min("open_time"), F.max("open_time")).first()
+    if first is None:
+        return {"features": 0, "labels": 0}
+    tables.write_bronze(candles, lake.bronze, f"history-{source}")
+    utc = timezone.utc
+    start, end = first.replace(tzinfo=utc), last.replace(tzinfo=utc) + timedelta(minutes=1)
+    refresh_silver(spark, lake, start, end, settings)
+    return run_increment(spark, lake, settings, now)
+
+
+def check_tables(
+    spark: SparkSession, lake: Lake, run_id: str, batch: DataFrame, now: datetime
+) -> DataFrame:
+    """Quality rules of the loaded batch, silver, both marts, versions and this run's checkpoint."""
+    versions = spark.read.parquet(lake.feature_versions)
+    known = rules.References(("version_id",), versions, ("version_id",))
+    silver_rows = spark.read.parquet(lake.silver)
+    checkpoint = spark.read.parquet(lake.checkpoints).where(F.col("created_at") == F.lit(now))
+    sets = [
+        ("bronze", batch, rules.BRONZE_RULES),
+        ("silver", silver_rows, rules.SILVER_RULES + rules.CANDLE_CHECKS),
+        ("returns", with_log_volume(silver_rows), rules.RETURNS_RULES),
+        ("features", spark.read.parquet(lake.features), [*rules.FEATURE_RULES, known]),
+        ("labels", spark.read.parquet(lake.labels), [*rules.LABEL_RULES, known]),
+        ("feature_versions", versions, rules.VERSION_RULES),
+        ("checkpoints", checkpoint, rules.CHECKPOINT_RULES),
+    ]
+    parts = [rule_steps(rules.evaluate(df, own), name, run_id) for name, df, own in sets]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def export_snapshot(spark: SparkSession, lake: Lake, now: datetime) -> None:
+    """The logs as one set of JSON lines; a log that does not exist yet is empty."""
+
+    def log(path: str, layout) -> DataFrame:
+        if tables.table_exists(spark, path):
+            return spark.read.schema(layout).parquet(path)
+        return spark.createDataFrame([], layout)
+
+    documents = monitoring_snapshot(
+        log(lake.pipeline_runs, RUN_LOG),
+        log(lake.step_results, STEP_LOG),
+        log(lake.data_quality, QUALITY_LOG),
+        F.lit(now),
+    )
+    write_snapshot(documents, lake.snapshot)
 
 
 def run_week(
@@ -298,16 +294,18 @@ def run_week(
     try:
         batch = extract(spark, landed, start, end, now, settings)
         extracted = batch.count()
-        seen = Observation("loaded")
-        counted = batch.observe(seen, F.count(F.lit(1)).alias("n"))
-        tables.write_bronze(counted, lake.bronze, f"{start:%Y%m%d%H%M}")
-        loaded, _ = written(seen)
+        label = f"{start:%Y%m%d%H%M}"
+        tables.write_bronze(batch, lake.bronze, label)
+        loaded = tables.read_batch(spark, lake.bronze, label).count()
         refresh_silver(spark, lake, start, end, settings)
         run_increment(spark, lake, settings, now)
-        steps = check_tables(spark, lake, run_id)
+        steps = pinned(check_tables(spark, lake, run_id, batch, now))
         tables.append_log(step_rows(steps, now), lake.step_results)
         metrics = quality_metrics(batch)
         tables.append_log(quality_rows(metrics, run_id, now), lake.data_quality)
+        failed = [r["model_name"] for r in steps.where("status = 'fail'").collect()]
+        if failed:
+            raise RuntimeError(f"Quality rules failed: {', '.join(sorted(failed))}")
     except Exception:
         status, message = "failed", traceback.format_exc()
         raise
@@ -325,4 +323,5 @@ def run_week(
             error_message=message,
         )
         tables.append_log(row, lake.pipeline_runs)
+        export_snapshot(spark, lake, now)
     return run_id

@@ -16,6 +16,7 @@ from ..schema import BRONZE, HISTORY_CSV, INTERVAL, NUMBERS
 WEEK = "week_start"
 BATCH = "batch"
 DAY = "ts_date"
+VERSION = "of_version"
 
 
 def read_bronze(
@@ -34,6 +35,12 @@ def read_bronze(
     return candles if start is None or end is None else in_window(candles, start, end)
 
 
+def read_batch(spark: SparkSession, path: str, batch: str) -> DataFrame:
+    """The stored rows of one batch."""
+    stored = spark.read.parquet(path)
+    return stored.where(F.col(BATCH).cast("string") == batch).select(*BRONZE.names)
+
+
 def bronze_union(*frames: DataFrame) -> DataFrame:
     """History and weekly candles together; silver removes the overlap."""
     return reduce(DataFrame.unionByName, [f.select(*BRONZE.names) for f in frames])
@@ -110,14 +117,25 @@ def overwrite_days(df: DataFrame, path: str) -> None:
     )
 
 
-def rewrite_days(df: DataFrame, path: str) -> None:
-    """Replace the whole day-partitioned table."""
+def version_folder(version: str) -> str:
+    """Folder value of a version: its bytes in hex, the same for any spelling."""
+    return "v" + version.encode().hex().upper()
+
+
+def append_versions(df: DataFrame, path: str) -> None:
+    """Append to a mart: folders per version and day."""
+    folder = F.concat(F.lit("v"), F.hex(F.col("version_id").cast("binary")))
+    by_day(df).withColumn(VERSION, folder).write.mode("append").partitionBy(VERSION, DAY).parquet(path)
+
+
+def replace_version(df: DataFrame, path: str, version: str) -> None:
+    """Replace all rows of one version of a mart; other versions stay."""
     (
         by_day(df)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy(DAY)
-        .parquet(path)
+        .parquet(f"{path}/{VERSION}={version_folder(version)}")
     )
 
 
@@ -140,6 +158,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether the folder holds data, not only markers of an unfinished write."""
     fs, target = _file_system(spark, path)
@@ -148,6 +171,12 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     )
 
 
+def days_of(df: DataFrame, ts: str = "ts") -> list:
+    """The days of a table's rows; their number is bounded by the calendar."""
+    days = df.select(F.to_date(ts).alias(DAY)).distinct()
+    return sorted(r[0] for r in days.where(F.col(DAY).isNotNull()).collect())
+
+
 def upsert_days(spark: SparkSession, path: str, new: DataFrame, keys: list[str], order=None) -> None:
     """Upsert into a day-partitioned table, rewriting only the days ``new`` touches.
 
@@ -156,11 +185,8 @@ def upsert_days(spark: SparkSession, path: str, new: DataFrame, keys: list[str],
     written or pinned table, as it is read three times.
     """
     if table_exists(spark, path):
-        days = new.select(F.to_date("ts").alias(DAY)).distinct()
-        first, last = days.agg(F.min(DAY), F.max(DAY)).first()
-        # the literal bounds prune folders at planning time, the join picks the days
-        stored = spark.read.parquet(path).where(F.col(DAY).between(first, last))
-        old = stored.join(days, DAY, "left_semi").drop(DAY)
+        # the days, bounded by the calendar, prune folders at planning time
+        old = spark.read.parquet(path).where(F.col(DAY).isin(days_of(new))).drop(DAY)
     else:
         old = new.limit(0)
     overwrite_days(upsert(old, new, keys, order).select(*new.columns), path)

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULTS, Settings
-from ..operators.candles import silver
+from ..operators.candles import latest_silver, silver
+from ..plans.days import DayIndex
 from ..plans.weekly import Lake, run_increment
 from ..schema import BRONZE
 from ..session import pinned, prepare
@@ -27,16 +28,21 @@ def merge_batch(spark: SparkSession, lake: Lake, bronze: DataFrame, settings: Se
     rows = fresh.count()
     if not rows:
         return 0
+    days = tables.days_of(fresh)
     if tables.table_exists(spark, lake.silver):
-        first, last = fresh.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
-        stored = spark.read.parquet(lake.silver).where(F.col(tables.DAY).between(first, last))
-        newer = stored.select(*SILVER_KEY, F.col("ingested_at").alias("_stored_at"))
-        fresh = pinned(
-            fresh.join(newer, SILVER_KEY, "left")
-            .where(F.col("_stored_at").isNull() | (F.col("ingested_at") >= F.col("_stored_at")))
-            .drop("_stored_at")
-        )
-    tables.upsert_days(spark, lake.silver, fresh, SILVER_KEY, [F.col("ingested_at").desc()])
+        # the days prune folders; a stored row competes with the batch by the same rule
+        stored = spark.read.parquet(lake.silver).where(F.col(tables.DAY).isin(days)).drop(tables.DAY)
+        names = [F.col(k).alias(f"_{k}") for k in SILVER_KEY]
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in SILVER_KEY]
+        rivals = stored.join(fresh.select(*names).distinct(), same[0] & same[1], "left_semi")
+        fresh = pinned(latest_silver(fresh.unionByName(rivals)))
+
+    def write() -> None:
+        tables.upsert_days(spark, lake.silver, fresh, SILVER_KEY, [F.col("ingested_at").desc()])
+
+    index = DayIndex(spark, lake.silver)
+    index.read()
+    index.update(days, write)
     return rows
 
 
