@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -35,6 +35,7 @@ def annotate(
     Input columns sit inside `row`, so no name of theirs can clash with a new one. `work`
     gets the texts of a slice and returns one Arrow array or list per field.
     """
+    bounded_batches(docs.sparkSession)
     keep = list(docs.columns if keep is None else keep)
     columns = [F.struct(*[docs[c] for c in keep]).alias("row")]
     inside = keep.index(text) if text in keep else None
@@ -64,14 +65,26 @@ def as_array(values, kind: pa.DataType) -> pa.Array:
     return pa.array(values, type=kind)
 
 
+#: Rows and bytes that go to a Python worker at once.
+BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches small: workers hold a few of them, however long the texts are."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Computed once, into the folder that all executors share; dropped with its last user."""
+    bounded_batches(df.sparkSession)
     return pinned(df)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Like `stored`, as compressed Parquet, for rows with texts or many rows."""
     spark = df.sparkSession
+    bounded_batches(spark)
     path = scratch_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -32,8 +32,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import annotate, sliding, stored, within, written
+from .common import field, sliding, stored, within, written
 from .words import BLANK_WORDS, Words, mix, range_hashes, slices
 
 SPAN = 50
@@ -258,12 +259,26 @@ def cut_repeats(
     fields = [("n_words", "bigint"), ("n_removed", "bigint"), ("kept", "string")]
     finish = (lambda parts: parts) if texts else digest
 
-    def untouched(values: pa.Array) -> list:
-        return finish(kept_words(values, None, span))
+    known = packed_keys(paths)
+    here = T.StructType([T.StructField("row", plain.schema["kept_row"].dataType), *(field(*f) for f in fields)])
 
-    touched_rows, other_rows = split_rows(plain, paths)
-    whole = annotate(other_rows, "text", fields, untouched, ["kept_row"])
-    touched = written(touched_rows.join(paths.drop("doc"), "row_key"), "touched")
+    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in only(batches, known, False):
+            for part in slices([batch], lambda b: b.column("text")):
+                yield made(part, kept_words(part.column("text"), None, span))
+
+    def made(batch: pa.RecordBatch, parts: list) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int64(), pa.string())
+        arrays = [pa.array(m, t) for m, t in zip(finish(parts), kinds)]
+        return pa.RecordBatch.from_arrays([batch.column("kept_row"), *arrays], names=here.names)
+
+    if known is None:
+        keys = paths.select("row_key")
+        others, mine = plain.join(keys, "row_key", "left_anti"), plain.join(keys, "row_key", "left_semi")
+    else:
+        others, mine = plain, plain.mapInArrow(lambda batches: only(batches, known, True), plain.schema)
+    whole = others.mapInArrow(rest, here)
+    touched = written(mine.join(paths.drop("doc"), "row_key"), "touched")
     repeated = open_windows(touched, span)
     found = touched.join(repeated, "row_key", "left")
     part = found.select("kept_row", "text", "done", "windows")
@@ -274,39 +289,27 @@ def cut_repeats(
             for done, single in zip(batch.column("done").to_pylist(), batch.column("windows").to_pylist()):
                 mine = [np.arange(r["first"], r["last"] + 1) for r in done or []]
                 starts.append(np.concatenate([*mine, np.array(single or [], np.int64)]))
-            made = finish(kept_words(batch.column("text"), [s if len(s) else None for s in starts], span))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.StructArray.from_arrays([batch.column("kept_row")], names=["kept_row"]),
-                    *[pa.array(m, t) for m, t in zip(made, (pa.int64(), pa.int64(), pa.string()))],
-                ],
-                names=["row", "n_words", "n_removed", "kept"],
-            )
-
-    cut = part.mapInArrow(remove, whole.schema)
-    return whole.union(cut).select(F.col("row.kept_row").alias("row"), "n_words", "n_removed", "kept")
+            removed = [s if len(s) else None for s in starts]
+            yield made(batch, kept_words(batch.column("text"), removed, span))
 
+    return whole.union(part.mapInArrow(remove, here))
 
-def split_rows(plain: DataFrame, paths: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows with and without an entry in `paths`.
 
-    The keys are broadcast, packed, while they are few enough; else both sides are joined.
-    """
+def packed_keys(paths: DataFrame):
+    """The row keys of `paths`, broadcast; None if they are too many."""
     if paths.count() > KNOWN_KEYS:
-        keys = paths.select("row_key")
-        return plain.join(keys, "row_key", "left_semi"), plain.join(keys, "row_key", "left_anti")
+        return None
     keys = np.sort(paths.select("row_key").toArrow().column("row_key").to_numpy())
-    known = plain.sparkSession.sparkContext.broadcast(keys)
-
-    def only(inside: bool):
-        def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                own = within(known.value, batch.column("row_key").to_numpy(zero_copy_only=False)) >= 0
-                yield batch.filter(pa.array(own == inside))
+    return paths.sparkSession.sparkContext.broadcast(keys)
 
-        return plain.mapInArrow(choose, plain.schema)
 
-    return only(True), only(False)
+def only(batches: Iterator[pa.RecordBatch], known, inside: bool) -> Iterator[pa.RecordBatch]:
+    """Rows whose key is known, or those whose is not."""
+    for batch in batches:
+        if known is not None:
+            own = within(known.value, batch.column("row_key").to_numpy(zero_copy_only=False)) >= 0
+            batch = batch.filter(pa.array(own == inside))
+        yield batch
 
 
 def open_windows(touched: DataFrame, span: int) -> DataFrame:

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 _CODES = np.arange(256)
 #: Bytes of words between blanks: all but 0x20 and 0x09 to 0x0D.
