@@ -85,7 +85,7 @@ LABELS = ["y_logret_5m", "y_logret_15m", "y_shock_15m"]
 # Version row, candle interval and accepted candle intervals.
 VERSION_ID = "v1"
 VERSION_TAG = "v1.0"
-VERSION_DESCRIPTION = "Ichimoku + log-returns + volatility regimes + volume z-score"
+VERSION_DESCRIPTION = "Returns, volatility, volume and cloud features of one-minute candles"
 INTERVAL = "1m"
 TIMEFRAMES = ["1m", "5m", "15m", "1h", "4h", "12h", "1d"]
 
