@@ -13,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 import tables  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from wickwork.llm import hilbert, jaccard_join, mixing, neighbours, pii, ppm, toxicity, winnowing  # noqa: E402
+from wickwork.llm import debruijn, hilbert, jaccard_join, mixing, neighbours, pii, ppm, toxicity, winnowing  # noqa: E402
 from wickwork.llm.common import components, ranked  # noqa: E402
 
 
@@ -173,19 +173,19 @@ def test_benchmark_in_blocks_finds_the_same(spark, odd, docs):
     assert one == many and any(r.contaminated for r in one)
 
 
-@pytest.mark.parametrize("list_rows", [2, 50_000])
-def test_lists_dealt_over_tasks_find_the_same(spark, monkeypatch, list_rows):
+@pytest.mark.parametrize("list_rows,block", [(2, 1000), (50_000, 1 << 19)])
+def test_dealt_lists_and_small_cells_find_the_same(spark, list_rows, block):
     rng = random.Random(9)
     base = tables.words(rng, 60)
     rows = []
     for i in range(150):  # one large group of near copies, all within reach of another one
         text = list(base)
-        for _ in range(rng.randint(0, 3)):
-            text[rng.randrange(60)] = f"x{i}"
+        for _ in range(rng.randint(0, 5)):
+            text[rng.randrange(60)] = f"x{i % 40}"
         rows.append((i, " ".join(text)))
     rows += [(500 + i, " ".join(base[:20] + tables.words(rng, 30))) for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
-    found = {r.doc: r["class"] for r in jaccard_join.classes_of(docs, list_rows=list_rows).collect()}
+    found = {r.doc: r["class"] for r in jaccard_join.classes_of(docs, list_rows=list_rows, block=block).collect()}
     sets = {}
     for i, text in rows:
         w = text.lower().split()
@@ -200,6 +200,18 @@ def test_lists_dealt_over_tasks_find_the_same(spark, monkeypatch, list_rows):
     assert found == least
 
 
+def test_keys_too_many_to_broadcast_are_joined(spark, docs, monkeypatch):
+    def results():
+        cut = debruijn.cut_repeats(docs, keep=["doc_id"]).select("row.doc_id", "n_removed", "kept").collect()
+        return sorted(cut, key=repr), sorted(jaccard_join.keep_one(docs).select("doc_id", "text").collect(), key=repr)
+
+    usual = results()
+    monkeypatch.setattr(debruijn, "KNOWN_KEYS", -1)
+    monkeypatch.setattr(jaccard_join, "KNOWN_KEYS", -1)
+    assert results() == usual
+    assert sum(r.n_removed for r in usual[0]) > 0
+
+
 def test_keep_one_of_each_group(spark, docs):
     kept = jaccard_join.keep_one(docs)
     assert kept.columns == docs.columns

@@ -147,6 +147,8 @@ def components(links: DataFrame) -> DataFrame:
         .where("u <> v")
         .distinct()
     )
+    mark = [F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))]
+    before = edges.agg(*mark).first()
     while True:
         # Large star: larger neighbours of a node move to its smallest neighbour (or itself).
         both = edges.union(edges.select(F.col("v"), F.col("u")))
@@ -162,12 +164,11 @@ def components(links: DataFrame) -> DataFrame:
             .where("u <> v")
             .distinct()
         )
-        after = stored(small)
-        mark = [F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))]
-        same = after.agg(*mark).first() == edges.agg(*mark).first()
-        edges = after
-        if same:
+        edges = stored(small)
+        now = edges.agg(*mark).first()
+        if now == before:
             return edges.select(F.col("v").alias("node"), F.col("u").alias("component"))
+        before = now
 
 
 def sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:

@@ -1,21 +1,21 @@
 """Documents whose sets of word shingles overlap: a distributed T-occurrence search.
 
 Two sets link if 100 * |A & B| >= 75 * |A | B|; a document of n shingles then shares
-T = ceil(0.75 n) of them at least. All shingles are ordered by hash, the most frequent ones
-last. If A and B link, the first n - T + c of each hold at least min(c_A, c_B) common
-shingles (`OCCURRENCES` of n is c), so only those become postings. Their inverted lists are
-gathered per shingle; lists of one set are dropped.
-
-Then DivideSkip (Li, Lu and Lu 2008): each set puts its longest lists aside, as many as it
-can miss without losing a partner, and merges the short ones; candidates are the sets that
-meet in a short list, and they probe the long ones, which must bring the common shingles to
-the required number. What remains is compared shingle by shingle.
-
-Only the classes of linked documents are asked for, so sets that are already in one class
-are not compared again. In each list a pivot is compared with the others first; groups of
-near copies collapse there, and only lists that still hold several classes are searched for
-pairs across classes. Equal sets are one entry from the start. A list that more than
-`LIST_ROWS` sets share is dealt over several tasks.
+T = ceil(0.75 n) of them at least. Equal sets are one entry from the start.
+
+First, sets without a partner drop out. If A and B link, the first n - T + c shingles of
+each, by hash, hold min(c_A, c_B) common ones at least (c is one in `OCCURRENCES`). Only
+those are gathered per shingle; a set that shares too few of its own goes. For the rest all
+shingles are gathered, and a set of which no T occur elsewhere goes.
+
+Then DivideSkip (Li, Lu and Lu 2008): of the s lists that a set shares, it puts the T - 1
+longest aside; a partner must meet it in one of the s - T + 1 short ones. Only the classes of
+linked documents are asked for, so sets already in one class are not compared again: each
+set is first compared with the most central set of its short lists, where groups of near
+copies collapse. Sets that lists of several classes still connect are searched in cells of
+bounded size: a query merges its short lists into candidates, which probe the long lists by
+binary search until they reach T or not. A list that more than `LIST_ROWS` sets share is
+dealt over several tasks when it is gathered.
 
 Nothing is capped or sampled. Sets and shingles are known by 64-bit hashes.
 
@@ -26,14 +26,15 @@ never is the smallest of its class, unless it has no other; an empty table gives
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import annotate, components, stored, within, written
+from .common import components, stored, within, written
 from .words import BLANK_WORDS, Words, gram_starts, mix, range_hashes, slices
 
 SIZE = 5
@@ -41,7 +42,8 @@ PERCENT = 75
 OCCURRENCES = 10  # one in so many shingles must be common in the postings
 LIST_ROWS = 50_000
 FREQUENT = 256  # shingles per task that are looked at as frequent
-PIVOT_ROUNDS = 2
+BLOCK = 1 << 19  # shingles of a block of sets in the search
+FLUSH = 1 << 18  # postings that a task holds before it packs them
 KNOWN_KEYS = 2_000_000  # keys broadcast at most: 32 MB
 
 
@@ -86,7 +88,8 @@ def base_table(docs: DataFrame, doc: str, text: str) -> DataFrame:
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, seen = [], np.empty(0, np.uint64)
+        seen, values, counts = np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64)
+        kept: list[np.ndarray] = []
         names = ["kind", "doc", "text_key", "key", "n"]
         for batch in slices(batches, lambda b: b.column("text")):
             sets = Sets(batch.column("text"))
@@ -106,7 +109,10 @@ def base_table(docs: DataFrame, doc: str, text: str) -> DataFrame:
             mine = np.zeros(batch.num_rows, bool)
             mine[fresh] = True
             kept.append(sets.values[mine[sets.rows]])
-        values, counts = np.unique(np.concatenate(kept or [seen[:0]]), return_counts=True)
+            if sum(map(len, kept)) > FLUSH:
+                values, counts = tallied(values, counts, kept)
+                kept = []
+        values, counts = tallied(values, counts, kept)
         top = np.argsort(-counts, kind="stable")[:FREQUENT]
         top = top[counts[top] > 16]
         none = pa.nulls(len(top), pa.int64())
@@ -125,6 +131,15 @@ def base_table(docs: DataFrame, doc: str, text: str) -> DataFrame:
     return written(plain.mapInArrow(work, schema), "sets")
 
 
+def tallied(values: np.ndarray, counts: np.ndarray, more: list) -> tuple[np.ndarray, np.ndarray]:
+    """Counts with more values added; single ones are forgotten, so the counts are low estimates."""
+    found, n = np.unique(np.concatenate([values[:0], *more]), return_counts=True)
+    values, of = np.unique(np.concatenate([values, found]), return_inverse=True)
+    counts = np.bincount(of, weights=np.concatenate([counts, n]), minlength=len(values)).astype(np.int64)
+    often = counts > 1
+    return values[often], counts[often]
+
+
 def frequent_shingles(base: DataFrame, list_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Shingles that come last in the order, their known counts, and over how many tasks to deal them.
 
@@ -144,37 +159,39 @@ def frequent_shingles(base: DataFrame, list_rows: int) -> tuple[np.ndarray, np.n
     return keys[at], counts[at], -(-counts[at] // list_rows)
 
 
-def postings(docs: DataFrame, text: str, frequent, parts: int) -> DataFrame:
-    """(key, n, shingle, rows): prefix postings of the lists that two sets or more share."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
-    buckets = 8 * parts
-
-    def pack(found: list[tuple]) -> Iterator[pa.RecordBatch]:
-        keys, sizes, values = (np.concatenate(x) for x in zip(*found))
-        known, _, deal = shared.value
+def pack(found: list[tuple], frequent, buckets: int) -> pa.RecordBatch:
+    """Postings (keys, sizes, shingles) as one row per bucket of shingles, 12 bytes a posting."""
+    keys, sizes, values = (np.concatenate(x) for x in zip(*found))
+    known, _, deal = frequent
+    salt = np.zeros(len(values), np.uint64)
+    if len(known):
         at = within(known, values)
-        salt = np.where(at >= 0, keys % np.maximum(deal[at], 1).astype(np.uint64), 0) if len(known) else 0
-        bucket = (mix(values + np.uint64(1) * np.uint64(7919) * salt) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        blobs: list[list] = [[], [], [], []]
-        for b in range(buckets):
-            mine = order[edges[b] : edges[b + 1]]
-            if len(mine):
-                owners, number = np.unique(keys[mine], return_index=True)
-                mine = mine[np.argsort(keys[mine], kind="stable")]
-                number = np.diff(np.append(np.searchsorted(keys[mine], owners), len(mine)))
-                first = np.searchsorted(keys[mine], owners)
-                blobs[0].append(b)
-                blobs[1].append(owners.tobytes())
-                blobs[2].append(
-                    np.stack([sizes[mine][first], number]).astype(np.int32).tobytes()
-                )
-                blobs[3].append(values[mine].tobytes())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(blobs[0], pa.int32()), *[pa.array(x, pa.binary()) for x in blobs[1:]]],
-            names=["bucket", "owners", "numbers", "shingles"],
-        )
+        dealt = at >= 0
+        salt[dealt] = keys[dealt] % deal[at[dealt]].astype(np.uint64)
+    bucket = (mix(values + np.uint64(7919) * salt) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((keys, bucket))
+    keys, sizes, values, bucket = keys[order], sizes[order], values[order], bucket[order]
+    edges = np.searchsorted(bucket, np.arange(buckets + 1))
+    blobs: list[list] = [[], [], [], []]
+    for b in np.flatnonzero(np.diff(edges)):
+        mine = slice(edges[b], edges[b + 1])
+        owners, first = np.unique(keys[mine], return_index=True)
+        number = np.diff(np.append(first, edges[b + 1] - edges[b]))
+        blobs[0].append(b)
+        blobs[1].append(owners.tobytes())
+        blobs[2].append(np.stack([sizes[mine][first], number]).astype(np.int32).tobytes())
+        blobs[3].append(values[mine].tobytes())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(blobs[0], pa.int32()), *[pa.array(x, pa.binary()) for x in blobs[1:]]],
+        names=["bucket", "owners", "numbers", "shingles"],
+    )
+
+
+PACKED = "bucket int, owners binary, numbers binary, shingles binary"
+
+
+def prefixes(docs: DataFrame, text: str, frequent, buckets: int) -> DataFrame:
+    """Packed postings of the prefix of every distinct set."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, held, seen = [], 0, np.empty(0, np.uint64)
@@ -185,8 +202,8 @@ def postings(docs: DataFrame, text: str, frequent, parts: int) -> DataFrame:
             seen = np.concatenate([seen, sets.keys[fresh]])
             mine = np.zeros(batch.num_rows, bool)
             mine[fresh] = True
-            late = within(shared.value[0], sets.values) >= 0
             values, rows = sets.values, sets.rows
+            late = within(frequent.value[0], values) >= 0
             if late.any():
                 order = np.lexsort((values, late, rows))
                 values, rows = values[order], rows[order]
@@ -195,21 +212,48 @@ def postings(docs: DataFrame, text: str, frequent, parts: int) -> DataFrame:
             take = mine[rows] & (rank < prefix[rows])
             found.append((sets.keys[rows[take]], sets.sizes[rows[take]], values[take]))
             held += int(take.sum())
-            if held > 1 << 21:
-                yield from pack(found)
+            if held > FLUSH:
+                yield pack(found, frequent.value, buckets)
                 found, held = [], 0
         if held:
-            yield from pack(found)
+            yield pack(found, frequent.value, buckets)
+
+    return docs.select(docs[text].cast("string")).mapInArrow(emit, PACKED)
+
+
+def all_shingles(whole: DataFrame, frequent, buckets: int) -> DataFrame:
+    """Packed postings of all shingles of some sets; a set may come twice."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                lists = part.column("shingles")
+                count = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+                keys = np.repeat(part.column("key").to_numpy().view(np.uint64), count)
+                if len(keys):
+                    sizes = np.repeat(part.column("n").to_numpy(), count)
+                    values = lists.flatten().to_numpy().view(np.uint64)
+                    yield pack([(keys, sizes, values)], frequent.value, buckets)
+
+    return whole.select("key", "n", "shingles").mapInArrow(emit, PACKED)
+
+
+def listed(packed: DataFrame, frequent, parts: int, buckets: int, counts_only: bool) -> DataFrame:
+    """Postings of lists that two sets or more share, packed again by the key of the set.
+
+    With `counts_only`, their number per set; else every posting with the length of its list.
+    """
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, sizes, values = [], [], []
         for batch in batches:
-            for row in batch.to_pylist():
-                owners = np.frombuffer(row["owners"], np.uint64)
-                n, number = np.frombuffer(row["numbers"], np.int32).reshape(2, -1)
+            for k in range(batch.num_rows):
+                owners = np.frombuffer(batch.column("owners")[k].as_buffer(), np.uint64)
+                n, number = np.frombuffer(batch.column("numbers")[k].as_buffer(), np.int32).reshape(2, -1)
                 keys.append(np.repeat(owners, number))
                 sizes.append(np.repeat(n, number))
-                values.append(np.frombuffer(row["shingles"], np.uint64))
+                values.append(np.frombuffer(batch.column("shingles")[k].as_buffer(), np.uint64))
         if not keys:
             return
         keys, sizes, values = np.concatenate(keys), np.concatenate(sizes), np.concatenate(values)
@@ -219,90 +263,154 @@ def postings(docs: DataFrame, text: str, frequent, parts: int) -> DataFrame:
         fresh[1:] = (keys[1:] != keys[:-1]) | (values[1:] != values[:-1])
         keys, sizes, values = keys[fresh], sizes[fresh], values[fresh]
         first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
-        number = np.diff(np.append(first, len(values)))
-        known, counts, deal = shared.value
-        at = within(known, values[first])
-        dealt = np.zeros(len(first), bool)
+        size = np.diff(np.append(first, len(values)))
+        number = size
+        known, counts, deal = frequent.value
         if len(known):
             # A list dealt over several tasks is as long as counted before, in all of them.
-            dealt = (at >= 0) & (deal[at] > 1)
-            number = np.where(dealt, counts[at], number)
-        length = np.repeat(number, np.diff(np.append(first, len(values))))
-        keep = length > 1
-        for start in range(0, int(keep.sum()), 1 << 17):
-            part = np.flatnonzero(keep)[start : start + (1 << 17)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(keys[part].view(np.int64)),
-                    pa.array(sizes[part].astype(np.int64)),
-                    pa.array(values[part].view(np.int64)),
-                    pa.array(length[part].astype(np.int64)),
+            at = within(known, values[first])
+            dealt = (at >= 0) & (deal[np.maximum(at, 0)] > 1)
+            number = np.where(dealt, counts[np.maximum(at, 0)], size)
+        length = np.repeat(number, size)
+        keep = np.flatnonzero(length > 1)
+        keys, sizes = keys[keep], sizes[keep].astype(np.int32)
+        if counts_only:
+            keys, at, number = np.unique(keys, return_index=True, return_counts=True)
+            columns = [keys, sizes[at], number.astype(np.int32)]
+        else:
+            columns = [keys, sizes, length[keep].astype(np.int32), values[keep]]
+        bucket = (mix(keys) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        columns = [c[order] for c in columns]
+        edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        some = np.flatnonzero(np.diff(edges))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(some.astype(np.int32)),
+                *[
+                    pa.array([c[edges[b] : edges[b + 1]].tobytes() for b in some], pa.binary())
+                    for c in columns
                 ],
-                names=["key", "n", "shingle", "rows"],
+            ],
+            names=["bucket", "keys", "sizes", "numbers", "shingles"][: 1 + len(columns)],
+        )
+
+    kind = "bucket int, keys binary, sizes binary, numbers binary"
+    kind += "" if counts_only else ", shingles binary"
+    return packed.repartition(parts, "bucket").mapInArrow(gather, kind).repartition(parts, "bucket")
+
+
+def unpacked(batches: Iterator[pa.RecordBatch], kinds: dict) -> list[np.ndarray] | None:
+    parts: dict[str, list] = {name: [] for name in kinds}
+    for batch in batches:
+        for name, kind in kinds.items():
+            for k in range(batch.num_rows):
+                parts[name].append(np.frombuffer(batch.column(name)[k].as_buffer(), kind))
+    if not parts["keys"]:
+        return None
+    return [np.concatenate(p) for p in parts.values()]
+
+
+def enough(counts: DataFrame, least: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """Keys of the sets of n that share least(n) of their postings or more."""
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = unpacked(batches, {"keys": np.uint64, "sizes": np.int32, "numbers": np.int32})
+        if found is not None:
+            keys, at, of = np.unique(found[0], return_index=True, return_inverse=True)
+            shared = np.bincount(of, weights=found[2], minlength=len(keys))
+            kept = keys[shared >= least(found[1][at].astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([pa.array(kept.view(np.int64))], names=["key"])
+
+    return stored(counts.mapInArrow(total, "key bigint"))
+
+
+def short_lists(postings: DataFrame) -> DataFrame:
+    """(shingle, key, weight) of the lists that a set cannot put aside.
+
+    The weight of a set, the sum of all its lists' lengths, tells how central it is.
+    """
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = {"keys": np.uint64, "sizes": np.int32, "numbers": np.int32, "shingles": np.uint64}
+        found = unpacked(batches, kinds)
+        if found is None:
+            return
+        order = np.lexsort((found[3], found[2], found[0]))
+        keys, sizes, rows, values = (f[order] for f in found)
+        fresh = np.concatenate([[True], keys[1:] != keys[:-1]])
+        first = np.flatnonzero(fresh)
+        shared = np.diff(np.append(first, len(keys)))
+        weight = np.add.reduceat(rows.astype(np.int64), first)
+        of = np.cumsum(fresh) - 1
+        spare = shared[of] - required(sizes.astype(np.int64))
+        take = np.flatnonzero(np.arange(len(keys)) - first[of] <= spare)
+        for at in range(0, len(take), 1 << 16):
+            part = take[at : at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(values[part].view(np.int64)), pa.array(keys[part].view(np.int64)), pa.array(weight[of[part]])],
+                names=["shingle", "key", "weight"],
             )
 
-    blobs = docs.select(docs[text].cast("string")).mapInArrow(
-        emit, "bucket int, owners binary, numbers binary, shingles binary"
-    )
-    return blobs.repartition(parts, "bucket").mapInArrow(
-        gather, "key bigint, n bigint, shingle bigint, rows bigint"
+    return written(postings.mapInArrow(choose, "shingle bigint, key bigint, weight bigint"), "short")
+
+
+def packed_keys(keys: DataFrame, name: str):
+    """A table of keys as a sorted array, broadcast; None if they are too many."""
+    if keys.count() > KNOWN_KEYS:
+        return None
+    return keys.sparkSession.sparkContext.broadcast(
+        np.sort(keys.toArrow().column(name).to_numpy())
     )
 
 
-def count_of(n: str) -> Column:
-    """c of a set of n shingles, and of its smallest possible partner."""
-    return F.expr(f"greatest(1L, {n} div {OCCURRENCES})")
+def only(
+    batches: Iterator[pa.RecordBatch], known, name: str, inside: bool = True
+) -> Iterator[pa.RecordBatch]:
+    """Rows whose key is known, or those whose is not."""
+    for batch in batches:
+        if known is not None:
+            at = within(known.value, batch.column(name).to_numpy(zero_copy_only=False))
+            batch = batch.filter(pa.array((at >= 0) == inside))
+        yield batch
 
 
-def divide(table: DataFrame) -> DataFrame:
-    """Postings of sets that can have a partner, each marked as in a short or a long list."""
-    aside = count_of(f"(({PERCENT} * n + 99) div 100)") - 1
-    of = Window.partitionBy("key")
-    longest = F.row_number().over(of.orderBy(F.desc("rows"), F.desc("shingle")))
-    return (
-        table.withColumn("lists", F.count("*").over(of))
-        .withColumn("short", longest > aside)
-        .where(F.col("lists") > aside)
-        .select("key", "n", "shingle", "short")
-    )
+def of_keys(rows: DataFrame, keys: DataFrame, name: str, inside: bool = True) -> DataFrame:
+    """Rows whose `name` is among the keys, or not; without a shuffle while the keys are few."""
+    known = packed_keys(keys, name)
+    if known is None:
+        return rows.join(keys, name, "left_semi" if inside else "left_anti")
+    return rows.mapInArrow(lambda batches: only(batches, known, name, inside), rows.schema)
 
 
-def fetch_sets(docs: DataFrame, text: str, kept: DataFrame, base: DataFrame) -> DataFrame:
-    """(key, n, shingles): whole sets of the kept keys, from one document each."""
-    one = (
+def whole_sets(docs: DataFrame, text: str, kept: DataFrame, base: DataFrame) -> DataFrame:
+    """(key, n, shingles): whole sets of the kept keys, from one text each."""
+    one = stored(
         base.where("kind = 0 and n > 0")
         .join(kept, "key", "left_semi")
         .groupBy("key")
         .agg(F.min("text_key").alias("text_key"))
+        .select("text_key")
     )
-    one = stored(one)
     plain = docs.select(
         F.xxhash64(docs[text].cast("string")).alias("text_key"), docs[text].cast("string").alias("text")
     )
-    rows = one.count()
-    if rows <= KNOWN_KEYS:
-        keys = np.sort(one.select("text_key").toArrow().column("text_key").to_numpy())
-        known = docs.sparkSession.sparkContext.broadcast(keys)
-
-        def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                at = within(known.value, batch.column("text_key").to_numpy(zero_copy_only=False))
-                yield batch.filter(pa.array(at >= 0))
-
-        plain = plain.mapInArrow(choose, "text_key bigint, text string")
-    else:
-        plain = plain.join(one.select("text_key"), "text_key", "left_semi")
-
-    def work(texts: pa.Array) -> list:
-        sets = Sets(texts)
-        lists = pa.ListArray.from_arrays(
-            pa.array(sets.first.astype(np.int32)), pa.array(sets.values.view(np.int64))
-        )
-        return [sets.keys.view(np.int64), sets.sizes, lists]
 
-    fields = [("key", "bigint"), ("n", "bigint"), ("shingles", "array<bigint>")]
-    found = annotate(plain, "text", fields, work, ["text_key"])
-    return written(found.select("key", "n", "shingles").dropDuplicates(["key"]), "whole")
+    kept_keys = packed_keys(one, "text_key")
+    if kept_keys is None:
+        plain = plain.join(one, "text_key", "left_semi")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in only(batches, kept_keys, "text_key"):
+            for part in slices([batch], lambda b: b.column("text")):
+                sets = Sets(part.column("text"))
+                lists = pa.ListArray.from_arrays(
+                    pa.array(sets.first.astype(np.int32)), pa.array(sets.values.view(np.int64))
+                )
+                columns = [pa.array(sets.keys.view(np.int64)), pa.array(sets.sizes), lists]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "shingles"])
+
+    return written(plain.mapInArrow(work, "key bigint, n bigint, shingles array<bigint>"), "whole")
 
 
 def linked(pairs: DataFrame, whole: DataFrame) -> DataFrame:
@@ -336,11 +444,10 @@ def mixed_lists(short: DataFrame, classes: DataFrame | None) -> DataFrame:
     return rows.join(mixed.where("low < high").select("shingle"), "shingle", "left_semi")
 
 
-def pivot_pairs(rows: DataFrame, turn: int) -> DataFrame:
-    """For each set the pivot that it meets most often, of another class."""
-    order = F.xxhash64(F.col("key"), F.lit(turn))
+def pivot_pairs(rows: DataFrame) -> DataFrame:
+    """For each set the pivot, a list's most central set, that it meets most often."""
     pivots = rows.groupBy("shingle").agg(
-        F.min_by(F.struct(F.col("key").alias("pivot"), F.col("class").alias("of")), order).alias("p")
+        F.max_by(F.struct(F.col("key").alias("pivot"), F.col("class").alias("of")), F.struct("weight", "key")).alias("p")
     )
     return (
         rows.join(pivots, "shingle")
@@ -354,67 +461,118 @@ def pivot_pairs(rows: DataFrame, turn: int) -> DataFrame:
     )
 
 
-def cross_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs of sets of different classes that meet in a list.
+def cells(rows: DataFrame, whole: DataFrame, block: int) -> DataFrame:
+    """(group, i, j, key, class, member, query, shingles): what must still be compared.
 
-    Members outside a list's largest class meet all members of other classes; within the
-    largest class nothing is paired.
+    Sets that lists connect form a group. Those outside its largest class are queries
+    against all its members. Both are dealt into blocks of about `block` shingles, and a cell
+    is one block of queries with one block of members, however large the group is.
     """
-    sizes = rows.groupBy("shingle", "class").agg(F.count("*").alias("members"))
-    largest = sizes.groupBy("shingle").agg(F.max_by("class", F.struct("members", "class")).alias("main"))
-    few = rows.join(largest, "shingle").where(F.col("class") != F.col("main"))
-    one = few.select("shingle", F.col("key").alias("x"), F.col("class").alias("of_x"))
-    other = rows.select("shingle", F.col("key").alias("y"), F.col("class").alias("of_y"))
-    return (
-        one.join(other, "shingle")
-        .where("of_x <> of_y")
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
+    lists = rows.groupBy("shingle").agg(F.min("key").alias("first"))
+    near = components(rows.join(lists, "shingle").select(F.col("key").alias("a"), F.col("first").alias("b")))
+    sets = rows.select("key", "class").distinct().join(whole.select("key", "n"), "key")
+    grouped = stored(
+        sets.join(near.withColumnRenamed("node", "key"), "key", "left").select(
+            "key", "class", "n", F.coalesce("component", "key").alias("group")
+        )
     )
-
-
-def probed(pairs: DataFrame, postings_of: DataFrame) -> DataFrame:
-    """Pairs that share enough postings, counting those of long lists too."""
-    left = postings_of.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("all").alias("p_a"))
-    right = postings_of.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("all").alias("p_b"))
-    enough = F.least(count_of("n_a"), count_of("n_b"))
-    return (
-        pairs.join(left, "a")
-        .join(right, "b")
-        .where((F.col("n_a") * 100 >= PERCENT * F.col("n_b")) & (F.col("n_b") * 100 >= PERCENT * F.col("n_a")))
-        .where(F.size(F.array_intersect("p_a", "p_b")) >= enough)
-        .select("a", "b")
+    classes = grouped.groupBy("group", "class").agg(F.count("*").alias("members"))
+    largest = classes.groupBy("group").agg(F.max_by("class", F.struct("members", "class")).alias("main"))
+    asked = grouped.join(largest, "group").withColumn("query", F.col("class") != F.col("main"))
+    blocks = asked.groupBy("group").agg(
+        F.ceil(F.sum("n") / block).alias("m"), F.ceil(F.sum(F.when(F.col("query"), F.col("n"))) / block).alias("q")
+    )
+    placed = asked.join(blocks, "group").where("q > 0").selectExpr(
+        "group", "key", "class", "query", "m", "q", "pmod(xxhash64(key), m) as j", "pmod(xxhash64(key, 1), q) as i"
+    )
+    as_member = "transform(sequence(0L, q - 1), x -> struct(x as i, j as j, true as member, query and x = i as query))"
+    as_query = (
+        "if(query, filter(transform(sequence(0L, m - 1), x -> struct(i as i, x as j, false as member, true as query)),"
+        " c -> c.j <> j), array())"
     )
+    dealt = placed.selectExpr("group", "key", "class", f"inline(concat({as_member}, {as_query}))")
+    return dealt.join(whole.select("key", "shingles"), "key")
+
+
+def search(cell: pa.Table) -> pa.Table:
+    """Links between the queries and the members of a cell, as a forest, by DivideSkip."""
+    keys = cell.column("key").to_numpy()
+    lists = cell.column("shingles").combine_chunks()
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    values = lists.flatten().to_numpy().view(np.uint64)
+    ends = np.cumsum(sizes)
+    classes = cell.column("class").to_numpy()
+    member = cell.column("member").to_numpy(zero_copy_only=False)
+    owner = np.repeat(np.arange(len(keys)), sizes)
+    inside = member[owner]
+    known, of = np.unique(values[inside], return_inverse=True)
+    # Inverted lists: code is list * width + set, sorted, so a probe is one binary search.
+    width = len(keys)
+    code = np.sort(of * width + owner[inside])
+    heads = np.searchsorted(code, np.arange(len(known) + 1) * width)
+    length = np.diff(heads)
+    parent = {c: c for c in classes.tolist()}
+
+    def root(c):
+        while parent[c] != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
+    links: list[tuple[int, int]] = []
+    for q in np.flatnonzero(cell.column("query").to_numpy(zero_copy_only=False)):
+        need = int(required(sizes[q]))
+        mine = within(known, values[ends[q] - sizes[q] : ends[q]])
+        mine = mine[mine >= 0]
+        if len(mine) < need:
+            continue
+        mine = mine[np.argsort(length[mine], kind="stable")]
+        short, long = mine[: len(mine) - need + 1], mine[len(mine) - need + 1 :]
+        at = np.concatenate([np.arange(heads[k], heads[k + 1]) for k in short])
+        met, count = np.unique(code[at] % width, return_counts=True)
+        fits = (100 * sizes[met] >= PERCENT * sizes[q]) & (100 * sizes[q] >= PERCENT * sizes[met])
+        fits &= classes[met] != classes[q]
+        met, count = met[fits], count[fits]
+        for k in long:
+            if not len(met):
+                break
+            count = count + (within(code, k * width + met) >= 0)
+        good = 100 * count >= PERCENT * (sizes[q] + sizes[met] - count)
+        for m in met[good].tolist():
+            x, y = root(classes[q].item()), root(classes[m].item())
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                links.append((int(keys[q]), int(keys[m])))
+    a, b = zip(*links) if links else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def classes_of(
-    docs: DataFrame, *, doc: str = "doc_id", text: str = "text", list_rows: int = LIST_ROWS
+    docs: DataFrame,
+    *,
+    doc: str = "doc_id",
+    text: str = "text",
+    list_rows: int = LIST_ROWS,
+    block: int = BLOCK,
 ) -> DataFrame:
     """(doc, text_key, n, group, class): each document's group, and the smallest id in it."""
-    parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    spark = docs.sparkSession
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = 2 * parts
     base = base_table(docs, doc, text)
-    frequent = frequent_shingles(base, list_rows)
-    divided = written(divide(postings(docs, text, frequent, parts)), "postings")
-    short = divided.where("short").select("key", "shingle")
-    in_use = stored(short.groupBy("shingle").agg(F.min("key").alias("l"), F.max("key").alias("h")).where("l < h").select("shingle"))
-    short = written(short.join(in_use, "shingle", "left_semi"), "short")
-    kept = stored(short.select("key").distinct())
-    whole = fetch_sets(docs, text, kept, base)
-    postings_of = written(
-        divided.join(kept, "key", "left_semi")
-        .groupBy("key")
-        .agg(F.first("n").alias("n"), F.collect_list("shingle").alias("all")),
-        "lists",
-    )
-    links, classes = None, None
-    for turn in range(PIVOT_ROUNDS):
-        rows = mixed_lists(short, classes)
-        found = stored(linked(probed(pivot_pairs(rows, turn), postings_of), whole))
-        links = found if links is None else links.union(found)
-        classes = components(links)
-    rest = stored(mixed_lists(short, classes))
-    found = stored(linked(probed(cross_pairs(rest), postings_of), whole))
-    classes = components(links.union(found))
+    frequent = spark.sparkContext.broadcast(frequent_shingles(base, list_rows))
+    # Sets that share enough of their prefix, then of all they hold.
+    counts = listed(prefixes(docs, text, frequent, buckets), frequent, parts, buckets, True)
+    kept = enough(counts, lambda n: occurrences(required(n)))
+    whole = whole_sets(docs, text, kept, base)
+    counts = listed(all_shingles(whole, frequent, buckets), frequent, parts, buckets, True)
+    kept = enough(counts, required)
+    whole = written(of_keys(whole, kept, "key").dropDuplicates(["key"]), "kept")
+    short = short_lists(listed(all_shingles(whole, frequent, buckets), frequent, parts, buckets, False))
+    links = stored(linked(pivot_pairs(mixed_lists(short, None)), whole))
+    rest = stored(mixed_lists(short, components(links)))
+    cell = cells(rest, whole, block).groupBy("group", "i", "j")
+    classes = components(links.union(stored(cell.applyInArrow(search, "a bigint, b bigint"))))
     rows = in_classes(base.where("kind = 0").select("doc", "text_key", "key", "n"), classes)
     lowest = rows.where("n > 0").groupBy("class").agg(F.min("doc").alias("least"))
     return rows.join(lowest, "class", "left").select(
@@ -452,25 +610,10 @@ def keep_one(docs: DataFrame, *, doc: str = "doc_id", text: str = "text") -> Dat
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
         F.xxhash64(docs[doc].cast("bigint"), F.xxhash64(docs[text].cast("string"))).alias("row_key"),
     )
-    stay = without(keyed, stored(gone))
     repeated = stored(again)
-    # The same row twice or more: one of them stays.
-    single = without(stay, repeated).select("row.*")
+    # Rows that go, and rows that stand twice or more, of which one is added again.
+    apart = stored(gone.union(repeated).distinct())
+    single = of_keys(keyed, apart, "row_key", inside=False).select("row.*")
     return single.union(
-        stay.join(repeated, "row_key", "left_semi").dropDuplicates(["row_key"]).select("row.*")
-    )
-
-
-def without(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    if keys.count() > KNOWN_KEYS:
-        return rows.join(keys, "row_key", "left_anti")
-    known = rows.sparkSession.sparkContext.broadcast(
-        np.sort(keys.toArrow().column("row_key").to_numpy())
+        of_keys(keyed, repeated, "row_key").dropDuplicates(["row_key"]).select("row.*")
     )
-
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = within(known.value, batch.column("row_key").to_numpy(zero_copy_only=False))
-            yield batch.filter(pa.array(at < 0))
-
-    return rows.mapInArrow(choose, rows.schema)
