@@ -321,7 +321,8 @@ def open_windows(touched: DataFrame, span: int) -> DataFrame:
             words = Words(batch.column("text"), BLANK_WORDS, lower=False)
             starts, owners = [], []
             for i, still in enumerate(batch.column("still").to_pylist()):
-                mine = np.concatenate([np.arange(r["first"], r["last"] + 1) for r in still])
+                # Nodes that tie, as in a run of one word, share their windows.
+                mine = np.unique(np.concatenate([np.arange(r["first"], r["last"] + 1) for r in still]))
                 starts.append(mine)
                 owners.append(np.full(len(mine), i))
             at, of = np.concatenate(starts), np.concatenate(owners)
