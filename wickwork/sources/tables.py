@@ -166,9 +166,14 @@ def remove(spark: SparkSession, path: str) -> None:
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether the folder holds data, not only markers of an unfinished write."""
     fs, target = _file_system(spark, path)
-    return fs.exists(target) and any(
-        not status.getPath().getName().startswith(("_", ".")) for status in fs.listStatus(target)
-    )
+    if not fs.exists(target):
+        return False
+    files = fs.listFiles(target, True)
+    while files.hasNext():
+        inside = files.next().getPath().toString().split(target.getName(), 1)[-1]
+        if not any(part.startswith(("_", ".")) for part in inside.split("/")):
+            return True
+    return False
 
 
 def days_of(df: DataFrame, ts: str = "ts") -> list:
