@@ -13,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 import tables  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from wickwork.llm import debruijn, hilbert, jaccard_join, mixing, neighbours, pii, ppm, toxicity, winnowing  # noqa: E402
+from wickwork.llm import adaptive_rules, debruijn, hilbert, jaccard_join, mixing, neighbours, pii, ppm, toxicity, winnowing  # noqa: E402
 from wickwork.llm.common import components, ranked  # noqa: E402
 
 
@@ -91,6 +91,23 @@ def test_hidden_words_are_restored_and_scored(spark):
     assert all(set(t.split()) == set(out[i].split()) for i, t in rows[:50])
 
 
+def test_limits_of_unspaced_script_are_not_clipped(spark):
+    # Mean lengths of runs: 120 to 300 characters, some honest short ones, and real outliers.
+    lengths = [120 + i % 180 for i in range(400)] + [60, 75, 96] + [40_000, 90_000]
+    rows = [(i, "\n".join(chr(0x4E00 + (i + k) % 5000) * n for k in range(12)), "zh", "web") for i, n in enumerate(lengths)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    kept = {r.row.doc_id: r.kept for r in adaptive_rules.judge(docs, keep=["doc_id"]).collect()}
+    assert all(kept[i] for i in range(403)) and not kept[403] and not kept[404]
+
+
+def test_steps_of_long_words_grow_with_the_value(spark):
+    value = adaptive_rules.stepped("v")
+    rows = spark.createDataFrame([(v,) for v in (0, 1, 1000, 2047, 2048, 2049, 123_457, 2**40 + 5)], "v bigint")
+    got = [tuple(r) for r in rows.selectExpr("v", value).collect()]
+    assert all(v == s for v, s in got if v < 2048)
+    assert all(0 <= v - s <= v / 1000 for v, s in got) and got[-1][1] == 2**40
+
+
 def test_votes_are_exact_over_blocks():
     rng = np.random.default_rng(2)
     known = rng.standard_normal((3000, 8)).astype(np.float32)

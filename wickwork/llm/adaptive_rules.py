@@ -2,9 +2,10 @@
 
 Each document is measured; documents that pass the base rules are counted into sketches, one
 per (language, source, measure). A sketch is a table of counts by value in thousandths (or
-tenths of a character): it merges by addition, its quantiles are exact to one such step, and
-reruns agree. A limit lies `FENCE` spreads beyond the quartiles of its group; a spread is the
-distance between the quartiles, `LEAST_SPREAD` at least. A group of under `MIN_ROWS`
+tenths of a character, in steps of `EXACT_BITS` leading bits above 2 ** EXACT_BITS): it merges
+by addition, its quantiles are exact to one such step, and reruns agree. A limit lies `FENCE`
+spreads beyond the quartiles of its group; a spread is the distance between the quartiles, a
+measure's least spread and the step at the upper quartile at least. A group of under `MIN_ROWS`
 documents uses the merged sketch of its language, or else of all documents. Documents are
 joined with the limits of their group, a table of one row per group.
 
@@ -27,12 +28,27 @@ MIN_WORDS = 10
 MOST_REPEATED = 20  # percent
 WINDOW = 5
 
+#: Values have so many leading bits: exact below 2048, then in steps of 0.1 % of the value at
+#: most, so a sketch stays small however long words are.
+EXACT_BITS = 11
+
+
+def step_bits(value: str) -> str:
+    """SQL: the low bits that a value's step spans."""
+    return f"greatest(length(bin({value})) - {EXACT_BITS}, 0)"
+
+
+def stepped(value: str) -> str:
+    bits = step_bits(value)
+    return f"shiftleft(shiftright({value}, {bits}), {bits})"
+
+
 #: Measure: (expression in its integer steps, least spread, limited below too).
 MEASURES = {
     "symbols": ("n_symbols * 1000 div greatest(word_chars, 1)", 5, False),
     "repeats": ("n_repeat_words * 1000 div greatest(n_words, 1)", 20, False),
     "same_lines": ("n_dup_lines * 1000 div greatest(n_lines, 1)", 50, False),
-    "word_length": ("least(word_chars * 10 div greatest(n_words, 1), 1000L)", 10, True),
+    "word_length": (stepped("(word_chars * 10 div greatest(n_words, 1))"), 10, True),
 }
 FENCE = 3
 MIN_ROWS = 100
@@ -151,7 +167,8 @@ def limits(groups: DataFrame, sketch: DataFrame, min_rows: int) -> DataFrame:
     wide = []
     for measure, (_, least, below) in MEASURES.items():
         mine = F.col("measure") == measure
-        spread = F.greatest(F.col("q.q3") - F.col("q.q1"), F.lit(least))
+        step = F.expr(f"shiftleft(1L, {step_bits('q.q3')})")
+        spread = F.greatest(F.col("q.q3") - F.col("q.q1"), F.lit(least), step)
         wide.append(F.max(F.when(mine, F.col("q.q3") + FENCE * spread)).alias(f"{measure}_high"))
         if below:
             wide.append(F.max(F.when(mine, F.col("q.q1") - FENCE * spread)).alias(f"{measure}_low"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .adaptive_rules import FENCE, MEASURES, MIN_ROWS
+from .adaptive_rules import FENCE, MIN_ROWS
 from .hilbert import BITS, LEVELS, OVERHEAD, SHARDS
 from .mixing import MOST_EPOCHS, SEED, WEIGHTS
 
@@ -154,14 +154,24 @@ FROM cut
 """
 
 
+#: op2's measures in SQL of its own: (expression, least spread, limited below too). Words of
+#: more than 100 characters on average count as 100 here, which the operator does not do.
+_MEASURES = {
+    "symbols": ("n_symbols * 1000 // greatest(word_chars, 1)", 5, False),
+    "repeats": ("n_repeat_words * 1000 // greatest(n_words, 1)", 20, False),
+    "same_lines": ("n_dup_lines * 1000 // greatest(n_lines, 1)", 50, False),
+    "word_length": ("least(word_chars * 10 // greatest(n_words, 1), 1000)", 10, True),
+}
+
+
 def _measures() -> str:
-    return ", ".join(f"{e.replace(' div ', ' // ').replace('1000L', '1000')} AS {m}" for m, (e, _, _) in MEASURES.items())
+    return ", ".join(f"{e} AS {m}" for m, (e, _, _) in _MEASURES.items())
 
 
 def _limits() -> str:
     """Per measure: quartiles of the group, its language or all, and the limits from them."""
     out = []
-    for m, (_, least, below) in MEASURES.items():
+    for m, (_, least, below) in _MEASURES.items():
         def quartile(q: int, m=m) -> str:
             level = "CASE WHEN g.n >= {0} THEN g.{1}_{2} WHEN l.n >= {0} THEN l.{1}_{2} ELSE a.{1}_{2} END"
             return level.format(MIN_ROWS, m, q)
@@ -173,7 +183,7 @@ def _limits() -> str:
 
 
 _QUARTILES = ", ".join(
-    f"quantile_disc({m}, {q / 4}) AS {m}_{q}" for m in MEASURES for q in (1, 3)
+    f"quantile_disc({m}, {q / 4}) AS {m}_{q}" for m in _MEASURES for q in (1, 3)
 )
 
 SQL["op2_adaptive_rules"] = f"""
