@@ -250,6 +250,16 @@ def test_rare_tokens_and_small_tries_keep_the_base(spark, docs):
     assert a == b
 
 
+def test_windows_out_of_the_cache_keep_the_score(spark, docs):
+    whole, small, none = (
+        sorted((r.row.doc_id or -1, r.score) for r in ppm.score(docs, docs, keep=["doc_id"], most_windows=n).collect())
+        for n in (1 << 20, 50, 0)
+    )
+    for other in (small, none):
+        assert [d for d, _ in other] == [d for d, _ in whole]
+        assert [s for _, s in other] == pytest.approx([s for _, s in whole], rel=1e-9)
+
+
 def test_model_probabilities_sum_to_one():
     words = ppm.Words(ppm.pa.array(["ab ac ad", "ab ab", ""]), ppm.BLANK_WORDS, True)
     codes, _ = ppm.windows(words)

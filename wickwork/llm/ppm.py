@@ -8,10 +8,11 @@ while scoring, so a byte's code length depends on its window of `ORDER + 1` byte
 each distinct window of a batch is coded once.
 
 A text is coded as its words, lower-case, one blank between, and an end symbol. Beside it
-stands the unigram base score. The trie keeps the windows that occur at least so often that
-`MODEL_WINDOWS` of them remain, an even threshold for all orders, so shorter contexts always
-hold the bytes of longer ones; counts cover all training texts. Frequent tokens (`MODEL_TOKENS`
-at most) are broadcast with their counts, all others meet theirs in a join.
+stands the unigram base score. The trie is a table per order that holds every window of the
+training texts; the probability of each distinct window of the documents comes from joins with
+its shorter windows, so nothing is pruned whatever the corpus size. The windows that the
+documents use most (`MODEL_WINDOWS` at most) are broadcast with their probabilities, and so are
+frequent tokens (`MODEL_TOKENS` at most) with their counts; all others meet theirs in a join.
 
 Defined results: null, empty and blank texts have one token, the end; repeated rows are scored
 alike; without training texts every byte has odds of 1 in 256.
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import annotate, stored, within, written
@@ -111,16 +112,18 @@ class Tally:
         return merged(self.keys, self.counts)
 
 
-def corpus_counts(texts: DataFrame) -> DataFrame:
+def corpus_counts(texts: DataFrame, wanted: tuple[int, ...] = (TOKEN, WINDOW)) -> DataFrame:
     """(kind, key, n): token hashes and byte windows of all texts, with their counts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tallies = {TOKEN: Tally(), WINDOW: Tally()}
+        tallies = {kind: Tally() for kind in wanted}
         for batch in slices(batches, lambda b: b.column(0)):
             words = Words(batch.column(0), BLANK_WORDS, lower=True)
-            ends = np.full(batch.num_rows, END_TOKEN, np.uint64)
-            tallies[TOKEN].add(np.concatenate([words.hashes(), ends]))
-            tallies[WINDOW].add(windows(words)[0])
+            if TOKEN in tallies:
+                ends = np.full(batch.num_rows, END_TOKEN, np.uint64)
+                tallies[TOKEN].add(np.concatenate([words.hashes(), ends]))
+            if WINDOW in tallies:
+                tallies[WINDOW].add(windows(words)[0])
         for kind, tally in tallies.items():
             keys, n = tally.total()
             yield pa.RecordBatch.from_arrays(
@@ -166,6 +169,8 @@ class Level:
 
 
 class Trie:
+    """The odds that `window_odds` gets from joins, in memory, for few windows."""
+
     def __init__(self, tables: list[tuple[np.ndarray, np.ndarray]]):
         """tables: windows (as keys) and counts by order, 0 first."""
         self.levels: list[Level] = []
@@ -215,19 +220,59 @@ class Trie:
         return out
 
 
-def train(counts: DataFrame, order: int = ORDER, most: int = MODEL_WINDOWS) -> Trie:
-    """The trie of the windows that occur often enough; shorter contexts sum over longer ones."""
-    longest = counts.where(F.col("kind") == WINDOW).select("key", "n")
+def after(at: str, less_sum: Column, less_kinds: Column) -> Column:
+    """log10 of the last byte's probability at one order; what the longer context holds is less."""
+    n, sums, kinds, rest = (F.col(f"{at}{c}") for c in ("n", "sums", "kinds", "rest"))
+    room = sums + kinds - less_sum - less_kinds
+    odds = F.when(n > 0, n).otherwise(kinds - less_kinds) / F.when(room > 0, room)
+    return (
+        F.when(kinds == 0, rest)
+        .when(n > 0, F.log10(odds))
+        .when(room > 0, F.log10(odds) + rest)
+        .otherwise(rest)
+    )
+
+
+def window_odds(counts: DataFrame, asked: DataFrame, order: int = ORDER) -> DataFrame:
+    """(key, m, log) of each asked window (key, m): log10 of its last byte's probability.
+
+    counts: (key, n) of all training windows. A table per order holds the windows of both,
+    n = 0 for those that training lacks. From the shortest up, each window meets its suffix,
+    which has at most 256 longer windows, as a context has at most 256 bytes; `rest` is the
+    code of a byte that escapes to the suffix.
+    """
+    both = counts.select("key", "n", F.lit(0).cast("bigint").alias("m")).union(
+        asked.select("key", F.lit(0).cast("bigint"), "m")
+    )
+    longest = written(both.groupBy("key").agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "windows")
     tables = [longest]
     for size in range(order, 0, -1):
         suffix = F.col("key").bitwiseAND(F.lit((1 << (8 * size)) - 1))
         tables.append(stored(tables[-1].groupBy(suffix.alias("key")).agg(F.sum("n").alias("n"))))
-    low = threshold(tables, most)
-    kept = []
-    for table in reversed(tables):
-        rows = table.where(F.col("n") >= low).toArrow()
-        kept.append((rows.column("key").to_numpy().view(np.uint64), rows.column("n").to_numpy()))
-    return Trie(kept)
+    of = Window.partitionBy("context")
+    seen = F.col("n") > 0
+    facts = {
+        "context": F.shiftright("key", 8),
+        "sums": F.sum("n").over(of),
+        "kinds": F.sum(F.when(seen, 1).otherwise(0)).over(of),
+    }
+    below = None
+    for size, table in enumerate(reversed(tables)):
+        if below is not None:
+            suffix = F.col("key").bitwiseAND(F.lit((1 << (8 * size)) - 1))
+            table = table.join(below, suffix == F.col("below_key"))
+        for name, column in facts.items():
+            table = table.withColumn(name, column)
+        if below is None:
+            fresh = F.when(F.col("kinds") < 256, -F.log10(256 - F.col("kinds"))).otherwise(0.0)
+        else:
+            table = table.withColumn("excluded", F.sum(F.when(seen, F.col("below_n")).otherwise(0)).over(of))
+            # Without a known context nothing is excluded: its sums are 0.
+            fresh = after("below_", F.col("excluded"), F.col("kinds"))
+        level = table.withColumn("rest", F.when(seen, 0.0).otherwise(fresh))
+        below = level.select(*[F.col(c).alias(f"below_{c}") for c in ("key", "n", "sums", "kinds", "rest")])
+    none = F.lit(0)
+    return written(level.where("m > 0").select("key", "m", after("", none, none).alias("log")), "odds")
 
 
 # ---- documents ---------------------------------------------------------------------------
@@ -238,6 +283,7 @@ FIELDS = [
     ("log_counts", "double"),
     ("score", "double"),
     ("rare", "array<struct<key:bigint,n:int>>"),
+    ("rare_windows", "array<struct<key:bigint,n:int>>"),
 ]
 
 
@@ -261,15 +307,31 @@ def score(
     keys = rows.column("key").to_numpy().view(np.uint64)
     at = np.argsort(keys)
     logs = np.log10(rows.column("n").to_numpy()[at] + 1.0)
-    model = context.broadcast((train(counts, most=most_windows), keys[at], logs))
+    asked = corpus_counts(docs.select(docs[text].cast("string")), (WINDOW,))
+    odds = window_odds(
+        counts.where(F.col("kind") == WINDOW), asked.select("key", F.col("n").alias("m"))
+    )
+    often = threshold([odds.select(F.col("m").alias("n"))], most_windows)
+    rows = odds.where(F.col("m") >= often).toArrow()
+    codes = rows.column("key").to_numpy().view(np.uint64)
+    by_code = np.argsort(codes)
+    code_logs = rows.column("log").to_numpy()[by_code]
+    model = context.broadcast((codes[by_code], code_logs, keys[at], logs))
 
     def work(texts: pa.Array) -> list:
-        trie, known, logs = model.value
+        cached, code_logs, known, logs = model.value
         words = Words(texts, BLANK_WORDS, lower=True)
         codes, coded = windows(words)
         distinct, place = np.unique(codes, return_inverse=True)
         first = np.concatenate([[0], np.cumsum(coded)[:-1]])
-        scores = np.add.reduceat(trie.log10(distinct)[place], first) if len(coded) else []
+        at = within(cached, distinct)
+        found = at >= 0
+        values = np.zeros(len(distinct))
+        values[found] = code_logs[at[found]]
+        scores = np.add.reduceat(values[place], first) if len(coded) else []
+        missed = ~found[place]
+        windows_of = np.repeat(np.arange(len(coded)), coded)[missed]
+        rare_windows = rare_keys(codes[missed], windows_of, len(coded))
         # One end symbol behind the words of each text.
         tokens = np.insert(words.hashes(), words.first[1:], END_TOKEN)
         size = words.counts + 1
@@ -278,39 +340,46 @@ def score(
         found = at >= 0
         part = np.bincount(of[found], weights=logs[at[found]], minlength=len(size))
         n_known = np.bincount(of[found], minlength=len(size))
-        return [size, n_known, part, scores, rare_tokens(tokens[~found], of[~found], len(size))]
+        rare = rare_keys(tokens[~found], of[~found], len(size))
+        return [size, n_known, part, scores, rare, rare_windows]
 
     plain = annotate(docs, text, FIELDS, work, keep)
     table = written(plain.withColumn("id", F.monotonically_increasing_id()), "scored")
     rare = table.select("id", F.inline("rare")).join(
         vocabulary.where(F.col("n") < frequent).withColumnRenamed("n", "count"), "key"
     )
-    more = rare.groupBy("id").agg(
-        F.sum("n").alias("more_known"), F.sum(F.col("n") * F.log10(F.col("count") + 1.0)).alias("more_logs")
+    rare_windows = table.select("id", F.inline("rare_windows")).join(
+        odds.where(F.col("m") < often).select("key", "log"), "key"
+    )
+    parts = rare.select(
+        "id", "n", (F.col("n") * F.log10(F.col("count") + 1.0)).alias("logs"), F.lit(0.0).alias("code")
+    ).union(rare_windows.select("id", F.lit(0), F.lit(0.0), F.col("n") * F.col("log")))
+    more = parts.groupBy("id").agg(
+        F.sum("n").alias("more_known"), F.sum("logs").alias("more_logs"), F.sum("code").alias("more_score")
     )
     logs_of_all = F.col("log_counts") + F.coalesce("more_logs", F.lit(0.0))
-    odds = math.log10(total + kinds + 1)
+    unit = math.log10(total + kinds + 1)
     return table.join(more, "id", "left").select(
         "row",
         "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).cast("bigint").alias("n_known"),
         F.lit(int(total)).cast("bigint").alias("train_tokens"),
-        (logs_of_all - F.col("n_tokens") * odds).alias("base_score"),
-        "score",
+        (logs_of_all - F.col("n_tokens") * unit).alias("base_score"),
+        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
     )
 
 
-def rare_tokens(tokens: np.ndarray, of: np.ndarray, count: int) -> pa.Array:
-    """Per text the tokens that are not frequent, each with its number."""
-    order = np.lexsort((tokens, of))
-    tokens, of = tokens[order], of[order]
-    fresh = np.ones(len(tokens), bool)
-    fresh[1:] = (tokens[1:] != tokens[:-1]) | (of[1:] != of[:-1])
+def rare_keys(keys: np.ndarray, of: np.ndarray, count: int) -> pa.Array:
+    """Per text the keys that are not frequent, each with its number."""
+    order = np.lexsort((keys, of))
+    keys, of = keys[order], of[order]
+    fresh = np.ones(len(keys), bool)
+    fresh[1:] = (keys[1:] != keys[:-1]) | (of[1:] != of[:-1])
     first = np.flatnonzero(fresh)
-    number = np.diff(np.append(first, len(tokens))).astype(np.int32)
+    number = np.diff(np.append(first, len(keys))).astype(np.int32)
     per_row = np.bincount(of[first], minlength=count)
     offsets = np.concatenate([[0], np.cumsum(per_row)]).astype(np.int32)
     inside = pa.StructArray.from_arrays(
-        [pa.array(tokens[first].view(np.int64)), pa.array(number)], names=["key", "n"]
+        [pa.array(keys[first].view(np.int64)), pa.array(number)], names=["key", "n"]
     )
     return pa.ListArray.from_arrays(pa.array(offsets), inside)
