@@ -139,6 +139,18 @@ def test_junk_is_told_from_prose_on_held_out_rows(spark):
     assert np.mean(right) > 0.97
 
 
+def test_wording_of_the_same_shape_tells_quality(spark):
+    """Words of five small letters each, with the same repetition: only the wording differs."""
+    rng = random.Random(9)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(400)]
+    rows = [(i, " ".join(rng.sample(vocabulary[:200] if i % 2 else vocabulary[200:], 40))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    teach = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id bigint, quality int")
+    found = neighbours.score(docs, teach).select("row.doc_id", "score").collect()
+    good, bad = ([r.score for r in found if r.doc_id >= 300 and r.doc_id % 2 == k] for k in (1, 0))
+    assert np.mean([[g > b for b in bad] for g in good]) > 0.97
+
+
 def test_curve_visits_neighbours(spark):
     """Consecutive positions differ by one step in one dimension, and no cell is met twice."""
     grid = spark.range(8).crossJoin(spark.range(8).toDF("y")).crossJoin(spark.range(8).toDF("z"))

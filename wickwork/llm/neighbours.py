@@ -1,7 +1,8 @@
 """Quality by nearest-neighbour voting in a latent space.
 
-A text becomes counts of byte kinds, of hashed runs of three kinds, and of coarse facts about
-repetition and word shape. Latent semantic analysis (a truncated singular value decomposition
+A text becomes counts of its hashed words and runs of three characters, weighted by how few of
+all documents have them, and beside these terms counts of byte kinds, of hashed runs of three
+kinds, and of coarse facts about repetition and word shape. Latent semantic analysis (a truncated singular value decomposition
 of the labelled sample's weighted counts) gives `DIMENSIONS` coordinates. The sample is bounded
 by `SAMPLE_GOOD` and `SAMPLE_BAD`, so its vectors are broadcast; every document is compared
 with all of them by exact cosine products, block by block, and the labels of the `NEIGHBOURS`
@@ -21,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import annotate, stored
-from .words import BLANK_WORDS, Words, gram_starts, range_hashes, slices, text_bytes
+from .words import BLANK_WORDS, LETTER_WORDS, Words, gram_starts, range_hashes, slices, text_bytes
 
 SAMPLE_GOOD = 3000
 SAMPLE_BAD = 2000
-DIMENSIONS = 48
+DIMENSIONS = 96
 NEIGHBOURS = 25
 BLOCK = 1024
 SHARPNESS = 12.0
@@ -47,8 +48,11 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 #: Facts, each as one of `STEPS` levels.
 FACTS, STEPS = 7, 12
-FEATURES = KINDS + GRAMS + FACTS * STEPS
-WEIGHTS = (1.0, 1.0, 1.2)
+#: Hashed terms: words, and runs of `RUN` characters.
+WORD_BITS, RUN_BITS, RUN = 12, 11, 3
+TERMS = (1 << WORD_BITS) + (1 << RUN_BITS)
+FEATURES = KINDS + GRAMS + FACTS * STEPS + TERMS
+WEIGHTS = (1.0, 1.0, 1.2, 1.2, 0.8)
 
 
 def per_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -92,8 +96,44 @@ def facts(texts: pa.Array, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     ])
 
 
-def features(texts: pa.Array) -> np.ndarray:
-    """A row of weighted features per text; each of the three parts has length one."""
+def terms(texts: pa.Array) -> np.ndarray:
+    """Counts of hashed lower-case words and of runs of characters, a row per text."""
+    count = len(texts)
+    words = Words(texts, LETTER_WORDS, lower=True)
+    rows = np.repeat(np.arange(count), words.counts)
+    cells = [rows * TERMS + (words.hashes() >> np.uint64(64 - WORD_BITS)).astype(np.int64)]
+    starts = ~_CONTINUES[words.data]
+    at = np.append(np.flatnonzero(starts), len(words.data))
+    if len(at) > RUN:
+        _, offsets = text_bytes(texts)
+        of = np.repeat(np.arange(count), per_text(starts, offsets))
+        runs = range_hashes(words.data.astype(np.uint64) + np.uint64(1), at[:-RUN], at[RUN:])
+        cell = (1 << WORD_BITS) + (runs >> np.uint64(64 - RUN_BITS)).astype(np.int64)
+        same = of[: len(cell)] == of[RUN - 1 :]
+        cells.append((of[: len(cell)] * TERMS + cell)[same])
+    return np.bincount(np.concatenate(cells), minlength=count * TERMS).reshape(count, TERMS)
+
+
+def rarity(docs: DataFrame, text: str) -> np.ndarray:
+    """Inverse document frequency of each term, counted over all documents."""
+
+    def count(batches):
+        held, rows = np.zeros(TERMS, np.int64), 0
+        for batch in slices(batches, lambda b: b.column(0)):
+            held += np.count_nonzero(terms(batch.column(0)), axis=0)
+            rows += batch.num_rows
+        cells = np.arange(-1, TERMS, dtype=np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(np.append(rows, held))], names=["cell", "n"])
+
+    parts = docs.select(docs[text].cast("string")).mapInArrow(count, "cell int, n bigint")
+    found = parts.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    held = np.zeros(TERMS + 1)
+    held[found.column("cell").to_numpy() + 1] = found.column("n").to_numpy()
+    return np.log((held[0] + 1) / (held[1:] + 1)) + 0.1
+
+
+def features(texts: pa.Array, rare: np.ndarray) -> np.ndarray:
+    """A row of weighted features per text; each of the five parts has length one."""
     data, offsets = text_bytes(texts)
     count = len(texts)
     starts = ~_CONTINUES[data]
@@ -113,8 +153,9 @@ def features(texts: pa.Array) -> np.ndarray:
     bins[np.arange(count)[:, None], np.arange(FACTS) * STEPS + level] = 1.0
     bins[chars[1:] == chars[:-1]] = 0.0
     parts = []
-    for part, weight in zip((first, grams, bins), WEIGHTS):
-        rooted = np.sqrt(part)
+    weighted = np.sqrt(terms(texts)) * rare
+    split = np.split(weighted, [1 << WORD_BITS], axis=1)
+    for rooted, weight in zip((*map(np.sqrt, (first, grams, bins)), *split), WEIGHTS):
         norm = np.maximum(np.linalg.norm(rooted, axis=1, keepdims=True), 1e-9)
         parts.append(weight * rooted / norm)
     return np.hstack(parts).astype(np.float32)
@@ -155,21 +196,22 @@ def vote(points: np.ndarray, known: np.ndarray, labels: np.ndarray) -> np.ndarra
     return trust * share + (1 - trust) * PRIOR
 
 
-def sample(docs: DataFrame, teach: DataFrame, doc: str, text: str, value: int, most: int) -> pa.Array:
+def sample(docs: DataFrame, teach: DataFrame, doc: str, text: str, value: int, most: int, rare) -> pa.Array:
     """Texts of at most `most` documents with this label, in blocks, the same on every run."""
     ids = teach.where(F.col("label") == value).orderBy(F.xxhash64(F.lit("quality"), "doc")).limit(most)
     rows = docs.select(docs[doc].alias("doc"), docs[text].cast("string").alias("text")).join(
         F.broadcast(ids.select("doc")), "doc", "left_semi"
     )
-    return rows.select("text").mapInArrow(_features_of, "vector binary").toArrow().column("vector")
 
+    def features_of(batches):
+        for batch in slices(batches, lambda b: b.column("text")):
+            # Half precision: the sample passes through the driver.
+            made = features(batch.column("text"), rare.value).astype(np.float16)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r.tobytes() for r in made], pa.binary())], names=["vector"]
+            )
 
-def _features_of(batches):
-    for batch in slices(batches, lambda b: b.column("text")):
-        rows = features(batch.column("text"))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r.tobytes() for r in rows], pa.binary())], names=["vector"]
-        )
+    return rows.select("text").mapInArrow(features_of, "vector binary").toArrow().column("vector")
 
 
 def score(
@@ -188,22 +230,24 @@ def score(
         .groupBy("doc")
         .agg(F.min("label").alias("label"))
     )
+    context = docs.sparkSession.sparkContext
+    rare = context.broadcast(rarity(docs, text))
     vectors, votes = [], []
     for value, most in ((1, SAMPLE_GOOD), (0, SAMPLE_BAD)):
-        found = sorted(v.as_py() for v in sample(docs, teach, doc, text, value, most))
-        vectors += [np.frombuffer(v, np.float32) for v in found]
+        found = sorted(v.as_py() for v in sample(docs, teach, doc, text, value, most, rare))
+        vectors += [np.frombuffer(v, np.float16) for v in found]
         votes += [value] * len(found)
     if vectors:
-        matrix = np.array(vectors)
+        matrix = np.array(vectors, np.float32)
         axes = latent(matrix, DIMENSIONS)
         known = placed(matrix, axes)
     else:
         axes, known = np.zeros((FEATURES, 1), np.float32), np.zeros((1, 1), np.float32)
         votes = [0]
-    model = docs.sparkSession.sparkContext.broadcast((axes, known, np.array(votes, float)))
+    model = context.broadcast((axes, known, np.array(votes, float)))
 
     def work(texts: pa.Array) -> list:
         axes, known, votes = model.value
-        return [vote(placed(features(texts), axes), known, votes)]
+        return [vote(placed(features(texts, rare.value), axes), known, votes)]
 
     return annotate(docs, text, [("score", "double")], work, keep)
