@@ -171,6 +171,24 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
+#: Keys of more than this share of all rows meet them by broadcast.
+HOT_SHARE = 1000
+
+
+def hot_join(rows: DataFrame, table: DataFrame, key: str, count: str, total: int) -> DataFrame:
+    """`rows` inner joined with `table`, in which every key stands once, spread over all tasks.
+
+    `count` says how many of the `total` rows have a key. At most `HOT_SHARE` keys have that
+    share of the rows or more: these are broadcast, the others are joined by a shuffle, in
+    which no key is large. `table` is read twice, so pass a written one.
+    """
+    hot = F.col(count) * HOT_SHARE >= total
+    found = table.where(hot).withColumn("_hot", F.lit(True))
+    marked = rows.join(F.broadcast(found), key, "left")
+    rest = marked.where("_hot IS NULL").select(*rows.columns).join(table.where(~hot), key)
+    return marked.where("_hot").drop("_hot").unionByName(rest)
+
+
 def sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
     """pick over values[i : i + width] for every i with a full window."""
     out, done = values, 1

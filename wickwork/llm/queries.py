@@ -109,3 +109,12 @@ def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
     from .pii import find_private, summary
 
     return summary(find_private(table(spark, folder, "documents"), keep=["doc_id"]), "doc_id")
+
+
+@register
+def op13_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    from .resample import importance, resample
+
+    docs, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    drawn = resample(importance(docs, benchmark, keep=["doc_id"]))
+    return drawn.select("row.doc_id", "n_features", "weight", "score", "rank")
