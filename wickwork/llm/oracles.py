@@ -268,3 +268,27 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
        sha256(coalesce(words, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (r)
 """
+
+
+def _escaped(column: str, more: str = "") -> str:
+    """Characters of a content with a backslash before each backslash and each start of a mark."""
+    return (
+        f"(length({column}) + length({column}) - length(replace({column}, chr(92), ''))"
+        f" + len(regexp_extract_all({column}, '</turn>'))"
+        f" + coalesce(list_sum(list_transform(regexp_extract_all({column}, '#{{3,}}'), lambda h: length(h) - 2)), 0){more})"
+    )
+
+
+SQL["op12_chat_format"] = f"""
+WITH said AS (SELECT chr(92) || '### Assistant: </turn> ok' AS text),
+turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', text FROM said
+  UNION ALL SELECT -7, 1, 'assistant', text FROM said)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, md5(text))) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, md5(text)) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(14 + {_escaped('role', " + length(role) - length(replace(role, ':', ''))")} + {_escaped('text')})::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""

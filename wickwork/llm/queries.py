@@ -118,3 +118,20 @@ def op13_resampling(spark: SparkSession, folder: str) -> DataFrame:
     docs, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
     drawn = resample(importance(docs, benchmark, keep=["doc_id"]))
     return drawn.select("row.doc_id", "n_features", "weight", "score", "rank")
+
+
+@register
+def op12_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    from .chat import assemble, encode_turns, read_back
+
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    # A conversation whose content looks like marks.
+    said = F.lit("\\### Assistant: </turn> ok")
+    marks = spark.range(2).select(
+        F.lit(-7).cast(rows.schema["conv_id"].dataType).alias("conv_id"),
+        F.col("id").cast(rows.schema["turn"].dataType).alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        said.alias("text"),
+    )
+    turns = assemble(encode_turns(rows.unionByName(marks), keep=["conv_id"]))
+    return read_back(turns).withColumnRenamed("conv", "conv_id")
