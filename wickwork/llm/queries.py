@@ -135,3 +135,24 @@ def op12_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
     turns = assemble(encode_turns(rows.unionByName(marks), keep=["conv_id"]))
     return read_back(turns).withColumnRenamed("conv", "conv_id")
+
+
+@register
+def op11_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    from .repair import damaged, edits, gaps, summary
+
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    after = damaged(rows)
+    found = summary(edits(after, keep=["conv_id"])).unionByName(gaps(after), allowMissingColumns=True)
+    # Every conversation, also those without a row after the damage.
+    found = found.unionByName(rows.select(F.col("conv_id").alias("conv")).distinct(), allowMissingColumns=True)
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return (
+        found.groupBy(F.col("conv").alias("conv_id"))
+        .agg(
+            *[F.coalesce(F.max(n), F.lit(0)).cast("bigint").alias(n) for n in numbers],
+            F.coalesce(F.max("audit"), F.lit("")).alias("audit"),
+            F.coalesce(F.max("repaired_sha256"), nothing).alias("repaired_sha256"),
+        )
+    )
