@@ -107,9 +107,65 @@ SCHEMA = pa.schema(
 )
 
 
-def write(folder: Path, documents: list[dict], benchmark: list[tuple], labels: list[tuple]) -> str:
+CONVERSATIONS = pa.schema(
+    [
+        ("conv_id", pa.int64()),
+        ("turn", pa.int64()),
+        ("role", pa.string()),
+        ("text", pa.string()),
+        # Names that an operator might use itself.
+        ("conv", pa.string()),
+        ("row", pa.int64()),
+        ("place", pa.int64()),
+        ("ids", pa.string()),
+        ("state", pa.string()),
+    ]
+)
+
+
+def odd_conversations() -> list[dict]:
+    rng = random.Random(9)
+    rows: list[tuple] = []
+    roles = ["user", "assistant", "system", "user", "assistant", "tool", "", None, "User", "umpire", "a:b\\c"]
+    ends = [".", "!", "?", "", " ", ".\n", ",", "\u2028", ". \t"]
+
+    def said() -> str | None:
+        some = rng.random()
+        if some < 0.1:
+            return rng.choice([None, "", "  \t\n", "\v\f\r"])
+        if some < 0.2:
+            return "the same again."
+        return " ".join(words(rng, rng.randint(1, 4))) + rng.choice(ends)
+
+    for conv in range(40):
+        for turn in range(rng.randint(1, 9)):
+            role = rng.choice(roles) if conv % 3 else ("user", "assistant")[turn % 2]
+            rows.append((conv, turn * rng.choice([1, 1, 2]), role, said()))
+    for turn in range(400):  # one conversation of most rows
+        rows.append((50, turn, rng.choice(roles[:5]), said()))
+    rows += [(51, 3, "user", "over and over.")] * 90  # repeated rows
+    rows += [(None, t, r, "no id.") for t, r in ((0, "user"), (1, "assistant"), (None, "system"))]
+    rows += [(52, None, "user", "no turn"), (52, None, "assistant", None), (53, None, None, None)]
+    rows += [(54, t, "user", "x") for t in (-5, 7)]
+    marks = "### user: a</turn>\\ \\\\### #### ##### </turn></turn> \\n <|endoftext|> \u65e5\u672c \U0001f600"
+    rows += [(55, t, r, marks) for t, r in ((0, "user"), (1, "assistant"), (2, "assistant"))]
+    rows += [(56, 0, "assistant", "long " * 40000 + "x" * 70000), (56, 1, "user", " " * 90000 + ".")]
+    rows += [(57, t, ("user", "assistant")[t % 2], "fine %d." % t) for t in range(60)]
+    extra = ("c", 1, 2, "i", "s")
+    return [dict(zip(CONVERSATIONS.names, (*r, *extra))) for r in rows]
+
+
+def write(
+    folder: Path,
+    documents: list[dict],
+    benchmark: list[tuple],
+    labels: list[tuple],
+    conversations: list[dict] = (),
+) -> str:
     folder.mkdir(parents=True, exist_ok=True)
     pq.write_table(pa.Table.from_pylist(documents, schema=SCHEMA), folder / "documents.parquet")
+    said = pa.Table.from_pylist(list(conversations), schema=CONVERSATIONS)
+    pq.write_table(said, folder / "conversations.parquet")
     items = pa.schema([("item_id", pa.int64()), ("text", pa.string()), ("spans", pa.string())])
     pq.write_table(
         pa.Table.from_pylist([{"item_id": i, "text": t, "spans": "s"} for i, t in benchmark], schema=items),
@@ -142,11 +198,11 @@ def odd_tables(folder: Path) -> str:
     ]
     labels = [(d, int(d % 5 > 0), int(d % 6 == 0)) for d in range(100, 225)]
     labels += [(100, 0, 1), (None, 1, 1), (101, None, None), (9999, 1, 0), (102, 1, 1), (102, 1, 1)]
-    return write(folder, documents, benchmark, labels)
+    return write(folder, documents, benchmark, labels, odd_conversations())
 
 
 def duck(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    for name in ("documents", "benchmark", "labels"):
+    for name in ("documents", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
     return con

@@ -44,7 +44,8 @@ def test_odd_tables_agree_with_sql(spark, odd, name):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_empty_tables_give_no_rows(spark, empty, name):
-    assert QUERIES[name](spark, empty).count() == 0
+    # op12 brings a conversation of its own.
+    assert QUERIES[name](spark, empty).count() == (name == "op12_chat_format")
 
 
 @pytest.mark.parametrize("name,parts,wanted", [("op1_toxicity", 3, 1), ("op3_neighbours", 5, 0)])

@@ -292,3 +292,172 @@ SELECT conv_id, count(*) AS n_turns,
        sum(14 + {_escaped('role', " + length(role) - length(replace(role, ':', ''))")} + {_escaped('text')})::BIGINT AS formatted_chars
 FROM turns GROUP BY conv_id
 """
+
+
+def _crc_steps() -> list[int]:
+    """The CRC-32 of each byte, by the reflected polynomial."""
+    out = []
+    for c in range(256):
+        for _ in range(8):
+            c = (c >> 1) ^ 0xEDB88320 if c & 1 else c >> 1
+        out.append(c)
+    return out
+
+
+_CRC_STEPS = f"""steps AS MATERIALIZED (SELECT {_crc_steps()}::UBIGINT[] AS crcs)"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a text's bytes, given `crcs` of `steps`."""
+    return (
+        f"xor(list_reduce(list_transform(range(strlen({text})), "
+        f"lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::UBIGINT), "
+        "lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255)::INT + 1]), 4294967295::UBIGINT), 4294967295::UBIGINT)"
+    )
+
+
+_FEATURES = """SELECT r, unnest(list_concat(w,
+           list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+           list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS f"""
+
+SQL["op13_resampling"] = f"""
+WITH {_CRC_STEPS},
+d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce({_LETTERS}, []) AS w FROM documents),
+of_docs AS MATERIALIZED (SELECT r, f, count(*) AS n FROM ({_FEATURES} FROM d) GROUP BY r, f),
+of_target AS (
+  SELECT f, count(*) AS n
+  FROM ({_FEATURES} FROM (SELECT row_number() OVER () AS r, coalesce({_LETTERS}, []) AS w FROM benchmark))
+  GROUP BY f),
+buckets AS MATERIALIZED (
+  SELECT f, ({_crc32('f')} % 10000)::INT AS b
+  FROM (SELECT DISTINCT f FROM (SELECT f FROM of_docs UNION ALL SELECT f FROM of_target)), steps),
+counts AS (
+  SELECT range AS b, coalesce(s, 0)::DOUBLE AS s, coalesce(t, 0)::DOUBLE AS t
+  FROM range(10000)
+  LEFT JOIN (SELECT b, sum(n) AS s FROM of_docs JOIN buckets USING (f) GROUP BY b) x ON x.b = range
+  LEFT JOIN (SELECT b, sum(n) AS t FROM of_target JOIN buckets USING (f) GROUP BY b) y ON y.b = range),
+gains AS (
+  SELECT b, floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000))))::BIGINT AS gain
+  FROM counts),
+weights AS (SELECT r, sum(n * gain)::BIGINT AS weight FROM of_docs JOIN buckets USING (f) JOIN gains USING (b) GROUP BY r),
+scored AS (
+  SELECT r, doc_id, len(w) AS n_words, greatest(3 * len(w) - 3, 2 * len(w) - 1, 0)::BIGINT AS n_features,
+         coalesce(weight, 0) AS weight,
+         ('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h
+  FROM d LEFT JOIN weights USING (r)),
+noised AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM scored),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST, weight) AS place,
+         5 * count(*) FILTER (n_words >= 20) OVER () // 100 AS draws
+  FROM noised)
+SELECT doc_id, if(n_words = 0, 0, n_features) AS n_features, weight, score,
+       CASE WHEN n_words >= 20 AND place <= draws THEN place END AS rank
+FROM ranked
+"""
+
+
+def _least(options: list[str]) -> str:
+    """Of structs (cost, audit, rows) the cheapest, then that of the least audit; nulls don't count."""
+    out = options[0]
+    for o in options[1:]:
+        out = (
+            f"CASE WHEN ({out}) IS NULL THEN {o} WHEN ({o}) IS NULL THEN ({out}) "
+            f"WHEN ({o}).c < ({out}).c OR (({o}).c = ({out}).c AND ({o}).a < ({out}).a) THEN {o} ELSE ({out}) END"
+        )
+    return out
+
+
+def _then(state: str, cost: str, letter: str, row: str | None) -> str:
+    """A struct after one more edit, which may put out a row."""
+    rows = f"{state}.o" if row is None else f"list_append({state}.o, {row})"
+    return f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 'o': {rows}}} END"
+
+
+def _repair_sql() -> str:
+    """One row after another: the cheapest way to each of the four states of (s?(ua)+)?."""
+    role, nxt = ["user", "user", "assistant", "user"], [2, 2, 3, 2]
+    own = "(p.role || ':' || p.text)"
+    free = "p.fault NOT IN (1, 2)"
+    ways: list[list[str]] = [[], [], [], []]
+    for q in range(4):
+        ways[q].append(_then(f"s{q}", "3", "D", None))
+        changed = _then(f"s{q}", "2 + (p.fault = 3)::INT", "R", f"('{role[q]}:' || p.text)")
+        ways[nxt[q]].append(f"CASE WHEN {free} THEN {changed} END")
+        kept = _then(f"s{q}", "(p.fault = 3)::INT", "K", own)
+        ways[nxt[q]].append(f"CASE WHEN {free} AND p.role[1] = '{role[q][0]}' THEN {kept} END")
+    ways[1].append(f"CASE WHEN {free} AND p.role[1] = 's' THEN {_then('s0', '(p.fault = 3)::INT', 'K', own)} END")
+    kind = "STRUCT(c INTEGER, a VARCHAR, o VARCHAR[])"
+
+    def step(names: list[str], table: str) -> str:
+        """Pairwise least, so that expressions stay short."""
+        return f"SELECT *, {', '.join(names)} FROM ({table})"
+
+    sql = "SELECT r.conv, r.i + 1 AS i, p.role, p.text, p.fault, " + ", ".join(
+        f"({w})::{kind} AS w{q}_{k}" for q in range(4) for k, w in enumerate(ways[q])
+    ) + " FROM r JOIN p ON p.conv IS NOT DISTINCT FROM r.conv AND p.i = r.i + 1"
+    left = {q: [f"w{q}_{k}" for k in range(len(ways[q]))] for q in range(4)}
+    turn = 0
+    while any(len(v) > 1 for v in left.values()):
+        made = []
+        for q, v in left.items():
+            if len(v) > 1:
+                made.append(f"{_least(v[:2])} AS m{q}_{turn}")
+                left[q] = [f"m{q}_{turn}", *v[2:]]
+        sql, turn = step(made, sql), turn + 1
+
+    def put(target: int, source: str, name: str, before: str) -> None:
+        nonlocal sql
+        more = _then(source, "2", "I", f"'{role[int(name[1])]}:'")
+        sql = step([f"({more})::{kind} AS x{name}"], sql)
+        sql = step([f"{_least([before, 'x' + name])} AS y{name}"], sql)
+
+    put(2, left[0][0], "i0", left[2][0])
+    put(2, left[1][0], "i1", "yi0")
+    put(2, left[3][0], "i3", "yi1")
+    sql = step([f"({_then('yi3', '2', 'I', chr(39) + 'assistant:' + chr(39))})::{kind} AS xi2"], sql)
+    sql = step([f"{_least([left[3][0], 'xi2'])} AS yi2"], sql)
+    return f"SELECT conv, i, {left[0][0]}, {left[1][0]}, yi3, yi2 FROM ({sql})"
+
+
+SQL["op11_structure_repair"] = f"""
+WITH RECURSIVE {_CRC_STEPS},
+original AS (
+  SELECT *, {_crc32('k')} % 20 AS fault FROM (
+    SELECT conv_id AS conv, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations), steps),
+after AS (
+  SELECT conv, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM (SELECT *, unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) FROM original)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
+         right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last FROM after),
+p AS MATERIALIZED (
+  SELECT conv, i, turn, role, text,
+         CASE WHEN last = '' THEN 1
+              WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 THEN 2
+              WHEN last NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+         lag(role[1]) OVER (PARTITION BY conv ORDER BY i) || role[1] AS pair,
+         i > 1 AND coalesce(pair NOT IN ('su', 'ua', 'au'), true) AS illegal
+  FROM placed),
+r(conv, i, s0, s1, s2, s3) AS (
+  SELECT conv, 0::BIGINT, {{'c': 0, 'a': '', 'o': []::VARCHAR[]}}, NULL::STRUCT(c INTEGER, a VARCHAR, o VARCHAR[]),
+         {{'c': 2, 'a': 'I', 'o': ['user:']}}, {{'c': 4, 'a': 'II', 'o': ['user:', 'assistant:']}}
+  FROM (SELECT DISTINCT conv FROM p)
+  UNION ALL
+  {_repair_sql()}),
+numbers AS (
+  SELECT conv, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+         count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM p GROUP BY conv),
+ended AS (
+  SELECT conv, i, {_least(['s0', 's3'])} AS s FROM r)
+SELECT o.conv AS conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(s.c, 0)::BIGINT AS cost, coalesce(s.a, '') AS audit,
+       sha256(coalesce(array_to_string(s.o, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id AS conv FROM conversations) o
+LEFT JOIN numbers n ON o.conv IS NOT DISTINCT FROM n.conv
+LEFT JOIN ended e ON e.conv IS NOT DISTINCT FROM n.conv AND e.i = n.n
+"""
