@@ -157,12 +157,13 @@ _READ_BACK = (
     "monitoring_snapshot",
     f"""WITH runs AS (SELECT {_RUN_OF} AS run_id, min(ts) AS started_at, count(*) AS n, max(ts) AS ended,
         CASE WHEN count(*) FILTER (WHERE event_type = 'error') > 10 THEN 'failed' ELSE 'success' END
-          AS status FROM events GROUP BY 1)
+          AS status FROM events GROUP BY 1),
+    log AS (SELECT * FROM runs WHERE run_id <> '3')
     SELECT run_id, 'run' AS kind, status, n AS rows_loaded,
-      least(20, (SELECT count(*) FROM runs)) AS history_runs,
-      (SELECT arg_max(run_id, started_at) FROM runs) AS newest_run,
+      least(20, (SELECT count(*) FROM log)) AS history_runs,
+      (SELECT arg_max(run_id, started_at) FROM log) AS newest_run,
       NULL::VARCHAR AS name, NULL::DOUBLE AS value, NULL::VARCHAR AS message,
-      TIMESTAMP '2024-02-01' AS at FROM runs WHERE run_id <> '3'
+      TIMESTAMP '2024-02-01' AS at FROM log
     UNION ALL
     SELECT {_RUN_OF}, 'step', status, NULL, NULL, NULL, resource_type || ' ' || model_name,
       execution_time, message, TIMESTAMP '2024-02-01'
