@@ -10,7 +10,7 @@ from wickwork.functions import series as S
 from wickwork.operators import chunks
 from wickwork.operators.chunks import CHUNK, OWN, Halo, plan_chunks, split_with_halo, task_count
 from wickwork.operators.rolling import Rolling, with_rolling
-from wickwork.plans.features import FEATURE_HALO, feature_set
+from wickwork.plans.features import FEATURE_HALO, feature_set, with_ichimoku
 from wickwork.plans.labels import LABEL_HALO, label_set
 from wickwork.schema import FEATURES
 
@@ -165,3 +165,29 @@ def test_feature_list_is_complete(make_candles):
     assert len(FEATURES) == 28
     assert [c for c in out.columns if c in FEATURES] == FEATURES
     assert out.first()["ts"] is not None and START is not None
+
+
+@pytest.mark.parametrize("block_from", [1, 9, 32, 10_000])
+def test_extremes_equal_sliding_frames(make_candles, block_from):
+    """From shorter frames and from blocks; NULLs are skipped, also in a frame's only row."""
+    candles = random_candles(make_candles, 700, 11, 0.5)
+    holes = F.when(F.minute("ts") % 5 < 3, None).otherwise(F.col("close_price"))
+    candles = candles.withColumn("x", holes).cache()
+    w = Window.partitionBy("series_id").orderBy("ts")
+    frames = (1, 2, 3, 9, 26, 52, 64, 300)
+    ends = {"max": F.max, "min": F.min}
+    specs = [Rolling(f"{e}{n}", e, "x", n) for e in ends for n in frames]
+    got = with_rolling(candles, specs, ["series_id"], block_from=block_from)
+    want = candles.select(
+        *candles.columns,
+        *[f("x").over(w.rowsBetween(1 - n, 0)).alias(f"{e}{n}") for e, f in ends.items() for n in frames],
+    )
+    assert_equal_frames(want, got, ["series_id", "ts"], 0)
+    candles.unpersist()
+
+
+def test_ichimoku_lines_need_one_sort(make_candles):
+    plan = with_ichimoku(make_candles([1, 2, 3]), ["series_id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("- Sort ") == 1 and plan.count("Exchange") == 1
+    # only the shortest frame slides
+    assert "RowFrame, -8, currentrow" in plan and "RowFrame, -51" not in plan

@@ -172,7 +172,7 @@ _BAR = ["high_price", "low_price", "close_price"]
 
 
 def _ichimoku(df, w, keys):
-    return P.with_ichimoku(df, w)
+    return P.with_ichimoku(df, keys)
 
 
 @query("ichimoku", _features_sql(*_LINES))
@@ -210,7 +210,7 @@ def binary_signals(spark, d):
 @query("lagged_signal", _features_sql(SIGNALS[3]))
 def lagged_signal(spark, d):
     def build(df, w, keys):
-        return P.with_lagged_signal(P.with_ichimoku(df, w), w)
+        return P.with_lagged_signal(P.with_ichimoku(df, keys), w)
 
     return _out(_over(spark, d, P.SIGNAL_HALO, build, *_BAR), *KEY, SIGNALS[3])
 

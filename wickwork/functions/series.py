@@ -53,10 +53,9 @@ def rolling_avg(x: ColumnOrName, n: int, w: WindowSpec) -> Column:
     return F.avg(_col(x)).over(w.rowsBetween(-(n - 1), 0))
 
 
-def ichimoku_midpoint(high: ColumnOrName, low: ColumnOrName, n: int, w: WindowSpec) -> Column:
-    """Middle of the highest high and the lowest low of the last n rows."""
-    frame = w.rowsBetween(-(n - 1), 0)
-    return (F.max(_col(high)).over(frame) + F.min(_col(low)).over(frame)) / 2
+def ichimoku_midpoint(highest: ColumnOrName, lowest: ColumnOrName) -> Column:
+    """Middle of the highest high and the lowest low of the last rows."""
+    return (_col(highest) + _col(lowest)) / 2
 
 
 def _strict(fn, cols) -> Column:

@@ -56,11 +56,16 @@ def with_log_volume(df: DataFrame) -> DataFrame:
     return df.withColumn("log_volume", S.log_volume("volume"))
 
 
-def with_ichimoku(df: DataFrame, w: WindowSpec) -> DataFrame:
+def with_ichimoku(df: DataFrame, keys: list[str]) -> DataFrame:
     lines = {"tenkan": TENKAN, "kijun": KIJUN, "span_b": SPAN_B}
-    return df.withColumns(
-        {name: S.ichimoku_midpoint("high_price", "low_price", n, w) for name, n in lines.items()}
-    ).withColumn("span_a", (F.col("tenkan") + F.col("kijun")) / 2)
+    ends = {"max": "high_price", "min": "low_price"}
+    specs = [Rolling(f"_{line}_{e}", e, c, n) for line, n in lines.items() for e, c in ends.items()]
+    return (
+        with_rolling(df, specs, keys)
+        .withColumns({line: S.ichimoku_midpoint(f"_{line}_max", f"_{line}_min") for line in lines})
+        .withColumn("span_a", (F.col("tenkan") + F.col("kijun")) / 2)
+        .drop(*[s.name for s in specs])
+    )
 
 
 def with_volatility_ratios(df: DataFrame) -> DataFrame:
@@ -126,7 +131,7 @@ def feature_set(candles: DataFrame, chunk_rows: int | None = CHUNK_ROWS) -> Data
     """
 
     def build(df, w, keys):
-        df = with_ichimoku(with_returns(df, w), w)
+        df = with_ichimoku(with_returns(df, w), keys)
         df = with_lagged_signal(with_lagged_returns(df, w), w)
         return with_rolling(df, VOLATILITY + VOLUME, keys)
 
