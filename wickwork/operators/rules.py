@@ -121,8 +121,12 @@ def evaluate(df: DataFrame, rules: list) -> DataFrame:
             results.append(r.count(df).select(*labels, "failed_rows"))
     if not results:
         raise ValueError("no rules given")
+    return with_status(reduce(DataFrame.unionByName, results))
+
+
+def with_status(results: DataFrame) -> DataFrame:
     status = F.when(F.col("failed_rows") == 0, "pass").otherwise("fail")
-    return reduce(DataFrame.unionByName, results).withColumn("status", status)
+    return results.withColumn("status", status)
 
 
 # The rules of each table.

@@ -1,7 +1,8 @@
 """What a day-partitioned table holds per series and day, kept beside it.
 
 Marks, look-backs and inserted rows come from this small table, so an increment never
-groups the large one.  A write names its days first; if it breaks off, the next reader
+groups the large one.  A digest of the rows tells which days have changed since something
+was made of them.  A write names its days first; if it breaks off, the next reader
 counts just these days again, so the counts never fall behind the table.
 """
 
@@ -21,7 +22,11 @@ from ..sources.tables import DAY
 
 @dataclass(frozen=True)
 class DayIndex:
-    """(keys, ts_date, rows, last_ts) of the table at ``path``."""
+    """(keys, ts_date, rows, last_ts, digest) of the table at ``path``.
+
+    The digest adds up hashes of all columns but the folders', so it merges by addition and
+    does not depend on the order of rows or on files.
+    """
 
     spark: SparkSession
     path: str
@@ -39,7 +44,8 @@ class DayIndex:
         """The counts as of now, None while the table has no data."""
         if not tables.table_exists(self.spark, self.path):
             return None
-        if not tables.table_exists(self.spark, self._counts):
+        known = tables.table_exists(self.spark, self._counts)
+        if not known or "digest" not in self.spark.read.parquet(self._counts).columns:
             self._write(self._count(self.spark.read.parquet(self.path)))
         elif tables.table_exists(self.spark, self._pending):
             self._recount([r[0] for r in self.spark.read.parquet(self._pending).collect()])
@@ -62,8 +68,11 @@ class DayIndex:
                 tables.remove(self.spark, self._pending)
 
     def _count(self, rows: DataFrame) -> DataFrame:
+        content = sorted(set(rows.columns) - {DAY, tables.VERSION})
         return rows.groupBy(*self.keys, DAY).agg(
-            F.count(F.lit(1)).alias("rows"), F.max("ts").alias("last_ts")
+            F.count(F.lit(1)).alias("rows"),
+            F.max("ts").alias("last_ts"),
+            F.sum(F.xxhash64(*content).cast("decimal(20,0)")).cast("decimal(38,0)").alias("digest"),
         )
 
     def _write(self, counts: DataFrame) -> None:

@@ -35,8 +35,11 @@ from .monitoring import (
     step_rows,
     write_snapshot,
 )
+from .rule_state import RuleState
 from .versions import feature_versions
 
+MART_KEYS = ("series_id", "version_id")
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -156,7 +159,7 @@ def run_increment(
             raise RuntimeError("No silver table")
         for name, halo in (("features", FEATURE_HALO), ("labels", LABEL_HALO)):
             path = getattr(lake, name)
-            index = DayIndex(spark, path, ("series_id", "version_id"))
+            index = DayIndex(spark, path, MART_KEYS)
             known = index.read()
             before, _ = _extent(known, version)
             candles, marks, days = _to_extend(spark, lake, stored, known, version, halo, full_refresh)
@@ -233,25 +236,38 @@ def load_history(
     return run_increment(spark, lake, settings, now)
 
 
+def table_rules(spark: SparkSession, lake: Lake, versions: DataFrame) -> list[tuple[str, RuleState]]:
+    """The rules of the growing tables, counted by day beside them."""
+    known = rules.References(("version_id",), versions, ("version_id",))
+    silver_days = DayIndex(spark, lake.silver)
+
+    def mart(path: str, own: list) -> RuleState:
+        return RuleState(DayIndex(spark, path, MART_KEYS), (*own, known))
+
+    return [
+        ("silver", RuleState(silver_days, (*rules.SILVER_RULES, *rules.CANDLE_CHECKS))),
+        ("returns", RuleState(silver_days, tuple(rules.RETURNS_RULES), "returns_rules", with_log_volume)),
+        ("features", mart(lake.features, rules.FEATURE_RULES)),
+        ("labels", mart(lake.labels, rules.LABEL_RULES)),
+    ]
+
+
 def check_tables(
     spark: SparkSession, lake: Lake, run_id: str, batch: DataFrame, now: datetime
 ) -> DataFrame:
-    """Quality rules of the loaded batch, silver, both marts, versions and this run's checkpoint."""
+    """Quality rules of the loaded batch, silver, both marts, versions and this run's checkpoint.
+
+    Of the tables that grow only the days that have changed are read.
+    """
     versions = spark.read.parquet(lake.feature_versions)
-    known = rules.References(("version_id",), versions, ("version_id",))
-    silver_rows = spark.read.parquet(lake.silver)
     checkpoint = spark.read.parquet(lake.checkpoints).where(F.col("created_at") == F.lit(now))
-    sets = [
-        ("bronze", batch, rules.BRONZE_RULES),
-        ("silver", silver_rows, rules.SILVER_RULES + rules.CANDLE_CHECKS),
-        ("returns", with_log_volume(silver_rows), rules.RETURNS_RULES),
-        ("features", spark.read.parquet(lake.features), [*rules.FEATURE_RULES, known]),
-        ("labels", spark.read.parquet(lake.labels), [*rules.LABEL_RULES, known]),
-        ("feature_versions", versions, rules.VERSION_RULES),
-        ("checkpoints", checkpoint, rules.CHECKPOINT_RULES),
+    results = [
+        ("bronze", rules.evaluate(batch, rules.BRONZE_RULES)),
+        *[(name, state.evaluate()) for name, state in table_rules(spark, lake, versions)],
+        ("feature_versions", rules.evaluate(versions, rules.VERSION_RULES)),
+        ("checkpoints", rules.evaluate(checkpoint, rules.CHECKPOINT_RULES)),
     ]
-    parts = [rule_steps(rules.evaluate(df, own), name, run_id) for name, df, own in sets]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, [rule_steps(found, name, run_id) for name, found in results])
 
 
 def export_snapshot(spark: SparkSession, lake: Lake, now: datetime) -> None:
