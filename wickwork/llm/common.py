@@ -29,11 +29,12 @@ def annotate(
     fields: Sequence[tuple[str, str]],
     work: Callable[[pa.Array], Sequence],
     keep: Sequence[str] | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """One row per input row: the kept columns as struct `row`, and new columns.
 
     Input columns sit inside `row`, so no name of theirs can clash with a new one. `work`
-    gets the texts of a slice and returns one Arrow array or list per field.
+    gets the texts of a slice (of at most `rows`) and returns one Arrow array or list per field.
     """
     bounded_batches(docs.sparkSession)
     keep = list(docs.columns if keep is None else keep)
@@ -52,7 +53,7 @@ def annotate(
         return pc.struct_field(batch.column("row"), [inside])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, texts):
+        for batch in slices(batches, texts, rows=rows):
             made = [as_array(v, k) for v, k in zip(work(texts(batch)), kinds)]
             yield pa.RecordBatch.from_arrays([batch.column("row"), *made], names=names)
 

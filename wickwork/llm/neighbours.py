@@ -4,7 +4,8 @@ A text becomes counts of its hashed words and runs of three characters, weighted
 all documents have them, and beside these terms counts of byte kinds, of hashed runs of three
 kinds, and of coarse facts about repetition and word shape. Latent semantic analysis (a truncated singular value decomposition
 of the labelled sample's weighted counts) gives `DIMENSIONS` coordinates. The sample is bounded
-by `SAMPLE_GOOD` and `SAMPLE_BAD`, so its vectors are broadcast; every document is compared
+by `SAMPLE_GOOD` and `SAMPLE_BAD`; its features stay in a written table, over which executors
+add up what the decomposition needs, and only its short latent vectors are broadcast; every document is compared
 with all of them by exact cosine products, block by block, and the labels of the `NEIGHBOURS`
 closest vote with weights that grow with similarity.
 
@@ -21,11 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import annotate, stored
+from .common import annotate, stored, written
 from .words import BLANK_WORDS, LETTER_WORDS, Words, gram_starts, range_hashes, slices, text_bytes
 
 SAMPLE_GOOD = 3000
 SAMPLE_BAD = 2000
+#: Parts of the sample, and passes over it that find the axes.
+SAMPLE_PARTS, PASSES = 4, 4
+#: Texts whose features, dense rows, are in a worker at once.
+SLICE_ROWS = 200
 DIMENSIONS = 96
 NEIGHBOURS = 25
 BLOCK = 1024
@@ -119,7 +124,7 @@ def rarity(docs: DataFrame, text: str) -> np.ndarray:
 
     def count(batches):
         held, rows = np.zeros(TERMS, np.int64), 0
-        for batch in slices(batches, lambda b: b.column(0)):
+        for batch in slices(batches, lambda b: b.column(0), rows=SLICE_ROWS):
             held += np.count_nonzero(terms(batch.column(0)), axis=0)
             rows += batch.num_rows
         cells = np.arange(-1, TERMS, dtype=np.int32)
@@ -161,14 +166,43 @@ def features(texts: pa.Array, rare: np.ndarray) -> np.ndarray:
     return np.hstack(parts).astype(np.float32)
 
 
-def latent(matrix: np.ndarray, dimensions: int, seed: int = 7) -> np.ndarray:
-    """Right singular vectors of the largest singular values, by a randomised range finder."""
-    wide = min(dimensions + 16, *matrix.shape)
-    test = np.random.default_rng(seed).standard_normal((matrix.shape[1], wide)).astype(np.float32)
-    basis = np.linalg.qr(matrix @ test)[0]
-    for _ in range(3):
-        basis = np.linalg.qr(matrix @ (matrix.T @ basis))[0]
-    return np.linalg.svd(basis.T @ matrix, full_matrices=False)[2][:dimensions].T.copy()
+def passed(vectors: DataFrame, basis: np.ndarray) -> np.ndarray:
+    """M'M times `basis` for the matrix M of all rows: each part adds up its own rows' share."""
+    shared = vectors.sparkSession.sparkContext.broadcast(basis)
+
+    def add(batches):
+        total = np.zeros(shared.value.shape)
+        for batch in batches:
+            rows = matrix_of(batch.column("vector"))
+            total += rows.T @ (rows @ shared.value)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sum"])
+
+    # SAMPLE_PARTS rows of the size of the basis.
+    found = vectors.select("vector").mapInArrow(add, "sum binary").toArrow().column("sum")
+    out = np.zeros(basis.shape)
+    for part in found:
+        out += np.frombuffer(part.as_buffer(), float).reshape(basis.shape)
+    shared.destroy()
+    return out
+
+
+def latent(vectors: DataFrame, dimensions: int, seed: int = 7) -> np.ndarray:
+    """Right singular vectors of the largest singular values, by a randomised range finder.
+
+    The rows stay where they are; a pass over them brings sums of the size of the basis here.
+    """
+    basis = np.random.default_rng(seed).standard_normal((FEATURES, dimensions + 16))
+    for _ in range(PASSES - 1):
+        basis = np.linalg.qr(passed(vectors, basis))[0]
+    values, turned = np.linalg.eigh(basis.T @ passed(vectors, basis))
+    best = np.argsort(-values)[:dimensions]
+    # A small sample has fewer directions.
+    best = best[values[best] > 1e-9 * values.max()]
+    return (basis @ turned[:, best]).astype(np.float32)
+
+
+def matrix_of(column: pa.Array) -> np.ndarray:
+    return np.array([np.frombuffer(v, np.float16) for v in column.to_pylist()], np.float32).reshape(-1, FEATURES)
 
 
 def placed(matrix: np.ndarray, axes: np.ndarray) -> np.ndarray:
@@ -196,22 +230,41 @@ def vote(points: np.ndarray, known: np.ndarray, labels: np.ndarray) -> np.ndarra
     return trust * share + (1 - trust) * PRIOR
 
 
-def sample(docs: DataFrame, teach: DataFrame, doc: str, text: str, value: int, most: int, rare) -> pa.Array:
-    """Texts of at most `most` documents with this label, in blocks, the same on every run."""
-    ids = teach.where(F.col("label") == value).orderBy(F.xxhash64(F.lit("quality"), "doc")).limit(most)
-    rows = docs.select(docs[doc].alias("doc"), docs[text].cast("string").alias("text")).join(
-        F.broadcast(ids.select("doc")), "doc", "left_semi"
-    )
+def sample(docs: DataFrame, teach: DataFrame, doc: str, text: str, rare) -> DataFrame:
+    """(label, vector) of a bounded number of documents per label, the same on every run.
+
+    Written in SAMPLE_PARTS parts; its bound is that of the labelled rows.
+    """
+    chosen = [
+        teach.where(F.col("label") == value).orderBy(F.xxhash64(F.lit("quality"), "doc")).limit(most)
+        for value, most in ((1, SAMPLE_GOOD), (0, SAMPLE_BAD))
+    ]
+    # SAMPLE_GOOD + SAMPLE_BAD rows at most.
+    ids = F.broadcast(chosen[0].unionByName(chosen[1]))
+    rows = docs.select(docs[doc].alias("doc"), docs[text].cast("string").alias("text")).join(ids, "doc")
 
     def features_of(batches):
-        for batch in slices(batches, lambda b: b.column("text")):
-            # Half precision: the sample passes through the driver.
+        for batch in slices(batches, lambda b: b.column("text"), rows=SLICE_ROWS):
             made = features(batch.column("text"), rare.value).astype(np.float16)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r.tobytes() for r in made], pa.binary())], names=["vector"]
-            )
+            vectors = pa.array([r.tobytes() for r in made], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("label"), vectors], names=["label", "vector"])
+
+    made = rows.select("label", "text").mapInArrow(features_of, "label int, vector binary")
+    return written(made.repartition(SAMPLE_PARTS), "sample").coalesce(SAMPLE_PARTS)
+
+
+def points_of(vectors: DataFrame, axes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sample in the latent space, and its labels: a bounded number of short rows."""
+
+    def place(batches):
+        for batch in batches:
+            found = placed(matrix_of(batch.column("vector")), axes)
+            made = pa.array([r.tobytes() for r in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("label"), made], names=["label", "point"])
 
-    return rows.select("text").mapInArrow(features_of, "vector binary").toArrow().column("vector")
+    found = vectors.mapInArrow(place, "label int, point binary").toArrow()
+    points = [np.frombuffer(v, np.float32) for v in found.column("point").to_pylist()]
+    return np.array(points, np.float32).reshape(-1, axes.shape[1]), found.column("label").to_numpy().astype(float)
 
 
 def score(
@@ -232,22 +285,16 @@ def score(
     )
     context = docs.sparkSession.sparkContext
     rare = context.broadcast(rarity(docs, text))
-    vectors, votes = [], []
-    for value, most in ((1, SAMPLE_GOOD), (0, SAMPLE_BAD)):
-        found = sorted(v.as_py() for v in sample(docs, teach, doc, text, value, most, rare))
-        vectors += [np.frombuffer(v, np.float16) for v in found]
-        votes += [value] * len(found)
-    if vectors:
-        matrix = np.array(vectors, np.float32)
-        axes = latent(matrix, DIMENSIONS)
-        known = placed(matrix, axes)
+    vectors = sample(docs, teach, doc, text, rare)
+    if vectors.take(1):
+        axes = latent(vectors, DIMENSIONS)
+        known, votes = points_of(vectors, axes)
     else:
-        axes, known = np.zeros((FEATURES, 1), np.float32), np.zeros((1, 1), np.float32)
-        votes = [0]
-    model = context.broadcast((axes, known, np.array(votes, float)))
+        axes, known, votes = np.zeros((FEATURES, 1), np.float32), np.zeros((1, 1), np.float32), np.zeros(1)
+    model = context.broadcast((axes, known, votes))
 
     def work(texts: pa.Array) -> list:
         axes, known, votes = model.value
         return [vote(placed(features(texts, rare.value), axes), known, votes)]
 
-    return annotate(docs, text, [("score", "double")], work, keep)
+    return annotate(docs, text, [("score", "double")], work, keep, rows=SLICE_ROWS)

@@ -116,8 +116,9 @@ def slices(
     batches: Iterator[pa.RecordBatch],
     texts: Callable[[pa.RecordBatch], pa.Array],
     limit: int = SLICE_BYTES,
+    rows: int | None = None,
 ) -> Iterator[pa.RecordBatch]:
-    """The rows again, in batches of at most `limit` bytes of text or one row."""
+    """The rows again, in batches of at most `limit` bytes of text and `rows` rows, or one row."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -125,6 +126,6 @@ def slices(
         at = 0
         while at < batch.num_rows:
             upto = int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1
-            upto = max(at + 1, min(upto, batch.num_rows))
+            upto = max(at + 1, min(upto, batch.num_rows, at + (rows or batch.num_rows)))
             yield batch.slice(at, upto - at)
             at = upto
