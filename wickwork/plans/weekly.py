@@ -35,6 +35,7 @@ from .monitoring import (
     step_rows,
     write_snapshot,
 )
+from .refresh import MartState, bring_up_to_date
 from .rule_state import RuleState
 from .versions import feature_versions
 
@@ -128,6 +129,10 @@ def run_increment(
     Marts first, checkpoint last: after a crash the next run finds its marks in the
     marts and continues.  A full refresh replaces the rows of the active version only.
     A failure leaves an error row and is raised again.
+
+    With ``settings.late_rows`` the marts follow late, corrected and removed candles as
+    well: days that a change reaches are replaced, and a full refresh runs in windows; one
+    that was broken off goes on when it is called again.
     """
     if versions is None:
         tables.replace_table(feature_versions(spark, as_of), lake.feature_versions)
@@ -162,13 +167,18 @@ def run_increment(
             index = DayIndex(spark, path, MART_KEYS)
             known = index.read()
             before, _ = _extent(known, version)
-            candles, marks, days = _to_extend(spark, lake, stored, known, version, halo, full_refresh)
-            if name == "features":
-                rows = features_mart(candles, versions, as_of, settings.chunk_rows)
-            else:
-                rows = labels_mart(
-                    candles, versions, as_of, settings.shock_threshold, settings.chunk_rows
+            if settings.late_rows:
+                bring_up_to_date(
+                    lake.silver, index, MartState(spark, path, version), stored, halo,
+                    lambda rows, name=name: _mart(name, rows, versions, as_of, settings),
+                    full_refresh, settings.window_rows,
                 )
+                after, latest = _extent(index.read(), version)
+                inserted[name] = after if full_refresh else after - before
+                last_ts = latest if name == "features" else last_ts
+                continue
+            candles, marks, days = _to_extend(spark, lake, stored, known, version, halo, full_refresh)
+            rows = _mart(name, candles, versions, as_of, settings)
             if marks is not None:
                 rows = after_mark(rows, marks)
             if full_refresh:
@@ -186,6 +196,12 @@ def run_increment(
         raise
 
 
+def _mart(name: str, candles: DataFrame, versions: DataFrame, as_of, settings: Settings) -> DataFrame:
+    if name == "features":
+        return features_mart(candles, versions, as_of, settings.chunk_rows)
+    return labels_mart(candles, versions, as_of, settings.shock_threshold, settings.chunk_rows)
+
+
 def _extent(counts: DataFrame | None, version: str) -> tuple[int, datetime | None]:
     """Rows and latest time of one version."""
     if counts is None:
