@@ -39,14 +39,21 @@ def _followed(spark, d):
     return lake
 
 
-@query("late_features", _mart_sql())
-def late_features(spark, d):
-    return _mart_out(_read(spark, _followed(spark, d).features))
+_SOME = ["logret_1m", "vol_1d", "span_b", "vol_zscore", "lag_price_sup_cloud_5"]
+_MADE = ["y_logret_5m", "y_logret_15m", "y_shock_15m"]
 
 
-@query("late_labels", _labels_sql())
-def late_labels(spark, d):
-    return _mart_out(_read(spark, _followed(spark, d).labels))
+@query(
+    "late_marts",
+    f"""SELECT series_id, ts, {', '.join(_SOME + _MADE)} FROM ({_mart_sql()}) f
+    LEFT JOIN (SELECT series_id, ts, {', '.join(_MADE)} FROM ({_labels_sql()})) l USING (series_id, ts)""",
+)
+def late_marts(spark, d):
+    """Some features of every candle and its labels, where it has any."""
+    lake = _followed(spark, d)
+    features = _mart_out(_read(spark, lake.features)).select("series_id", "ts", *_SOME)
+    labels = _mart_out(_read(spark, lake.labels)).select("series_id", "ts", *_MADE)
+    return features.join(labels, ["series_id", "ts"], "left")
 
 
 @query("refresh_in_windows", _labels_sql())
