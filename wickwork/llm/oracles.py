@@ -154,13 +154,16 @@ FROM cut
 """
 
 
-#: op2's measures in SQL of its own: (expression, least spread, limited below too). Words of
-#: more than 100 characters on average count as 100 here, which the operator does not do.
+#: Tenths of a character per word; from 2,048 on only the first eleven bits count.
+_LENGTH = "(word_chars * 10 // greatest(n_words, 1))"
+_FIRST_BITS = f"((1::BIGINT) << greatest(len(bin({_LENGTH})) - 11, 0)::INT)"
+
+#: op2's measures in SQL of its own: (expression, least spread, limited below too).
 _MEASURES = {
     "symbols": ("n_symbols * 1000 // greatest(word_chars, 1)", 5, False),
     "repeats": ("n_repeat_words * 1000 // greatest(n_words, 1)", 20, False),
     "same_lines": ("n_dup_lines * 1000 // greatest(n_lines, 1)", 50, False),
-    "word_length": ("least(word_chars * 10 // greatest(n_words, 1), 1000)", 10, True),
+    "word_length": (f"({_LENGTH} // {_FIRST_BITS} * {_FIRST_BITS})", 10, True),
 }
 
 
