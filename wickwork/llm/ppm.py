@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import annotate, stored, within, written
 from .words import BLANK_WORDS, Words, slices
 
-ORDER = 4
+ORDER = 5
 MODEL_WINDOWS = 1 << 20
 MODEL_TOKENS = 1 << 20
 END = 0xFF  # never a byte of UTF-8
