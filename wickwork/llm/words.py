@@ -28,24 +28,32 @@ LETTER_WORDS = (
 )
 LOWER = np.where((_CODES >= 65) & (_CODES <= 90), _CODES + 32, _CODES).astype(np.uint8)
 
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Two primes under 2**31, each with a base. Products of residues fit 64 bits, and so do sums
+#: of 2**33 residues; modulo a power of two, regular words such as Thue-Morse words would meet.
+_FIELDS = ((2147483647, 1540483477), (2147483629, 1099087573))
 _CACHED_POWERS = SLICE_BYTES + 4096
 
 
-def _powers(base: int, count: int) -> np.ndarray:
-    out = np.full(count, base, dtype=np.uint64)
-    out[:1] = 1
-    return np.cumprod(out, dtype=np.uint64)
+def _powers(base: int, prime: int, count: int) -> np.ndarray:
+    out = np.ones(count, dtype=np.uint64)
+    done = 1
+    while done < count:
+        more = out[: min(done, count - done)]
+        out[done : done + len(more)] = more * np.uint64(pow(base, done, prime)) % np.uint64(prime)
+        done += len(more)
+    return out
 
 
-@lru_cache(maxsize=2)
-def _cached_powers(base: int) -> np.ndarray:
-    return _powers(base, _CACHED_POWERS)
+@lru_cache(maxsize=4)
+def _cached_powers(base: int, prime: int) -> np.ndarray:
+    return _powers(base, prime, _CACHED_POWERS)
 
 
-def powers(base: int, count: int) -> np.ndarray:
-    return _cached_powers(base)[:count] if count <= _CACHED_POWERS else _powers(base, count)
+def powers(base: int, prime: int, count: int) -> np.ndarray:
+    """The first powers of a base in the field of a prime, from its power 0 on."""
+    if count <= _CACHED_POWERS:
+        return _cached_powers(base, prime)[:count]
+    return _powers(base, prime, count)
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -59,9 +67,18 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of values[start:end] for each pair; the empty range gives mix(0)."""
+    out = np.zeros(len(starts), dtype=np.uint64)
     sums = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * powers(_BASE, len(values)), dtype=np.uint64, out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * powers(_INVERSE, len(values) + 1)[starts])
+    for prime, base in _FIELDS:
+        field = np.uint64(prime)
+        terms = values % field
+        terms *= powers(base, prime, len(values))
+        terms %= field
+        np.cumsum(terms, dtype=np.uint64, out=sums[1:])
+        part = (sums[ends] - sums[starts]) % field
+        part *= powers(pow(base, -1, prime), prime, len(values) + 1)[starts]
+        out = (out << np.uint64(31)) | (part % field)
+    return mix(out)
 
 
 class Words:
