@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ..session import pinned, scratch_folder
+from ..session import broadcast_if_small, pinned, scratch_folder
 from .words import slices
 
 #: Characters between words: space, tab, newline, vertical tab, form feed, return.
@@ -172,6 +172,15 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
+#: Keys broadcast at most, to find the rows that have them or lack them.
+KNOWN_KEYS = 500_000
+
+
+def of_keys(rows: DataFrame, keys: DataFrame, name: str, inside: bool = True) -> DataFrame:
+    """Rows whose `name` is among the keys (a written table), or not; few keys spare a shuffle."""
+    return rows.join(broadcast_if_small(keys, KNOWN_KEYS), name, "left_semi" if inside else "left_anti")
+
+
 #: Keys of more than this share of all rows meet them by broadcast.
 HOT_SHARE = 1000
 

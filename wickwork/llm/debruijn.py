@@ -34,18 +34,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import field, sliding, stored, within, written
+from .common import field, hot_join, of_keys, sliding, stored, written
 from .words import BLANK_WORDS, Words, mix, range_hashes, slices
 
 SPAN = 50
 NODE = 16
-KNOWN_KEYS = 2_000_000  # row keys broadcast at most: 16 MB
-
-GAP_BITS = 6  # a gap between nodes is at most SPAN - NODE + 1
+PLACE_BITS = 31  # for the position of a node in its text
 
 _START, _END = np.uint64(0x5354415254), np.uint64(0x454E44)
 
 
+def gap_bits(width: int) -> int:
+    """Bits of a gap between nodes, which is at most the number of k-mers in a span."""
+    bits = width.bit_length()
+    if width < 1 or 4 * bits + PLACE_BITS > 63:
+        raise ValueError("a span must hold 1 to 255 nodes; choose a node nearer to the span")
+    return bits
+
+
 class Nodes:
     """Nodes of some texts, with the hash of their edges and the distance to their neighbours."""
 
@@ -94,6 +100,7 @@ class Nodes:
 
 def node_table(docs: DataFrame, text: str, doc: str, span: int, node: int) -> DataFrame:
     """(doc, row_key, place, node, edges) of every node occurrence; place packs position and gaps."""
+    bits = gap_bits(span - node + 1)
     plain = docs.select(
         docs[doc].cast("bigint").alias("doc"),
         F.xxhash64(docs[doc], docs[text]).alias("row_key"),
@@ -106,7 +113,7 @@ def node_table(docs: DataFrame, text: str, doc: str, span: int, node: int) -> Da
             rows = pa.array(nodes.rows)
             place = nodes.at
             for gap in (nodes.before, nodes.after, nodes.far, nodes.near):
-                place = (place << GAP_BITS) | gap
+                place = (place << bits) | gap
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc").take(rows),
@@ -123,17 +130,20 @@ def node_table(docs: DataFrame, text: str, doc: str, span: int, node: int) -> Da
 
 def shared_nodes(occurrences: DataFrame) -> DataFrame:
     """Occurrences of nodes that two documents or more hold, with what is known of the node."""
-    nodes = (
+    nodes = written(
         occurrences.groupBy("node")
         .agg(
             F.min("doc").alias("low"),
             F.max("doc").alias("high"),
             (F.min("edges") == F.max("edges")).alias("simple"),
+            F.count("*").alias("times"),
         )
         .where("low < high")
-        .drop("high")
+        .drop("high"),
+        "nodes",
     )
-    return occurrences.drop("edges").join(nodes, "node").drop("node")
+    found = hot_join(occurrences.drop("edges"), nodes, "node", "times", occurrences.count())
+    return found.drop("node", "times")
 
 
 def settle(
@@ -149,8 +159,9 @@ def settle(
     fresh[1:] = (np.diff(row[order]) != 0) | (np.diff(place[order]) != 0)
     order = order[fresh]
     row, doc, place, low, simple = (v[order] for v in (row, doc, place, low, simple))
-    gaps = [(place >> (GAP_BITS * k)) & ((1 << GAP_BITS) - 1) for k in (3, 2, 1, 0)]
-    at = place >> (4 * GAP_BITS)
+    bits = gap_bits(width)
+    gaps = [(place >> (bits * k)) & ((1 << bits) - 1) for k in (3, 2, 1, 0)]
+    at = place >> (4 * bits)
     before, after, far, near = gaps
     # Paths: neighbouring simple nodes.
     linked = np.zeros(len(at), bool)
@@ -248,7 +259,7 @@ def cut_repeats(
 ) -> DataFrame:
     """(row, n_words, n_removed, kept): kept is the text that is left, or its sha256."""
     keep = list(docs.columns if keep is None else keep)
-    shared = shared_nodes(node_table(docs, text, doc, span, node))
+    shared = shared_nodes(written(node_table(docs, text, doc, span, node), "occurrences"))
     paths = plan(shared, span, node)
     plain = docs.select(
         F.struct(*[docs[c] for c in keep]).alias("kept_row"),
@@ -259,25 +270,20 @@ def cut_repeats(
     fields = [("n_words", "bigint"), ("n_removed", "bigint"), ("kept", "string")]
     finish = (lambda parts: parts) if texts else digest
 
-    known = packed_keys(paths)
     here = T.StructType([T.StructField("row", plain.schema["kept_row"].dataType), *(field(*f) for f in fields)])
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in only(batches, known, False):
-            for part in slices([batch], lambda b: b.column("text")):
-                yield made(part, kept_words(part.column("text"), None, span))
+        for part in slices(batches, lambda b: b.column("text")):
+            yield made(part, kept_words(part.column("text"), None, span))
 
     def made(batch: pa.RecordBatch, parts: list) -> pa.RecordBatch:
         kinds = (pa.int64(), pa.int64(), pa.string())
         arrays = [pa.array(m, t) for m, t in zip(finish(parts), kinds)]
         return pa.RecordBatch.from_arrays([batch.column("kept_row"), *arrays], names=here.names)
 
-    if known is None:
-        keys = paths.select("row_key")
-        others, mine = plain.join(keys, "row_key", "left_anti"), plain.join(keys, "row_key", "left_semi")
-    else:
-        others, mine = plain, plain.mapInArrow(lambda batches: only(batches, known, True), plain.schema)
-    whole = others.mapInArrow(rest, here)
+    keys = paths.select("row_key")
+    whole = of_keys(plain, keys, "row_key", inside=False).mapInArrow(rest, here)
+    mine = of_keys(plain, keys, "row_key")
     touched = written(mine.join(paths.drop("doc"), "row_key"), "touched")
     repeated = open_windows(touched, span)
     found = touched.join(repeated, "row_key", "left")
@@ -295,23 +301,6 @@ def cut_repeats(
     return whole.union(part.mapInArrow(remove, here))
 
 
-def packed_keys(paths: DataFrame):
-    """The row keys of `paths`, broadcast; None if they are too many."""
-    if paths.count() > KNOWN_KEYS:
-        return None
-    keys = np.sort(paths.select("row_key").toArrow().column("row_key").to_numpy())
-    return paths.sparkSession.sparkContext.broadcast(keys)
-
-
-def only(batches: Iterator[pa.RecordBatch], known, inside: bool) -> Iterator[pa.RecordBatch]:
-    """Rows whose key is known, or those whose is not."""
-    for batch in batches:
-        if known is not None:
-            own = within(known.value, batch.column("row_key").to_numpy(zero_copy_only=False)) >= 0
-            batch = batch.filter(pa.array(own == inside))
-        yield batch
-
-
 def open_windows(touched: DataFrame, span: int) -> DataFrame:
     """(row_key, windows): starts of open windows that a smaller document holds as well."""
     rows = touched.where(F.size("still") > 0).select("doc", "row_key", "text", "still")
@@ -339,9 +328,12 @@ def open_windows(touched: DataFrame, span: int) -> DataFrame:
             )
 
     windows = stored(rows.mapInArrow(work, "doc bigint, row_key bigint, at bigint, window bigint"))
-    lowest = windows.groupBy("window").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
+    lowest = windows.groupBy("window").agg(
+        F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("times")
+    )
+    lowest = stored(lowest.where("low < high").drop("high"))
     return (
-        windows.join(lowest.select("window", "low"), "window")
+        hot_join(windows, lowest, "window", "times", windows.count())
         .where("low < doc")
         .groupBy("row_key")
         .agg(F.collect_set("at").alias("windows"))
