@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -13,8 +14,10 @@ sys.path.insert(0, str(Path(__file__).parent))
 import tables  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from wickwork.llm import adaptive_rules, debruijn, hilbert, jaccard_join, mixing, neighbours, pii, ppm, toxicity, winnowing  # noqa: E402
+from wickwork.llm import adaptive_rules, common, debruijn, hilbert, jaccard_join, mixing, neighbours, pii, ppm, toxicity, winnowing  # noqa: E402
+from wickwork.llm import words as word_module  # noqa: E402
 from wickwork.llm.common import components, ranked  # noqa: E402
+from wickwork.llm.words import BLANK_WORDS, Words  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -235,8 +238,7 @@ def test_keys_too_many_to_broadcast_are_joined(spark, docs, monkeypatch):
         return sorted(cut, key=repr), sorted(jaccard_join.keep_one(docs).select("doc_id", "text").collect(), key=repr)
 
     usual = results()
-    monkeypatch.setattr(debruijn, "KNOWN_KEYS", -1)
-    monkeypatch.setattr(jaccard_join, "KNOWN_KEYS", -1)
+    monkeypatch.setattr(common, "KNOWN_KEYS", -1)
     assert results() == usual
     assert sum(r.n_removed for r in usual[0]) > 0
 
@@ -304,3 +306,72 @@ def test_masked_texts_and_long_runs(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     out = {r.row.doc_id: r.masked for r in pii.masked(pii.find_private(docs), "text").collect()}
     assert out[1] == "mail [EMAIL] now" and out[4].endswith("[IP]")
+
+
+def regular_words(length):
+    """A word whose letters alternate as the parity of the bits of their places, and its opposite."""
+    bits = [bin(i).count("1") % 2 for i in range(length)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("length", [64, 1024, 2048, 4096])
+def test_regular_words_do_not_meet(length):
+    words = Words(pa.array([" ".join(regular_words(length))]), BLANK_WORDS, lower=False)
+    assert len(set(words.hashes().tolist())) == 2
+
+
+def test_range_hashes_are_those_of_the_polynomials():
+    rng = np.random.default_rng(5)
+    values = rng.integers(0, 1 << 63, 300).astype(np.uint64)
+    starts = rng.integers(0, 300, 80)
+    ends = np.minimum(starts + rng.integers(0, 60, 80), 300)
+    found = word_module.range_hashes(values, starts, ends)
+    for start, end, h in zip(starts.tolist(), ends.tolist(), found):
+        code = 0
+        for prime, base in word_module._FIELDS:
+            part = sum(int(v) * pow(base, i, prime) for i, v in enumerate(values[start:end])) % prime
+            code = code << 31 | part
+        assert h == word_module.mix(np.array([code], np.uint64))[0]
+
+
+def test_documents_of_regular_words_share_nothing(spark):
+    one, two = regular_words(2048)
+    docs = spark.createDataFrame([(1, " ".join([one] * 60)), (2, " ".join([two] * 60))], "doc_id long, text string")
+    cut = debruijn.cut_repeats(docs, keep=["doc_id"]).collect()
+    assert {r.n_removed for r in cut} == {0}
+    classes = {r.doc: r["class"] for r in jaccard_join.classes_of(docs).collect()}
+    assert classes == {1: 1, 2: 2}
+
+
+@pytest.mark.parametrize("span, node", [(20, 8), (50, 40), (80, 16), (100, 16), (150, 16)])
+def test_repeats_of_other_lengths(spark, span, node):
+    rng = np.random.default_rng(span)
+    passages = [[f"p{i}w{j}" for j in range(rng.integers(span - 15, 2 * span))] for i in range(6)]
+    texts = {}
+    for doc in range(40):
+        words = []
+        for p in rng.choice(6, 3):
+            words += [f"d{doc}x{j}" for j in range(rng.integers(0, 30))]
+            cut = rng.integers(0, 8)
+            words += passages[p][cut:] if doc % 3 else ["u", "v"] * (span // 2 + 3)
+        texts[doc] = words
+    smallest = {}
+    for doc in sorted(texts):
+        for i in range(len(texts[doc]) - span + 1):
+            smallest.setdefault(tuple(texts[doc][i : i + span]), doc)
+    wanted = {}
+    for doc, words in texts.items():
+        gone = set()
+        for i in range(len(words) - span + 1):
+            if smallest[tuple(words[i : i + span])] < doc:
+                gone.update(range(i, i + span))
+        wanted[doc] = (len(gone), " ".join(w for i, w in enumerate(words) if i not in gone))
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in texts.items()], "doc_id long, text string")
+    cut = debruijn.cut_repeats(docs, keep=["doc_id"], span=span, node=node).collect()
+    assert {r.row.doc_id: (r.n_removed, r.kept) for r in cut} == wanted
+    assert sum(n for n, _ in wanted.values()) > 0
+
+
+def test_a_span_of_too_many_nodes_is_refused(spark, docs):
+    with pytest.raises(ValueError, match="node nearer"):
+        debruijn.cut_repeats(docs, span=1000, node=16)

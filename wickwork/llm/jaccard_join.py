@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, stored, within, written
+from .common import components, hot_join, of_keys, stored, within, written
 from .words import BLANK_WORDS, Words, gram_starts, mix, range_hashes, slices
 
 SIZE = 5
@@ -44,7 +44,6 @@ LIST_ROWS = 50_000
 FREQUENT = 256  # shingles per task that are looked at as frequent
 BLOCK = 1 << 19  # shingles of a block of sets in the search
 FLUSH = 1 << 18  # postings that a task holds before it packs them
-KNOWN_KEYS = 2_000_000  # keys broadcast at most: 32 MB
 
 
 class Sets:
@@ -355,34 +354,6 @@ def short_lists(postings: DataFrame) -> DataFrame:
     return written(postings.mapInArrow(choose, "shingle bigint, key bigint, weight bigint"), "short")
 
 
-def packed_keys(keys: DataFrame, name: str):
-    """A table of keys as a sorted array, broadcast; None if they are too many."""
-    if keys.count() > KNOWN_KEYS:
-        return None
-    return keys.sparkSession.sparkContext.broadcast(
-        np.sort(keys.toArrow().column(name).to_numpy())
-    )
-
-
-def only(
-    batches: Iterator[pa.RecordBatch], known, name: str, inside: bool = True
-) -> Iterator[pa.RecordBatch]:
-    """Rows whose key is known, or those whose is not."""
-    for batch in batches:
-        if known is not None:
-            at = within(known.value, batch.column(name).to_numpy(zero_copy_only=False))
-            batch = batch.filter(pa.array((at >= 0) == inside))
-        yield batch
-
-
-def of_keys(rows: DataFrame, keys: DataFrame, name: str, inside: bool = True) -> DataFrame:
-    """Rows whose `name` is among the keys, or not; without a shuffle while the keys are few."""
-    known = packed_keys(keys, name)
-    if known is None:
-        return rows.join(keys, name, "left_semi" if inside else "left_anti")
-    return rows.mapInArrow(lambda batches: only(batches, known, name, inside), rows.schema)
-
-
 def whole_sets(docs: DataFrame, text: str, kept: DataFrame, base: DataFrame) -> DataFrame:
     """(key, n, shingles): whole sets of the kept keys, from one text each."""
     one = stored(
@@ -396,21 +367,16 @@ def whole_sets(docs: DataFrame, text: str, kept: DataFrame, base: DataFrame) ->
         F.xxhash64(docs[text].cast("string")).alias("text_key"), docs[text].cast("string").alias("text")
     )
 
-    kept_keys = packed_keys(one, "text_key")
-    if kept_keys is None:
-        plain = plain.join(one, "text_key", "left_semi")
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in only(batches, kept_keys, "text_key"):
-            for part in slices([batch], lambda b: b.column("text")):
-                sets = Sets(part.column("text"))
-                lists = pa.ListArray.from_arrays(
-                    pa.array(sets.first.astype(np.int32)), pa.array(sets.values.view(np.int64))
-                )
-                columns = [pa.array(sets.keys.view(np.int64)), pa.array(sets.sizes), lists]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "shingles"])
+        for part in slices(batches, lambda b: b.column("text")):
+            sets = Sets(part.column("text"))
+            lists = pa.ListArray.from_arrays(
+                pa.array(sets.first.astype(np.int32)), pa.array(sets.values.view(np.int64))
+            )
+            columns = [pa.array(sets.keys.view(np.int64)), pa.array(sets.sizes), lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "shingles"])
 
-    return written(plain.mapInArrow(work, "key bigint, n bigint, shingles array<bigint>"), "whole")
+    return written(of_keys(plain, one, "text_key").mapInArrow(work, "key bigint, n bigint, shingles array<bigint>"), "whole")
 
 
 def linked(pairs: DataFrame, whole: DataFrame) -> DataFrame:
@@ -438,19 +404,24 @@ def in_classes(rows: DataFrame, classes: DataFrame | None) -> DataFrame:
 
 
 def mixed_lists(short: DataFrame, classes: DataFrame | None) -> DataFrame:
-    """Short postings, with class, of lists that hold more than one class."""
+    """Short postings (a written table), with class, of lists that hold more than one class."""
     rows = in_classes(short, classes)
-    mixed = rows.groupBy("shingle").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-    return rows.join(mixed.where("low < high").select("shingle"), "shingle", "left_semi")
+    mixed = rows.groupBy("shingle").agg(
+        F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("times")
+    )
+    mixed = stored(mixed.where("low < high").select("shingle", "times"))
+    return hot_join(rows, mixed, "shingle", "times", short.count()).select(*rows.columns)
 
 
 def pivot_pairs(rows: DataFrame) -> DataFrame:
     """For each set the pivot, a list's most central set, that it meets most often."""
     pivots = rows.groupBy("shingle").agg(
-        F.max_by(F.struct(F.col("key").alias("pivot"), F.col("class").alias("of")), F.struct("weight", "key")).alias("p")
+        F.max_by(F.struct(F.col("key").alias("pivot"), F.col("class").alias("of")), F.struct("weight", "key")).alias("p"),
+        F.count("*").alias("times"),
     )
     return (
-        rows.join(pivots, "shingle")
+        hot_join(rows, stored(pivots), "shingle", "times", rows.count())
+        .drop("times")
         .where(F.col("class") != F.col("p.of"))
         .groupBy("key", F.col("p.pivot").alias("pivot"))
         .agg(F.count("*").alias("times"))
@@ -468,8 +439,9 @@ def cells(rows: DataFrame, whole: DataFrame, block: int) -> DataFrame:
     against all its members. Both are dealt into blocks of about `block` shingles, and a cell
     is one block of queries with one block of members, however large the group is.
     """
-    lists = rows.groupBy("shingle").agg(F.min("key").alias("first"))
-    near = components(rows.join(lists, "shingle").select(F.col("key").alias("a"), F.col("first").alias("b")))
+    lists = stored(rows.groupBy("shingle").agg(F.min("key").alias("first"), F.count("*").alias("times")))
+    met = hot_join(rows, lists, "shingle", "times", rows.count())
+    near = components(met.select(F.col("key").alias("a"), F.col("first").alias("b")))
     sets = rows.select("key", "class").distinct().join(whole.select("key", "n"), "key")
     grouped = stored(
         sets.join(near.withColumnRenamed("node", "key"), "key", "left").select(
@@ -569,7 +541,7 @@ def classes_of(
     kept = enough(counts, required)
     whole = written(of_keys(whole, kept, "key").dropDuplicates(["key"]), "kept")
     short = short_lists(listed(all_shingles(whole, frequent, buckets), frequent, parts, buckets, False))
-    links = stored(linked(pivot_pairs(mixed_lists(short, None)), whole))
+    links = stored(linked(pivot_pairs(stored(mixed_lists(short, None))), whole))
     rest = stored(mixed_lists(short, components(links)))
     cell = cells(rest, whole, block).groupBy("group", "i", "j")
     classes = components(links.union(stored(cell.applyInArrow(search, "a bigint, b bigint"))))
@@ -588,7 +560,7 @@ def keep_one(docs: DataFrame, *, doc: str = "doc_id", text: str = "text") -> Dat
     """The rows of `docs`, one of each group: that of the smallest id, then the smallest text hash.
 
     Rows that go are found by the hash of id and text; while those hashes are few enough
-    they are broadcast, packed, so the texts are not shuffled. Texts without words all stay.
+    they are broadcast, so the texts are not shuffled. Texts without words all stay.
     """
     found = stored(
         classes_of(docs, doc=doc, text=text)
