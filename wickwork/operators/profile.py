@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import epoch_seconds
+from ..session import broadcast_if_small, pinned
 
 
 def _missing(df: DataFrame, name: str) -> Column:
@@ -41,16 +42,39 @@ def null_count(df: DataFrame) -> DataFrame:
     return df.agg(F.coalesce(F.sum(_nulls_in_row(df)), F.lit(0)).alias("null_count"))
 
 
-def _distinct_rows(df: DataFrame, by: list[str]) -> DataFrame:
-    """Distinct rows with their number of copies; NULLs and NaNs are equal to themselves."""
-    rest = [c for c in df.columns if c not in by]
-    return df.groupBy(*by, *rest).agg(F.count(F.lit(1)).alias("_copies"))
+FINGERPRINT = ["_low", "_high"]
+
+
+def _with_fingerprint(df: DataFrame) -> DataFrame:
+    """128 bits of each whole row; equal rows (NULLs, NaNs and zeros of any sign too) agree.
+
+    Hashes pass over NULLs, so their places are hashed beside the values.
+    """
+    values = [F.col(c) for c in df.columns]
+    places = F.concat(F.lit(""), *[F.when(v.isNull(), "1").otherwise("0") for v in values])
+    low, high = F.xxhash64(*values, places), F.xxhash64(F.lit(1), places, *values)
+    return df.withColumns(dict(zip(FINGERPRINT, (low, high))))
+
+
+def repeated_rows(df: DataFrame) -> DataFrame:
+    """Distinct rows that occur twice or more, with their copies; NULLs and NaNs equal themselves.
+
+    Only fingerprints are shuffled for all rows, 24 bytes each whatever the columns. Whole rows
+    move for those met twice, after copies are counted within each task, and these rows are
+    compared in full, so rows whose fingerprints meet by chance stay apart.
+    """
+    marked = _with_fingerprint(df)
+    met = marked.groupBy(*FINGERPRINT).agg(F.count(F.lit(1)).alias("_copies"))
+    met = broadcast_if_small(pinned(met.where("_copies > 1").select(*FINGERPRINT)))
+    rows = marked.join(met, FINGERPRINT, "left_semi").select(*df.columns)
+    counted = rows.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    return counted.where("_copies > 1")
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Surplus copies of whole rows."""
     surplus = F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0))
-    return _distinct_rows(df, []).agg(surplus.alias("duplicate_count"))
+    return repeated_rows(df).agg(surplus.alias("duplicate_count"))
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
@@ -102,24 +126,36 @@ def quality_metrics(
 ) -> DataFrame:
     """Six metrics, one row per group (one row in all without ``by``).
 
-    Everything comes from the distinct rows with their copies, so counts, NULLs,
-    duplicates and bounds need a single shuffle of the data.
+    Counts, NULLs and bounds are partial sums, duplicates come from fingerprints
+    (``repeated_rows``), so no shuffle carries all columns of all rows.
     """
     by = list(by)
     body = [c for c in df.columns if c not in by]
     ts = ts or ("timestamp" if "timestamp" in body else "open_time")
-    copies = F.col("_copies")
-    aggregates = [
-        F.coalesce(F.sum(copies), F.lit(0)).cast("double").alias("row_count"),
-        F.lit(float(with_columns or len(body))).alias("column_count"),
-        F.coalesce(F.sum(copies * _nulls_in_row(df, body)), F.lit(0))
-        .cast("double")
-        .alias("null_count"),
-        F.coalesce(F.sum(copies - 1), F.lit(0)).cast("double").alias("duplicate_count"),
-        epoch_seconds(F.min(ts)).alias("min_timestamp"),
-        epoch_seconds(F.max(ts)).alias("max_timestamp"),
-    ]
-    return _distinct_rows(df, by).groupBy(*by).agg(*aggregates)
+    counted = df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.sum(_nulls_in_row(df, body)).alias("_nulls"),
+        F.min(ts).alias("_first"),
+        F.max(ts).alias("_last"),
+    )
+    surplus = repeated_rows(df).groupBy(*by).agg(F.sum(F.col("_copies") - 1).alias("_surplus"))
+
+    def total(name: str, alias: str) -> Column:
+        return F.coalesce(F.sum(name), F.lit(0)).cast("double").alias(alias)
+
+    # A group may be NULL, which a join would lose.
+    return (
+        counted.unionByName(surplus, allowMissingColumns=True)
+        .groupBy(*by)
+        .agg(
+            total("_rows", "row_count"),
+            F.lit(float(with_columns or len(body))).alias("column_count"),
+            total("_nulls", "null_count"),
+            total("_surplus", "duplicate_count"),
+            epoch_seconds(F.min("_first")).alias("min_timestamp"),
+            epoch_seconds(F.max("_last")).alias("max_timestamp"),
+        )
+    )
 
 
 def in_long_form(metrics: DataFrame, by: list[str] = ()) -> DataFrame:
