@@ -296,12 +296,94 @@ def test_labelers_agree_on_reliability():
     assert rates[0][1][1] > rates[0][0][1]
 
 
+def private_corpus():
+    """Texts with tokens, harmless runs, and forms that only one labeler proposes."""
+    rng = random.Random(1)
+    forms = {
+        "555 123 4567": "LINE",
+        "555.123.4567": "LINE",
+        "(555) 123-4567": "LINE",
+        "123-45-6789": "NUMBER",
+        "DE89 3704 0044 0532 0130 00": "ACCOUNT",
+        "2001:db8:85a3::8a2e:370:7334": "IPV6",
+        "password: hunter22": "SECRET",
+        "ab+/cd3fGH12==": "SECRET",
+        "Dr. Jane Miller": "NAME",
+        "12 Green Hill Road": "STREET",
+    }
+    harmless = ["chapter12-foo", "version 2024-01-15", "page 12 34 56", "10.000.000", "see section1234"]
+    harmless += ["at 12:30:45 today", "src/main/lib2/file", "Key: things", "on 2023 11 02 12", "Doctor Who"]
+    said = ['token = "' + "".join(rng.choices("0123456789abcdef", k=40)) + '"' for _ in range(60)]
+    said += [harmless[k % len(harmless)] for k in range(80)]
+    rows = [(i, " ".join([*tables.words(rng, 8), x, *tables.words(rng, 8)])) for i, x in enumerate([*said, *forms])]
+    return rows, list(forms.values())
+
+
+def test_labelers_propose_spans_of_their_own(spark):
+    rows, kinds = private_corpus()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = {r.row.doc_id: r.masked for r in pii.masked(pii.find_private(docs), "text").collect()}
+    assert all("[SECRET]" in out[i] for i in range(60))
+    assert all("[" not in out[i] for i in range(60, 140))
+    for k, kind in enumerate(kinds):
+        assert f"[{kind}]" in out[140 + k], (rows[140 + k], out[140 + k])
+
+
+def test_added_spans_equal_a_slow_label_model(spark):
+    rows, _ = private_corpus()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = [(r.row.doc_id, r.candidates) for r in pii.located(docs, "text", ["doc_id"]).collect()]
+    each = [(d, c, [int(v) for v in c.votes.split(",")]) for d, cs in found for c in cs]
+    votes = np.array([v for _, _, v in each])
+    belief = np.array([[[0.64, 0.16], [0.16, 0.64]]] * votes.shape[1])  # labeler, class, vote -1 or 1
+    rates, prior, old = belief, 0.5, None
+    for _ in range(pii.MOST_ROUNDS):
+        odds = np.full(len(votes), np.log(prior / (1 - prior)))
+        for k in range(votes.shape[1]):
+            share = rates[k] / rates[k].sum(axis=1, keepdims=True)
+            for at, v in enumerate((-1, 1)):
+                odds += (votes[:, k] == v) * np.log(share[1, at] / share[0, at])
+        p = 1 / (1 + np.exp(-odds))
+        prior = (p.sum() + 1) / (len(p) + 2)
+        # Abstentions change no share of votes, so they need no count.
+        rates = np.array([
+            [[10 * belief[k, y, at] + (w * (votes[:, k] == v)).sum() for at, v in enumerate((-1, 1))]
+             for y, w in ((0, 1 - p), (1, p))]
+            for k in range(votes.shape[1])
+        ])
+        if old is not None and np.abs(old - p).max() < 1e-6:
+            break
+        old = p
+    wanted = defaultdict(list)
+    total = np.full(len(votes), np.log(prior / (1 - prior)))
+    for k in range(votes.shape[1]):
+        share = rates[k] / rates[k].sum(axis=1, keepdims=True)
+        for at, v in enumerate((-1, 1)):
+            total += (votes[:, k] == v) * np.log(share[1, at] / share[0, at])
+    for f in range(len(pii.FEATURES)):
+        values = np.array([c.features[f] for _, c, _ in each])
+        one = {x: p[values == x].sum() + prior for x in set(values)}
+        zero = {x: (1 - p)[values == x].sum() + 1 - prior for x in set(values)}
+        for i, x in enumerate(values):
+            total[i] += np.log(one[x] / sum(one.values()) / (zero[x] / sum(zero.values()))) / len(pii.FEATURES)
+    for (doc, c, _), t in zip(each, total):
+        if t > 0:
+            last = wanted[doc][-1] if wanted[doc] else None
+            if last and c.start < last[2]:
+                last[2] = max(last[2], c.end)
+            else:
+                wanted[doc].append([c.start, pii.KINDS.index(c.kind), c.end])
+    got = {r.row.doc_id: [list(s) for s in r.added] for r in pii.find_private(docs, keep=["doc_id"]).collect()}
+    assert {d: s for d, s in got.items() if s} == {d: s for d, s in wanted.items() if s}
+
+
 def test_masked_texts_and_long_runs(spark):
     rows = [
         (1, "mail a@b.cd now"),
         (2, "1" * 60_000 + " " + "a." * 40_000 + "@" + "b." * 40_000 + "c"),
         (3, None),
         (4, "1 2" * 30_000 + " 1.2.3.4"),
+        (5, "12 " * 20_000 + "ab:" * 20_000 + "a/b+" * 20_000 + " DE12 " + "AB12 " * 9_000 + "Dr. " * 9_000),
     ]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     out = {r.row.doc_id: r.masked for r in pii.masked(pii.find_private(docs), "text").collect()}

@@ -1,21 +1,28 @@
-"""Personal data: exact patterns, and spans that weak labelers agree on.
+"""Personal data: exact patterns, and spans that weak labelers propose and agree on.
 
-Four kinds have fixed patterns: email, ip, card and phone. For all other runs that may be
-secrets or numbers of persons, labelers vote: regular expressions on the run, gazetteers of
+Four kinds have fixed patterns: email, ip, card and phone. For everything else labelers propose
+spans of their own (`PROPOSERS`): long runs with digits, grouped numbers, bank accounts, IPv6
+addresses, values after words for secrets, base64, persons after titles, streets. Over the union
+of all proposals labelers vote: the proposers of a span, regular expressions on it, gazetteers of
 words in front of it, and its context. A label model is fit by expectation-maximisation
 (Dawid and Skene 1979, votes given the class independent): how often each labeler is right is
 estimated from agreement alone, over all candidates of the corpus. The candidates' posterior
-labels then train the final span classifier, a naive Bayes model over the shape and the
-surroundings of a span, which decides. Spans that overlap a fixed one are left to it.
-
-Everything that touches documents is SQL functions. Vote patterns (3 ** LABELERS at most) and
-feature counts (a fixed set of features) are all that reaches the driver.
-
-Patterns are written so that they take linear time: a run is only tried from its start, and
-separators inside numbers and domains are marked first, so no group repeats.
-
-Defined results: null and empty texts have no spans; repeated rows get the same spans; an
-empty table gives no rows; positions count code points.
+labels then train the span classifier, a naive Bayes model over the shape and the surroundings
+of a span; votes and classifier decide together. Accepted spans that overlap become one, of the kind of the
+first. Proposals inside a fixed span are left to it; others may reach over one (a card number in
+a token), and masking covers both.
+
+Everything that touches documents is SQL functions. Vote patterns (a labeler says one of three
+things, most of them one of two; what a text holds does not add to their number) and feature
+counts (a fixed set of features) are all that reaches the driver.
+
+Patterns are written so that they take linear time: a run is only tried from its start, repeats
+are bounded or possessive, and separators inside numbers and domains are marked first.
+
+Defined results: null and empty texts have no spans; texts of any length are searched whole, in
+one row; repeated rows get the same spans; spans that tie on a place are one span with all their
+proposers; an empty table gives no rows; extra columns of any name travel inside `row` and meet
+none of the operator's own; positions count code points.
 """
 
 from __future__ import annotations
@@ -28,7 +35,7 @@ from pyspark.sql import functions as F
 from .adaptive_rules import let
 from .common import written
 
-KINDS = ("email", "ip", "card", "phone", "secret", "number", "line")
+KINDS = ("email", "ip", "card", "phone", "secret", "number", "line", "account", "ipv6", "name", "street")
 
 #: Marks, each one code point, so positions hold: M1 stands for a separator inside a number,
 #: M2 for a dot inside a domain, M0 for either sign where the text itself has it.
@@ -42,10 +49,6 @@ PATTERNS = {
     "card": f"[0-9][0-9{M1}]++",
     "phone": "\\+[0-9][\\x20().0-9-]+[0-9]",
 }
-CANDIDATE = (
-    "\\([0-9]{3}\\)\\x20?[0-9]{3}[\\x20.-][0-9]{4}(?![0-9])"
-    "|(?<![0-9A-Za-z_-])(?=[A-Za-z_-]*+[0-9])[0-9A-Za-z_-]{9,}+"
-)
 CONTEXT = 32
 
 # Words that stand in front of private values, and in front of harmless numbers.
@@ -55,28 +58,103 @@ PRIVATE_WORDS = (
 )
 HARMLESS_WORDS = "version|license|chapter|page|figure|volume|isbn|doi|http|section|article|year"
 
-#: Labelers over v (the run), l (what stands in front, lower-case): 1, -1, or 0 to abstain.
+SECRET_WORDS = "password|passwd|passcode|pwd|secret|token|api[_-]?key|bearer|credential|iban|ssn"
+TITLES = "Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sra?"
+STREETS = "Street|St|Avenue|Ave|Road|Rd|Lane|Drive|Boulevard|Blvd|Square|Court"
+
+#: What each proposer looks for: a text that may hold it, its pattern, what of a match is the
+#: span (a pattern; None: all of it), and a condition on the span v.
+PROPOSERS = {
+    "run": (
+        "numbers",
+        "\\([0-9]{3}\\)\\x20?[0-9]{3}[\\x20.-][0-9]{4}(?![0-9])"
+        "|(?<![0-9A-Za-z_-])(?=[A-Za-z_-]*+[0-9])[0-9A-Za-z_-]{9,}+",
+        None,
+        "true",
+    ),
+    "groups": (
+        "numbers",
+        "(?<![0-9A-Za-z.,+-])(?:\\([0-9]{2,4}\\)\\x20?|[0-9]{2,4}[\\x20.-])[0-9]{2,4}"
+        "(?:[\\x20.-][0-9]{2,4}){1,3}+(?![0-9A-Za-z])",
+        None,
+        "length(regexp_replace(v, '[^0-9]', '')) between 9 and 15 and not v rlike '^(19|20)[0-9]{2}[ .-][0-9]{2}[ .-]'",
+    ),
+    "account": (
+        "numbers",
+        "(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:\\x20?[0-9A-Z]{4}){2,7}+(?:\\x20?[0-9A-Z]{1,3}(?![0-9A-Za-z]))?",
+        None,
+        "true",
+    ),
+    "ipv6": (
+        "numbers and instr(text, ':') > 0",
+        "(?<![0-9A-Za-z:.])[0-9A-Fa-f]{1,4}(?:::?[0-9A-Fa-f]{1,4}){2,7}+(?![0-9A-Za-z:])",
+        None,
+        "not v rlike '^[0-9]{1,4}(:[0-9]{1,2}){2}$'",
+    ),
+    "value": (
+        "sets",
+        f"(?<![A-Za-z])(?i:{SECRET_WORDS})[\"']?\\x20{{0,3}}[=:]\\x20{{0,3}}[\"']?[^\\s\"',;]{{6,}}+",
+        "[^\\s\"',;=:][^\\s\"',;]*+$",
+        "length(v) >= 6",
+    ),
+    "base64": (
+        "numbers",
+        "(?<![0-9A-Za-z_+/-])(?=[A-Za-z+/]*+[0-9])(?=[0-9A-Za-z]*+[+/=])[0-9A-Za-z+/]{10,}+={0,2}+",
+        None,
+        "v rlike '[A-Z]' and v rlike '[a-z]' and not v rlike '(^|/)[a-z]{3,}/|^/'",
+    ),
+    "person": (
+        "true",
+        f"(?<![A-Za-z])(?:{TITLES})\\.?\\x20[A-Z][a-z]{{1,30}}+(?:\\x20[A-Z][a-z]{{1,30}}+)?",
+        "[A-Z][a-z]++(?:\\x20[A-Z][a-z]++)?$",
+        "true",
+    ),
+    "street": (
+        "numbers",
+        f"(?<![0-9A-Za-z])[0-9]{{1,5}}\\x20(?:[A-Z][a-z]{{1,30}}\\x20){{1,3}}(?:{STREETS})(?![A-Za-z])",
+        None,
+        "true",
+    ),
+}
+BITS = {name: 1 << k for k, name in enumerate(PROPOSERS)}
+#: Long runs are proposed whatever they are, so proposing them is no vote.
+VOTING = [name for name in PROPOSERS if name != "run"]
+CANDIDATE_TYPE = "array<struct<start:int,end:int,less:int,v:string,l:string,bit:int>>"
+
+
+def proposed_by(*names: str) -> str:
+    return f"(c.by & {sum(BITS[n] for n in names)}) > 0"
+
+
+#: Labelers over v (the span), l (what stands in front, lower-case) and by (the proposers' bits):
+#: 1, -1, or 0 to abstain.
 LABELERS = [
-    "if(c.v rlike '^[0-9a-fA-F]{24,}$', 1, 0)",
+    "if(c.v rlike '^[0-9a-fA-F]{24,}$|[0-9A-Za-z]={1,2}$', 1, 0)",
     "case when length(c.v) >= 16 and c.v rlike '[A-Za-z]' and c.v rlike '[0-9].*[0-9].*[0-9]' then 1"
-    " when length(c.v) < 16 and c.v rlike '[A-Za-z]{6}' then -1 else 0 end",
+    f" when length(c.v) < 16 and c.v rlike '[A-Za-z]{{6}}' and not {proposed_by('value', 'person', 'street')}"
+    " then -1 else 0 end",
     f"if(c.l rlike '({PRIVATE_WORDS})[^a-z]*$', 1, 0)",
     "if(c.l rlike '[=:][\\\\s\"\\']*$', 1, 0)",
-    "case when c.v rlike '^[0-9]{12,19}$|^\\\\(|^[0-9]{3}-[0-9]{2}-[0-9]{4}$' then 1"
-    " when c.v rlike '^[0-9]{4}-[0-9]{2}-[0-9]{2}' then -1 else 0 end",
+    "case when c.v rlike '^[0-9]{12,19}$|^\\\\(|^[0-9]{3}-[0-9]{2}-[0-9]{4}$|^[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}$' then 1"
+    " when c.v rlike '^[0-9]{4}[ .-][0-9]{2}[ .-][0-9]{2}|^[0-9]{1,3}([. ][0-9]{3})+$' then -1 else 0 end",
     f"if(c.l rlike '({HARMLESS_WORDS})[^a-z]*$', -1, 0)",
-    "if(length(c.v) < 12 and not c.v rlike '^\\\\(', -1, 0)",
+    f"if(length(c.v) < 12 and not c.v rlike '[^0-9A-Za-z_-]' and not {proposed_by('value', 'person')}, -1, 0)",
+    f"case when not {proposed_by('value')} then 0 when c.v rlike '^[A-Z]?[a-z]+[.!?]?$' then -1"
+    " when c.v rlike '[0-9].*[0-9]|[a-z].*[A-Z]' then 1 else 0 end",
+    f"if({proposed_by('account', 'ipv6')} and not c.v rlike '[a-z]{{5}}', 1, 0)",
+    *[f"if({proposed_by(name)}, 1, 0)" for name in VOTING],
 ]
-#: Features of the span classifier, each with few values.
+#: Features of the span classifier, each with few values: name=value.
 FEATURES = [
-    "concat('length', least(length(c.v) div 8, 8))",
-    "concat('digits', length(regexp_replace(c.v, '[^0-9]', '')) * 4 div length(c.v))",
-    "concat('case', if(c.v rlike '[a-z]', 'l', ''), if(c.v rlike '[A-Z]', 'u', ''))",
-    "concat('front', case when c.l rlike '[a-z]\\\\s*$' then 'word' when c.l rlike '[0-9]\\\\s*$' then 'digit'"
+    "concat('length=', least(length(c.v) div 8, 8))",
+    "concat('digits=', length(regexp_replace(c.v, '[^0-9]', '')) * 4 div length(c.v))",
+    "concat('case=', if(c.v rlike '[a-z]', 'l', ''), if(c.v rlike '[A-Z]', 'u', ''))",
+    "concat('front=', case when c.l rlike '[a-z]\\\\s*$' then 'word' when c.l rlike '[0-9]\\\\s*$' then 'digit'"
     " when c.l rlike '[=:][\\\\s\"\\']*$' then 'set' when c.l = '' then 'none' else 'sign' end)",
-    f"concat('near', if(c.l rlike '({PRIVATE_WORDS})[^a-z]*$', 'private',"
+    f"concat('near=', if(c.l rlike '({PRIVATE_WORDS})[^a-z]*$', 'private',"
     f" if(c.l rlike '({HARMLESS_WORDS})[^a-z]*$', 'harmless', '')))",
-    "concat('signs', if(c.v like '%-%', '-', ''), if(c.v like '%\\\\_%', '_', ''), if(c.v like '(%', '(', ''))",
+    "concat('signs=', if(c.v like '%-%', '-', ''), if(c.v like '%\\\\_%', '_', ''), if(c.v like '(%', '(', ''))",
+    "concat('by=', c.by)",
 ]
 MOST_ROUNDS = 50
 
@@ -124,6 +202,34 @@ def spans(kind: str, text: str, needs: str, valid: str) -> str:
     return f"if({needs}, {plain}, cast(array() as array<struct<start:int,no:int,end:int>>))"
 
 
+def proposals() -> str:
+    """SQL: the union of all proposers' spans of a text, equal ones once, with their bits."""
+    every = []
+    for name, (needs, pattern, inner, valid) in PROPOSERS.items():
+        v = "x.m" if inner is None else f"regexp_extract(x.m, {sql_string(inner)}, 0)"
+        front = "x.front" if inner is None else f"concat(x.front, left(x.m, char_length(x.m) - char_length({v})))"
+        body = let(
+            v,
+            "v",
+            f"named_struct('start', x.end - char_length(v), 'end', x.end, 'less', -least(char_length({front}), {CONTEXT}),"
+            f" 'v', v, 'l', lower(right({front}, {CONTEXT})), 'bit', if({valid}, {BITS[name]}, 0))",
+        )
+        found = f"filter({matches('text', pattern, body)}, x -> x.bit > 0)"
+        every.append(f"if({needs}, {found}, cast(array() as {CANDIDATE_TYPE}))")
+    # Sorted, proposals of one span are neighbours, the one that sees most of the front first.
+    same = "coalesce(get(s, i + {0}).start = x.start and get(s, i + {0}).end = x.end, false)".format
+    bits = " + ".join(f"if({same(k)}, get(s, i + {k}).bit, 0)" for k in range(len(PROPOSERS)))
+    joined = (
+        "named_struct('v', x.v, 'l', x.l, 'start', x.start, 'end', x.end,"
+        f" 'by', {bits}, 'first', not {same(-1)})"
+    )
+    return let(
+        f"sort_array(concat({', '.join(every)}))",
+        "s",
+        f"filter(transform(s, (x, i) -> {joined}), x -> x.first)",
+    )
+
+
 def located(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """(row, base, candidates) of each document."""
     plain = docs.select(
@@ -133,6 +239,7 @@ def located(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
         "*",
         F.expr("text rlike '[0-9]'").alias("numbers"),
         F.expr("instr(text, '@') > 0").alias("ats"),
+        F.expr("text rlike '[=:]'").alias("sets"),
     )
     clear = f"translate(text, '{M1}{M2}', '{M0}{M0}')"
     marked = plain.select(
@@ -152,24 +259,24 @@ def located(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
         spans("card", "for_cards", "numbers", number),
         spans("phone", "text", "numbers and instr(text, '+') > 0", f"length({digits('x.m')}) between 9 and 15"),
     ]
-    run = "named_struct('v', x.m, 'l', lower(x.front), 'start', x.start, 'end', x.end)"
-    candidates = matches("text", CANDIDATE, run)
-    none = "cast(array() as array<struct<v:string,l:string,start:int,end:int>>)"
     found = marked.select(
         "row",
         F.expr(f"sort_array(concat({', '.join(base)}))").alias("base"),
-        F.expr(f"if(numbers, {candidates}, {none})").alias("runs"),
+        F.expr(proposals()).alias("runs"),
     )
     votes = ", ".join(f"cast({v} as string)" for v in LABELERS)
     kind = (
-        "case when c.v like '(%' then 'line' when c.v rlike '[A-Za-z]' then 'secret' else 'number' end"
+        f"case when {proposed_by('person')} then 'name' when {proposed_by('street')} then 'street'"
+        f" when {proposed_by('ipv6')} then 'ipv6' when {proposed_by('account')} then 'account'"
+        f" when c.v like '(%' or {proposed_by('groups')} and not c.v rlike '^[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}$'"
+        " then 'line' when c.v rlike '[A-Za-z]' then 'secret' else 'number' end"
     )
     judged = (
         f"transform(runs, c -> named_struct('start', c.start, 'end', c.end, 'kind', {kind},"
         f" 'votes', concat_ws(',', array({votes})), 'features', array({', '.join(FEATURES)})))"
     )
     apart = (
-        f"filter({judged}, c -> not exists(base, b -> b.start < c.end and c.start < b.end))"
+        f"filter({judged}, c -> not exists(base, b -> b.start <= c.start and c.end <= b.end))"
     )
     return written(found.select("row", "base", F.expr(apart).alias("candidates")), "spans")
 
@@ -183,9 +290,9 @@ def fit_labelers(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[float, li
     Starts from labelers that are right four times out of five; each estimate keeps ten
     votes of that belief, so a labeler that hardly votes stays near it.
     """
-    prior = 0.5
+    prior, labelers = 0.5, len(patterns[0][0])
     belief = [{y: {v: 0.2 if v == 0 else (0.64 if (v > 0) == y else 0.16) for v in (-1, 0, 1)} for y in (0, 1)}
-              for _ in LABELERS]
+              for _ in range(labelers)]
     rates = belief
     posterior: dict[tuple[int, ...], float] = {}
     for _ in range(MOST_ROUNDS):
@@ -201,7 +308,7 @@ def fit_labelers(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[float, li
         total = sum(n for _, n in patterns)
         prior = (sum(n * posterior[v] for v, n in patterns) + 1) / (total + 2)
         rates = []
-        for k in range(len(LABELERS)):
+        for k in range(labelers):
             rates.append({})
             for y in (0, 1):
                 counts = {v: 10 * belief[k][y][v] for v in (-1, 0, 1)}
@@ -214,22 +321,35 @@ def fit_labelers(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[float, li
     return prior, rates, posterior
 
 
-def fit_classifier(rows: list[tuple[str, str, int]], posterior: dict) -> dict[str, float]:
-    """Log odds per feature from counts (feature, vote pattern, spans), labelled by the posterior."""
+def vote_odds(rates: list[dict]) -> dict[str, float]:
+    """Log odds that a labeler's vote gives, as fit_labelers weighs it; abstaining gives none."""
+    return {
+        f"vote{k}={v}": math.log(rate[1][v] / (rate[1][1] + rate[1][-1]))
+        - math.log(rate[0][v] / (rate[0][1] + rate[0][-1]))
+        for k, rate in enumerate(rates)
+        for v in (-1, 1)
+    }
+
+
+def fit_classifier(rows: list[tuple[str, str, int]], prior: float, posterior: dict) -> dict[str, float]:
+    """Log odds per feature from counts (feature, vote pattern, spans), labelled by the posterior.
+
+    One more span per feature, shared as the prior says, keeps rare values near the middle.
+    """
     sums: dict[str, list[float]] = {}
     for feature, votes, n in rows:
         p = posterior[tuple(int(v) for v in votes.split(","))]
-        mine = sums.setdefault(feature, [1.0, 1.0])
+        mine = sums.setdefault(feature, [1 - prior, prior])
         mine[0] += n * (1 - p)
         mine[1] += n * p
     groups: dict[str, list[float]] = {}
     for feature, (zero, one) in sums.items():
-        whole = groups.setdefault(feature.rstrip("0123456789") if feature[0] in "ld" else feature[:4], [0, 0])
+        whole = groups.setdefault(feature.split("=")[0], [0.0, 0.0])
         whole[0] += zero
         whole[1] += one
     out = {}
     for feature, (zero, one) in sums.items():
-        whole = groups[feature.rstrip("0123456789") if feature[0] in "ld" else feature[:4]]
+        whole = groups[feature.split("=")[0]]
         out[feature] = math.log(one / whole[1]) - math.log(zero / whole[0])
     return out
 
@@ -243,22 +363,36 @@ def find_private(docs: DataFrame, *, text: str = "text", keep: list[str] | None
     patterns = [(tuple(int(v) for v in r.votes.split(",")), r.n) for r in sorted(counts)]
     weights, bias = {"": 0.0}, -1.0
     if patterns:
-        prior, _, posterior = fit_labelers(patterns)
+        prior, rates, posterior = fit_labelers(patterns)
         rows = (
             each.select(F.explode("features").alias("feature"), "votes")
             .groupBy("feature", "votes")
             .agg(F.count("*").alias("n"))
             .collect()
         )
-        weights |= fit_classifier([tuple(r) for r in rows], posterior)
+        weights |= fit_classifier([tuple(r) for r in rows], prior, posterior) | vote_odds(rates)
         bias = math.log(prior / (1 - prior))
     known = "map(" + ", ".join(f"{sql_string(k)}, {v!r}D" for k, v in sorted(weights.items())) + ")"
-    score = f"aggregate(c.features, {bias!r}D, (s, f) -> s + coalesce({known}[f], 0D))"
+    # Features see much the same, so their odds are averaged; votes add up.
+    facts = (
+        f"concat(transform(split(c.votes, ','), (v, k) -> coalesce({known}[concat('vote', k, '=', v)], 0D)),"
+        f" transform(c.features, f -> coalesce({known}[f], 0D) / {len(FEATURES)}))"
+    )
+    score = f"aggregate({facts}, {bias!r}D, (s, x) -> s + x)"
     number = f"array_position(array({', '.join(sql_string(k) for k in KINDS)}), c.kind) - 1"
-    added = (
+    chosen = (
         f"transform(filter(candidates, c -> {score} > 0),"
         f" c -> named_struct('start', c.start, 'no', cast({number} as int), 'end', c.end))"
     )
+    # Candidates are sorted by start; those that overlap the last one lengthen it.
+    last = "get(a, size(a) - 1)"
+    longer = f"named_struct('start', {last}.start, 'no', {last}.no, 'end', greatest({last}.end, s.end))"
+    added = (
+        f"aggregate({chosen}, cast(array() as array<struct<start:int,no:int,end:int>>),"
+        f" (a, s) -> if(size(a) > 0 and s.start < {last}.end,"
+        f" concat(slice(a, 1, size(a) - 1), array({longer})),"
+        " concat(a, array(s))))"
+    )
     return table.select("row", "base", F.expr(added).alias("added"))
 
 
@@ -282,7 +416,8 @@ def masked(found: DataFrame, text: str) -> DataFrame:
     """(row, masked): the text of `row` with every span replaced by its kind in brackets."""
     names = f"array({', '.join(sql_string(k.upper()) for k in KINDS)})"
     step = (
-        "(a, s) -> if(s.start < a.at, a, named_struct('at', s.end, 'out',"
+        "(a, s) -> if(s.start < a.at, named_struct('at', greatest(a.at, s.end), 'out', a.out),"
+        " named_struct('at', s.end, 'out',"
         f" concat(a.out, substr(row.{text}, a.at + 1, s.start - a.at), '[', {names}[s.no], ']')))"
     )
     whole = (
