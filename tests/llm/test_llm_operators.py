@@ -1,5 +1,6 @@
 """The operators' own interfaces: texts, files, groups, limits and small parameters."""
 
+import itertools
 import random
 import sys
 from collections import Counter, defaultdict
@@ -94,6 +95,56 @@ def test_hidden_words_are_restored_and_scored(spark):
     assert all(set(t.split()) == set(out[i].split()) for i, t in rows[:50])
 
 
+def channel_decoder():
+    """A decoder over words of which some are bad ones."""
+    text = "the stupid idiot said that stupid ass of a house feeds the good little bottle and looks well "
+    rng = random.Random(4)
+    texts = [text * 20, *[" ".join(tables.words(rng, 60)) for _ in range(50)]]
+    counts = toxicity.gram_counts(pa.array(texts)).astype(float).reshape((toxicity.SYMBOLS,) * toxicity.ORDER)
+    model = np.full(toxicity.SYMBOLS, 1.0 / toxicity.SYMBOLS)
+    for order in range(1, toxicity.ORDER + 1):
+        own = counts.sum(axis=tuple(range(toxicity.ORDER - order)))
+        model = (own + 5 * model) / (own.sum(axis=-1, keepdims=True) + 5)
+    return toxicity.Decoder(np.log(model).astype(np.float32).ravel())
+
+
+@pytest.mark.parametrize(
+    "form,word",
+    [
+        ("stuupid", "stupid"), ("iidiioot", "idiot"), ("st00pid", "stupid"), ("st*pid", "stupid"),
+        ("$tup1d", "stupid"), ("s.t.u.p.i.d", "stupid"), ("@$$", "ass"), ("i  d  i  o  t", "idiot"),
+        ("i\nd\ni\no\nt", "idiot"), ("st up id", "stupid"), ("id iot", "idiot"),
+    ],
+)
+def test_channel_is_open(form, word):
+    decoder = channel_decoder()
+    assert decoder.restore(form) == word and word in decoder.words(form)
+
+
+def test_channel_leaves_plain_text_alone():
+    decoder = channel_decoder()
+    for plain in ["the good little bottle", "feeds the house well", "2024 455 100", "the house of a bottle"]:
+        assert decoder.restore(plain) == plain
+    # A doubled letter that is one stays known beside its other reading.
+    assert "quooz" in decoder.words("quooz")
+
+
+def test_viterbi_is_the_best_of_all_paths():
+    decoder, rng = channel_decoder(), random.Random(8)
+    for _ in range(150):
+        token = "".join(rng.choice("stupid0011@$!*oo") for _ in range(rng.randrange(1, 7)))
+        lattice = [toxicity.readings(m.group()) for m in toxicity._RUNS.finditer(token)]
+        best = -np.inf
+        for path in itertools.product(*lattice):
+            score, now = sum(cost for _, cost in path), 0
+            for char in "".join(out for out, _ in path):
+                k = toxicity.symbol(char)
+                score += decoder.model[now * toxicity.SYMBOLS + k]
+                now = (now * toxicity.SYMBOLS + k) % toxicity._CONTEXTS if k else 0
+            best = max(best, score + decoder.model[now * toxicity.SYMBOLS])
+        assert decoder.best(lattice)[0] == pytest.approx(best, abs=1e-4)
+
+
 def test_limits_of_unspaced_script_are_not_clipped(spark):
     # Mean lengths of runs: 120 to 300 characters, some honest short ones, and real outliers.
     lengths = [120 + i % 180 for i in range(400)] + [60, 75, 96] + [40_000, 90_000]

@@ -1,10 +1,14 @@
 """Toxicity of texts behind leetspeak, spacing and repetition.
 
 A noisy channel turns clean words into what stands in a text: letters become digits or
-symbols, are repeated, masked, or set apart by blanks and punctuation. Each token that may
-be such a word becomes a lattice of letters it can stand for, and Viterbi decoding finds the
+symbols, are repeated, masked, or set apart by blanks, line ends and punctuation. Each token that
+may be such a word becomes a lattice of letters it can stand for, and Viterbi decoding finds the
 likeliest path under a character 4-gram model counted over the words of all documents.
-Tokens with one reading only are their own best path and skip the search.
+Tokens with one reading only are their own best path and skip the search. Runs of single
+characters, and of short pieces of which the model does not expect one to be a word, become
+lattices with the blanks as letters that may fall away. Tokens without any letter are read as
+words if they mix signs that stand for letters; digits alone stay numbers unless the letters
+are likelier than evenly drawn digits.
 
 The restored text is scored by terms (words and beginnings of words). Terms come from a
 bounded sample of labelled rows (`SAMPLE_TOXIC`, `SAMPLE_CLEAN`, near copies counted once);
@@ -12,8 +16,11 @@ how reliable each one is, is counted over all labelled training rows. A logistic
 on `SAMPLE_FIT` labelled rows at most, turns the evidence of all matched words into a score.
 
 Defined results: null, empty and wordless texts get the score of a text without any term;
-repeated labels of a document count once, toxic if any says so; labels without a document,
-null labels and null ids teach nothing; without toxic labels every text gets that score.
+texts of any length are read whole, in one row; paths that tie are settled by the order of the
+readings, so reruns agree; repeated rows get one and the same score; an empty table gives no
+rows; extra columns of any name travel inside `row`. Repeated labels of a document count once,
+toxic if any says so; labels without a document, null labels and null ids teach nothing; without
+toxic labels every text gets the score of a text without any term.
 """
 
 from __future__ import annotations
@@ -122,33 +129,60 @@ LEET = {
     "£": "l",
 }
 MASKS = "*#"
+VOWELS = "aeiou"
 LEET_COST, MASK_COST, DROP_COST, KEEP_COST, REPEAT_COST = -1.5, -4.0, -1.5, -6.0, -1.0
-SPACE_COST = -1.0
+#: Writing a letter twice that stands once, a blank kept between single characters, a blank
+#: dropped between pieces, and one digit of a number.
+DOUBLE_COST, SPACE_COST, JOIN_COST, DIGIT_COST = -4.0, -1.0, -4.0, -math.log(10)
+#: A piece whose letters are on average less likely than one of ten is not expected to be a word.
+EXPECTED = -math.log(10)
+
+#: Longer runs of digits are no words.
+LONGEST_NUMBER = 12
 
 _LETTERS = string.ascii_lowercase
 _EDGE = "".join(c for c in string.punctuation if c not in "$@")
 _RUNS = re.compile(r"(.)\1*", re.DOTALL)
 _TAIL = re.compile(r"([^\w\s])\1{2,}$")
-_REPEATED = re.compile(r"([^\W\d_])\1\1")
-#: Three or more single characters, each between blanks.
-_SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
+_REPEATED = re.compile(r"([^\W\d_])\1")
+_TRIPLE = re.compile(r"([^\W\d_])\1\1")
+#: Three or more single characters, each between blanks or line ends.
+_SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
+#: Two or more pieces of few letters.
+_PIECES = re.compile(r"(?<!\S)[^\W\d_]{1,4}(?:\s+[^\W\d_]{1,4})+(?!\S)")
+_WORDS = re.compile(r"[^\W\d_]+")
 
 
 def readings(run: str) -> list[tuple[str, float]]:
     """What a run of one character can stand for, with log probabilities of the channel."""
     char, length = run[0], len(run)
     if char.isalpha():
-        if length < 3:
+        if length == 1:
             return [(run, 0.0)]
+        if length == 2:
+            return [(run, 0.0), (char, DOUBLE_COST)]
         return [(char, REPEAT_COST), (char * 2, REPEAT_COST)]
     out = [("", DROP_COST), (run, KEEP_COST)] if not char.isdigit() else [(run, KEEP_COST)]
-    for letter in LEET.get(char, ""):
-        out += [(letter * k, LEET_COST) for k in (1, 2) if k <= length]
+    out += signs_for(run)
     if char in MASKS:
         out += [(letter, MASK_COST) for letter in _LETTERS]
+    elif char in LEET and char not in "123456789":
+        out += [(letter, MASK_COST) for letter in VOWELS]
     return out
 
 
+def signs_for(run: str) -> list[tuple[str, float]]:
+    """Letters that a run of one sign commonly stands for; of two signs rather two letters."""
+    once = LEET_COST + (DOUBLE_COST if len(run) == 2 else 0.0)
+    out = [(letter, once) for letter in LEET.get(run[0], "")]
+    return out + [(letter * 2, LEET_COST) for letter in LEET.get(run[0], "") if len(run) > 1]
+
+
+def letters_for(token: str) -> list[list[tuple[str, float]]]:
+    """The lattice of a token whose signs all stand for letters."""
+    return [signs_for(m.group()) for m in _RUNS.finditer(token)]
+
+
 class Decoder:
     """Restores words; remembers what it has restored, up to a bounded number of tokens."""
 
@@ -157,12 +191,15 @@ class Decoder:
     def __init__(self, model: np.ndarray):
         self.model = array("f", model.tobytes())
         self.known: dict[str, tuple[str, ...]] = {}
+        self.pieces: dict[str, bool] = {}
 
-    def viterbi(self, lattice: list[list[tuple[str, float]]]) -> str:
+    def best(self, lattice: list[list[tuple[str, float]]]) -> tuple[float, str]:
+        """The likeliest path through a lattice, with its log probability."""
         model = self.model
-        states: dict[int, tuple[float, str]] = {0: (0.0, "")}
+        # A path is a chain of its last piece and the path before.
+        states: dict[int, tuple[float, tuple]] = {0: (0.0, ())}
         for options in lattice:
-            after: dict[int, tuple[float, str]] = {}
+            after: dict[int, tuple[float, tuple]] = {}
             for context, (score, path) in states.items():
                 for out, cost in options:
                     now, s = context, score + cost
@@ -171,29 +208,83 @@ class Decoder:
                         s += model[now * SYMBOLS + k]
                         now = (now * SYMBOLS + k) % _CONTEXTS if k else 0
                     if now not in after or s > after[now][0]:
-                        after[now] = (s, path + out)
+                        after[now] = (s, (out, path))
             states = after
-        return max((s + model[c * SYMBOLS], path) for c, (s, path) in states.items())[1]
+        total, path = max(((s + model[c * SYMBOLS], path) for c, (s, path) in states.items()), key=lambda x: x[0])
+        pieces = []
+        while path:
+            piece, path = path
+            pieces.append(piece)
+        return total, "".join(reversed(pieces))
+
+    def viterbi(self, lattice: list[list[tuple[str, float]]]) -> str:
+        return self.best(lattice)[1]
 
     def word(self, token: str) -> tuple[str, ...]:
-        """The words that a lower-case token stands for."""
+        """The words that a lower-case token stands for; one with double letters also as it stands."""
+        found = self.read(token)
+        plain = token.strip(_EDGE)
+        if found and plain.isalpha() and found[0] != plain and not _TRIPLE.search(plain):
+            return (*found, plain)
+        return found
+
+    def read(self, token: str) -> tuple[str, ...]:
+        """The likeliest words of a lower-case token."""
         found = self.known.get(token)
         if found is None:
             if len(self.known) >= self.REMEMBER:
                 self.known.clear()
-            found = self.known[token] = self._word(token)
+            found = self.known[token] = self._read(token)
         return found
 
-    def _word(self, token: str) -> tuple[str, ...]:
+    def _read(self, token: str) -> tuple[str, ...]:
         if token.isalpha() and not _REPEATED.search(token):
             return (token,)
         core = _TAIL.sub("", token).lstrip(_EDGE).rstrip(_EDGE + "@")
         if core.isalpha() and not _REPEATED.search(core):
             return (core,)
         if not any(c.isalpha() for c in core):
-            return ()
+            return self._signs(token)
         lattice = [readings(m.group()) for m in _RUNS.finditer(core)]
-        return tuple(re.findall(r"[^\W\d_]+", self.viterbi(lattice)))
+        return tuple(_WORDS.findall(self.viterbi(lattice)))
+
+    def _signs(self, token: str) -> tuple[str, ...]:
+        """The word in a token without letters, if its signs can be one."""
+        if len(token) < 3 or len(set(token)) < 2 or not all(c in LEET for c in token):
+            return ()
+        signs = sum(not c.isdigit() for c in token)
+        if signs >= 2:
+            return (self.viterbi(letters_for(token)),)
+        if signs or len(token) > LONGEST_NUMBER:
+            return ()
+        score, word = self.best(letters_for(token))
+        return (word,) if score > len(token) * DIGIT_COST else ()
+
+    def expected(self, piece: str) -> bool:
+        """Whether the model takes a piece for a word of its own."""
+        found = self.pieces.get(piece)
+        if found is None:
+            if len(self.pieces) >= self.REMEMBER:
+                self.pieces.clear()
+            found = self.pieces[piece] = self.best([[(piece, 0.0)]])[0] > (len(piece) + 1) * EXPECTED
+        return found
+
+    def joined(self, run: str) -> tuple[str, ...]:
+        """Words that short pieces are parts of; none if all pieces may be words."""
+        pieces = run.split()
+        if all(len(p) == 1 for p in pieces) or all(self.expected(p) for p in pieces):
+            return ()
+        own = set(pieces)
+        return tuple(w for w in self.pieced(pieces).split() if w not in own)
+
+    def pieced(self, pieces: list[str]) -> str:
+        """Pieces with the likeliest blanks between them."""
+        lattice: list[list[tuple[str, float]]] = []
+        for piece in pieces:
+            if lattice:
+                lattice.append([(" ", 0.0), ("", JOIN_COST)])
+            lattice.append([(piece, 0.0)])
+        return self.viterbi(lattice)
 
     def spaced(self, run: str) -> tuple[str, ...]:
         """Words set in single characters; the path decides where one word ends."""
@@ -205,7 +296,14 @@ class Decoder:
             if lattice:
                 lattice.append([("", 0.0), (" ", SPACE_COST)])
             lattice.append(readings(char))
-        return tuple(re.findall(r"[^\W\d_]+", self.viterbi(lattice)))
+        return tuple(_WORDS.findall(self.viterbi(lattice)))
+
+    def apart(self, text: str) -> Iterator[tuple[str, ...]]:
+        """Words of a lower-case text that are set apart by blanks, run by run."""
+        for run in _SPACED.findall(text):
+            yield self.spaced(run)
+        for run in _PIECES.findall(text):
+            yield self.joined(run)
 
     def words(self, text: str) -> set[str]:
         """The distinct words of the restored text."""
@@ -213,21 +311,25 @@ class Decoder:
         out: set[str] = set()
         for token in set(text.split()):
             out.update(self.word(token))
-        for run in _SPACED.findall(text):
-            out.update(self.spaced(run))
+        for found in self.apart(text):
+            out.update(found)
         return out
 
+    def _rejoined(self, run: str) -> str:
+        """A run of pieces with those that make a word put together."""
+        return self.pieced(run.split()) if self.joined(run) else run
+
     def restore(self, text: str) -> str:
         """The text with every restored token in its place."""
         text = _SPACED.sub(lambda m: " ".join(self.spaced(m.group())) or m.group(), text.lower())
-        return re.sub(r"\S+", lambda m: " ".join(self.word(m.group())) or m.group(), text)
+        text = _PIECES.sub(lambda m: self._rejoined(m.group()), text)
+        return re.sub(r"\S+", lambda m: " ".join(self.read(m.group())) or m.group(), text)
 
 
 # ---- terms -------------------------------------------------------------------------------
 
 SAMPLE_TOXIC = 2000
 SAMPLE_CLEAN = 4000
-MOST_TERMS = 4096
 PREFIXES = range(3, 9)
 SAMPLE_FIT = 20_000
 LEAST_PRECISION = 0.8
@@ -278,8 +380,7 @@ def learn_terms(toxic: list[str], clean: list[str], decoder: Decoder) -> dict[st
     # So many toxic texts in a row are expected for less than one term of `often` by chance.
     support = math.log(max(2, 2 * len(held))) / -math.log(min(share, 0.5))
     good = {t: n for t, n in often.items() if n / (n + other[t]) >= LEAST_PRECISION}
-    kept = sorted(good, key=lambda t: (-good[t], t))[:MOST_TERMS]
-    return {t: good[t] >= support for t in kept}
+    return {t: good[t] >= support for t in sorted(good, key=lambda t: (-good[t], t))}
 
 
 # ---- documents ---------------------------------------------------------------------------
@@ -314,8 +415,8 @@ class Matcher:
                 found = known[token] = self.chains(self.decoder.word(token))
             for chain in found:
                 hits[chain] += n
-        for run in _SPACED.findall(text):
-            for chain in self.chains(self.decoder.spaced(run)):
+        for found in self.decoder.apart(text):
+            for chain in self.chains(found):
                 hits[chain] += 1
         return len(tokens), [{"terms": list(c), "n": n} for c, n in sorted(hits.items())]
 
@@ -396,11 +497,20 @@ def score(
         strength = -math.log(1 - (toxic + 1) / (rows + 2))
         weak = not terms[names[term]] or toxic < LEAST_PRECISION * rows
         power[int(weak), term] = strength
+    strengths = spark.sparkContext.broadcast(power)
+
+    def facts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens, hits = batch.column("n_tokens").to_pylist(), batch.column("hits").to_pylist()
+            facts = [evidence(n, h, strengths.value) for n, h in zip(tokens, hits)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(facts, pa.list_(pa.float64())), batch.column("label")], names=["facts", "label"]
+            )
+
     sample = known.orderBy(F.xxhash64(F.lit("fit"), "doc")).limit(SAMPLE_FIT)
-    rows = sample.select("n_tokens", "hits", "label").collect()
-    weights = spark.sparkContext.broadcast(
-        (power, fit([evidence(r.n_tokens, r.hits, power) for r in rows], [r.label for r in rows]))
-    )
+    rows = sample.select("n_tokens", "hits", "label").mapInArrow(facts_of, "facts array<double>, label int")
+    rows = rows.collect()
+    weights = spark.sparkContext.broadcast((power, fit([r.facts for r in rows], [r.label for r in rows])))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         power, model = weights.value
