@@ -140,11 +140,15 @@ EXPECTED = -math.log(10)
 #: Longer runs of digits are no words.
 LONGEST_NUMBER = 12
 
+#: Longer runs of pieces are decoded each time they are met.
+REMEMBERED_RUN = 32
+
 _LETTERS = string.ascii_lowercase
 _EDGE = "".join(c for c in string.punctuation if c not in "$@")
 _RUNS = re.compile(r"(.)\1*", re.DOTALL)
 _TAIL = re.compile(r"([^\w\s])\1{2,}$")
 _REPEATED = re.compile(r"([^\W\d_])\1")
+_DOUBLED = re.compile(r"([^\W\d_])\1+")
 _TRIPLE = re.compile(r"([^\W\d_])\1\1")
 #: Three or more single characters, each between blanks or line ends.
 _SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
@@ -192,6 +196,8 @@ class Decoder:
         self.model = array("f", model.tobytes())
         self.known: dict[str, tuple[str, ...]] = {}
         self.pieces: dict[str, bool] = {}
+        self.runs: dict[str, tuple[str, ...]] = {}
+        self.steps: dict[tuple[int, str], tuple[float, int]] = {}
 
     def best(self, lattice: list[list[tuple[str, float]]]) -> tuple[float, str]:
         """The likeliest path through a lattice, with its log probability."""
@@ -245,9 +251,31 @@ class Decoder:
             return (core,)
         if not any(c.isalpha() for c in core):
             return self._signs(token)
+        if core.isalpha() and len(doubled := list(_DOUBLED.finditer(core))) == 1 and len(doubled[0].group()) == 2:
+            return (self._one_double(core, doubled[0].start() + 1),)
         lattice = [readings(m.group()) for m in _RUNS.finditer(core)]
         return tuple(_WORDS.findall(self.viterbi(lattice)))
 
+    def _one_double(self, word: str, at: int) -> str:
+        """A word whose only doubled letter ends at a place, with or without it.
+
+        The two paths through its lattice differ around that place only: contexts have three letters.
+        """
+        model, start = self.model, 0
+        for char in word[max(0, at - ORDER + 1) : at]:
+            start = start * SYMBOLS + symbol(char)
+        after = [symbol(c) for c in word[at + 1 : at + ORDER]]
+        if len(after) < ORDER - 1:
+            after.append(0)
+        odds = []
+        for codes in ([symbol(word[at]), *after], after):
+            s, now = 0.0, start
+            for k in codes:
+                s += model[now * SYMBOLS + k]
+                now = (now * SYMBOLS + k) % _CONTEXTS
+            odds.append(s)
+        return word if odds[0] >= odds[1] + DOUBLE_COST else word[:at] + word[at + 1 :]
+
     def _signs(self, token: str) -> tuple[str, ...]:
         """The word in a token without letters, if its signs can be one."""
         if len(token) < 3 or len(set(token)) < 2 or not all(c in LEET for c in token):
@@ -277,14 +305,45 @@ class Decoder:
         own = set(pieces)
         return tuple(w for w in self.pieced(pieces).split() if w not in own)
 
+    def step(self, context: int, piece: str) -> tuple[float, int]:
+        """Log probability of a piece after a context, and the context after it."""
+        key = (context, piece)
+        found = self.steps.get(key)
+        if found is None:
+            if len(self.steps) >= self.REMEMBER:
+                self.steps.clear()
+            s, now = 0.0, context
+            for char in piece:
+                k = symbol(char)
+                s += self.model[now * SYMBOLS + k]
+                now = (now * SYMBOLS + k) % _CONTEXTS if k else 0
+            found = self.steps[key] = (s, now)
+        return found
+
     def pieced(self, pieces: list[str]) -> str:
-        """Pieces with the likeliest blanks between them."""
-        lattice: list[list[tuple[str, float]]] = []
-        for piece in pieces:
-            if lattice:
-                lattice.append([(" ", 0.0), ("", JOIN_COST)])
-            lattice.append([(piece, 0.0)])
-        return self.viterbi(lattice)
+        """Pieces with the likeliest blanks between them: Viterbi with remembered steps."""
+        model, step = self.model, self.step
+        s, now = step(0, pieces[0])
+        states: dict[int, tuple[float, tuple]] = {now: (s, (pieces[0], ()))}
+        for piece in pieces[1:]:
+            after: dict[int, tuple[float, tuple]] = {}
+            score, path = max(
+                ((s + model[c * SYMBOLS], path) for c, (s, path) in states.items()), key=lambda x: x[0]
+            )
+            s, now = step(0, piece)
+            after[now] = (score + s, (" " + piece, path))
+            for context, (score, path) in states.items():
+                s, now = step(context, piece)
+                s += score + JOIN_COST
+                if now not in after or s > after[now][0]:
+                    after[now] = (s, (piece, path))
+            states = after
+        path = max(((s + model[c * SYMBOLS], path) for c, (s, path) in states.items()), key=lambda x: x[0])[1]
+        out = []
+        while path:
+            piece, path = path
+            out.append(piece)
+        return "".join(reversed(out))
 
     def spaced(self, run: str) -> tuple[str, ...]:
         """Words set in single characters; the path decides where one word ends."""
@@ -303,7 +362,15 @@ class Decoder:
         for run in _SPACED.findall(text):
             yield self.spaced(run)
         for run in _PIECES.findall(text):
-            yield self.joined(run)
+            found = self.runs.get(run)
+            if found is None:
+                found = self.joined(run)
+                if len(run) <= REMEMBERED_RUN:
+                    if len(self.runs) >= self.REMEMBER:
+                        self.runs.clear()
+                    self.runs[run] = found
+            if found:
+                yield found
 
     def words(self, text: str) -> set[str]:
         """The distinct words of the restored text."""
