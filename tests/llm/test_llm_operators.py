@@ -52,6 +52,25 @@ def test_components_of_chains_and_stars(spark):
     assert found == {**{i: 0 for i in range(1, 41)}, **{i: 100 for i in range(101, 160)}, 300: 299}
 
 
+def test_stars_of_their_smallest_node_need_no_round(spark, monkeypatch):
+    tables_written, plain = [], common.stored
+    monkeypatch.setattr(common, "stored", lambda df: tables_written.append(1) or plain(df))
+    df = spark.createDataFrame([(100, i) for i in range(101, 160)] + [(8, 7), (5, 5)], "a bigint, b bigint")
+    found = {r.node: r.component for r in components(df).collect()}
+    assert found == {**{i: 100 for i in range(101, 160)}, 8: 7}
+    assert len(tables_written) == 1
+
+
+def test_a_row_leaves_a_hot_join_once(spark):
+    rows = spark.createDataFrame([(i % 7 if i < 900 else 50 + i, i) for i in range(1000)], "key bigint, at bigint")
+    table = rows.groupBy("key").agg(F.count("*").alias("n"), F.max("at").alias("last"))
+    found = common.hot_join(rows, table.where("key <> 3"), "key", "n", 100_000)
+    plain = rows.join(table.where("key <> 3"), "key")
+    assert sorted(map(tuple, found.select(*plain.columns).collect())) == sorted(map(tuple, plain.collect()))
+    # an outer join in front of both parts would put every row out twice
+    assert "LeftOuter" not in found._jdf.queryExecution().toString()
+
+
 def hidden(word, how, rng):
     leet = {"i": "1", "o": "0", "e": "3", "a": "4", "s": "$", "t": "7"}
     if how == "leet":

@@ -34,6 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import broadcast_if_small
 from .common import components, hot_join, of_keys, stored, within, written
 from .words import BLANK_WORDS, Words, gram_starts, mix, range_hashes, slices
 
@@ -393,17 +394,23 @@ def linked(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     )
 
 
-def in_classes(rows: DataFrame, classes: DataFrame | None) -> DataFrame:
+def in_classes(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """Rows with the class of their key; a key without links is its own class."""
-    if classes is None:
-        return rows.withColumn("class", F.col("key"))
     named = classes.select(F.col("node").alias("key"), F.col("component"))
     return rows.join(named, "key", "left").select(
         *rows.columns, F.coalesce("component", "key").alias("class")
     )
 
 
-def mixed_lists(short: DataFrame, classes: DataFrame | None) -> DataFrame:
+def joined_classes(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component) of `classes` after links (a, b) between the classes, few beside the nodes."""
+    larger = components(links)
+    named = larger.select(F.col("node").alias("component"), F.col("component").alias("_larger"))
+    moved = classes.join(broadcast_if_small(named), "component", "left").select("node", F.coalesce("_larger", "component").alias("component"))
+    return stored(moved.union(larger))
+
+
+def mixed_lists(short: DataFrame, classes: DataFrame) -> DataFrame:
     """Short postings (a written table), with class, of lists that hold more than one class."""
     rows = in_classes(short, classes)
     mixed = rows.groupBy("shingle").agg(
@@ -413,17 +420,15 @@ def mixed_lists(short: DataFrame, classes: DataFrame | None) -> DataFrame:
     return hot_join(rows, mixed, "shingle", "times", short.count()).select(*rows.columns)
 
 
-def pivot_pairs(rows: DataFrame) -> DataFrame:
+def pivot_pairs(short: DataFrame) -> DataFrame:
     """For each set the pivot, a list's most central set, that it meets most often."""
-    pivots = rows.groupBy("shingle").agg(
-        F.max_by(F.struct(F.col("key").alias("pivot"), F.col("class").alias("of")), F.struct("weight", "key")).alias("p"),
-        F.count("*").alias("times"),
+    pivots = short.groupBy("shingle").agg(
+        F.max_by("key", F.struct("weight", "key")).alias("pivot"), F.count("*").alias("times")
     )
     return (
-        hot_join(rows, stored(pivots), "shingle", "times", rows.count())
-        .drop("times")
-        .where(F.col("class") != F.col("p.of"))
-        .groupBy("key", F.col("p.pivot").alias("pivot"))
+        hot_join(short, stored(pivots.where("times > 1")), "shingle", "times", short.count())
+        .where("key <> pivot")
+        .groupBy("key", "pivot")
         .agg(F.count("*").alias("times"))
         .groupBy("key")
         .agg(F.max_by("pivot", F.struct("times", "pivot")).alias("pivot"))
@@ -467,7 +472,7 @@ def cells(rows: DataFrame, whole: DataFrame, block: int) -> DataFrame:
 
 
 def search(cell: pa.Table) -> pa.Table:
-    """Links between the queries and the members of a cell, as a forest, by DivideSkip."""
+    """Links between the classes of queries and of members of a cell, as a forest, by DivideSkip."""
     keys = cell.column("key").to_numpy()
     lists = cell.column("shingles").combine_chunks()
     sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -514,7 +519,7 @@ def search(cell: pa.Table) -> pa.Table:
             x, y = root(classes[q].item()), root(classes[m].item())
             if x != y:
                 parent[max(x, y)] = min(x, y)
-                links.append((int(keys[q]), int(keys[m])))
+                links.append((x, y))
     a, b = zip(*links) if links else ((), ())
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
@@ -541,10 +546,10 @@ def classes_of(
     kept = enough(counts, required)
     whole = written(of_keys(whole, kept, "key").dropDuplicates(["key"]), "kept")
     short = short_lists(listed(all_shingles(whole, frequent, buckets), frequent, parts, buckets, False))
-    links = stored(linked(pivot_pairs(stored(mixed_lists(short, None))), whole))
-    rest = stored(mixed_lists(short, components(links)))
+    classes = components(linked(pivot_pairs(short), whole))
+    rest = stored(mixed_lists(short, classes))
     cell = cells(rest, whole, block).groupBy("group", "i", "j")
-    classes = components(links.union(stored(cell.applyInArrow(search, "a bigint, b bigint"))))
+    classes = joined_classes(classes, cell.applyInArrow(search, "a bigint, b bigint"))
     rows = in_classes(base.where("kind = 0").select("doc", "text_key", "key", "n"), classes)
     lowest = rows.where("n > 0").groupBy("class").agg(F.min("doc").alias("least"))
     return rows.join(lowest, "class", "left").select(
