@@ -1,5 +1,6 @@
 """Marts that follow late, corrected and removed candles equal one full run."""
 
+import threading
 from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
@@ -11,7 +12,8 @@ from test_marts import assert_same
 
 from wickwork.config import Settings
 from wickwork.operators.chunks import Halo
-from wickwork.plans import refresh
+from wickwork.plans import refresh, weekly
+from wickwork.plans.days import DayIndex
 from wickwork.plans.weekly import Lake, run_increment, store_silver
 from wickwork.session import pinned
 from wickwork.sources import tables
@@ -105,6 +107,30 @@ def test_a_killed_refresh_goes_on(spark, candles, whole, tmp_path, monkeypatch):
     assert sum(windows[count:], []) == sum(finished, []) + sum(again, [])
 
 
+def test_small_windows_are_made_side_by_side(spark, candles, whole, tmp_path, monkeypatch):
+    lake, plain = Lake(str(tmp_path / "c")), DayIndex._recount
+    store_silver(spark, lake, candles)
+    counted, threads, make = [], set(), weekly._mart
+    monkeypatch.setattr(DayIndex, "_recount", lambda self, days: counted.append(len(days)) or plain(self, days))
+    monkeypatch.setattr(weekly, "_mart", lambda *a: threads.add(threading.get_ident()) or make(*a))
+    settings = Settings(chunk_rows=1600, late_rows=True, window_rows=2000)
+    run_increment(spark, lake, settings, AS_OF, full_refresh=True)
+    run_increment(spark, lake, settings, AS_OF, full_refresh=True)
+    # the days of all windows of a mart are counted at once
+    assert len(counted) <= 2 and len(threads) > 1
+    same_marts(spark, lake, whole)
+
+
+def test_groups_of_windows_are_bounded(monkeypatch):
+    days = [START.date() + timedelta(days=d) for d in range(30)]
+    cut = [([d], 10) for d in days]
+    assert [len(g) for g in refresh.together(cut)] == [8, 8, 8, 6]
+    monkeypatch.setattr(refresh, "ROWS_AT_ONCE", 25)
+    assert [len(g) for g in refresh.together(cut)] == [2] * 15
+    assert refresh.together([([d], 30) for d in days]) == [[[d]] for d in days]
+    assert refresh.together([]) == []
+
+
 def test_reach_of_a_change_in_days(spark):
     """Twenty rows a day; a frame of 45 rows reaches three days, one of 15 ahead the day before."""
     schema = "series_id string, ts_date date, rows bigint, digest decimal(38,0)"

@@ -7,12 +7,15 @@ series by series; all others keep their files.
 
 The dirty days are written down first and crossed out window by window, each window a run of
 days with a bounded number of rows. This list is the ledger of a refresh: one that was killed
-goes on where it stood, and windows that are done are not read again.
+goes on where it stood, and windows that are done are not read again. Small windows are made
+a few at a time, each by a plan of its own, while earlier ones are written, one by one and in
+order; their days are counted together.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
@@ -27,6 +30,9 @@ from .days import DayIndex
 
 ONE_DAY = ["series_id", DAY]
 
+# Windows that are made while others are written: so many, of so many rows in all.
+AT_ONCE, ROWS_AT_ONCE = 4, 2_000_000
+
 
 def _reach(days: DataFrame, rows: str, marked: str, back: int, ahead: int) -> DataFrame:
     """Marked days, days that begin within `back` rows behind one, or end within `ahead` before one.
@@ -79,12 +85,15 @@ def dirty_days(stored: DataFrame, made_of: DataFrame | None, mart: DataFrame | N
 
 
 def days_needed(stored: DataFrame, dirty: DataFrame, halo: Halo) -> DataFrame:
-    """(series_id, ts_date) of silver that the dirty days' frames touch."""
+    """(series_id, ts_date, rows) of silver that the dirty days' frames touch.
+
+    If ``stored`` lacks days that none of the frames touch, it may be more days, never fewer.
+    """
     marks = dirty.select(*ONE_DAY, F.lit(0).cast("bigint").alias("rows"), F.lit(True).alias("wanted"))
     own = stored.where(F.col(DAY).isNotNull()).select(*ONE_DAY, "rows", F.lit(False).alias("wanted"))
     days = own.unionByName(marks).groupBy(*ONE_DAY).agg(F.sum("rows").alias("rows"), F.max("wanted").alias("wanted"))
     # a row needs what lies before it: the roles of both directions are exchanged
-    return _reach(days, "rows", "wanted", halo.ahead, halo.back).where("rows > 0").select(*ONE_DAY)
+    return _reach(days, "rows", "wanted", halo.ahead, halo.back).where("rows > 0").select(*ONE_DAY, "rows")
 
 
 def _named(days: DataFrame) -> DataFrame:
@@ -160,16 +169,27 @@ class MartState:
         tables.remove(self.spark, self._folder("refresh"))
 
 
-def windows(dirty: DataFrame, most_rows: int) -> list[list[date]]:
-    """The dirty days in order, cut into runs of at most so many rows or one day."""
-    out: list[list[date]] = []
-    held = 0
+def windows(dirty: DataFrame, most_rows: int) -> list[tuple[list[date], int]]:
+    """The dirty days in order, cut into runs of at most so many rows or one day, and their rows."""
+    out: list[tuple[list[date], int]] = []
     # one row per day of the calendar
     for day, rows in sorted(dirty.groupBy(DAY).agg(F.sum("rows")).collect()):
-        if not out or held + rows > most_rows:
+        if out and out[-1][1] + rows <= most_rows:
+            out[-1] = [*out[-1][0], day], out[-1][1] + rows
+        else:
+            out.append(([day], rows))
+    return out
+
+
+def together(cut: list[tuple[list[date], int]]) -> list[list[list[date]]]:
+    """Windows in order, as groups that are small enough to be made side by side."""
+    out: list[list[list[date]]] = []
+    held = 0
+    for days, rows in cut:
+        if not out or held + rows > ROWS_AT_ONCE or len(out[-1]) == 2 * AT_ONCE:
             out.append([])
             held = 0
-        out[-1].append(day)
+        out[-1].append(days)
         held += rows
     return out
 
@@ -193,28 +213,42 @@ def bring_up_to_date(
     own = None if counts is None else counts.where(F.col("version_id") == state.version)
     dirty = state.plan(stored, own, halo, everything)
     cut = windows(dirty, window_rows)
-    for days in cut:
-        wanted = pinned(dirty.where(F.col(DAY).isin(days)).select(*ONE_DAY))
-        needed = pinned(days_needed(stored, wanted, halo))
-        read = sorted(r[0] for r in needed.select(DAY).distinct().collect())
-        candles = spark.read.parquet(silver_path).where(F.col(DAY).isin(read))
-        candles = candles.join(broadcast_if_small(_named(needed)), _on(F.col(DAY)), "left_semi").drop(DAY)
-        marks = broadcast_if_small(_named(wanted))
-        rows = make(candles).join(marks, _on(F.to_date("ts")), "left_semi")
-        if tables.table_exists(spark, state.rows):
-            # dynamic overwrite stages the files, so the days may be read and replaced in one plan
-            kept = spark.read.parquet(state.rows).where(F.col(DAY).isin(days))
-            kept = kept.join(marks, _on(F.col(DAY)), "left_anti")
-            rows = rows.unionByName(kept.select(*rows.columns))
-
-        def write(rows=rows, days=days) -> None:
-            rows = pinned(rows)
-            present = set(tables.days_of(rows))
-            tables.overwrite_days(rows, state.rows)
-            for day in set(days) - present:
-                tables.remove(spark, f"{state.rows}/{DAY}={day:%Y-%m-%d}")
-
-        index.update(days, write)
-        state.done(days)
+    for group in together(cut):
+        listed = [day for days in group for day in days]
+        near = pinned(days_needed(stored, dirty.where(F.col(DAY).isin(listed)), halo))
+        silver = spark.read.parquet(silver_path)
+        # Listed before the group writes: a window reads its own days only, which no other replaces.
+        old = spark.read.parquet(state.rows) if tables.table_exists(spark, state.rows) else None
+
+        def made(days, near=near, silver=silver, old=old) -> DataFrame:
+            wanted = dirty.where(F.col(DAY).isin(days)).select(*ONE_DAY)
+            needed = pinned(days_needed(near, wanted, halo))
+            read = sorted(r[0] for r in needed.select(DAY).distinct().collect())
+            candles = silver.where(F.col(DAY).isin(read))
+            candles = candles.join(broadcast_if_small(_named(needed)), _on(F.col(DAY)), "left_semi").drop(DAY)
+            marks = broadcast_if_small(_named(wanted))
+            rows = make(candles).join(marks, _on(F.to_date("ts")), "left_semi")
+            if old is not None:
+                kept = old.where(F.col(DAY).isin(days)).join(marks, _on(F.col(DAY)), "left_anti")
+                rows = rows.unionByName(kept.select(*rows.columns))
+            return pinned(rows)
+
+        def write(group=group, made=made) -> None:
+            with ThreadPoolExecutor(AT_ONCE) as pool:
+                found = [pool.submit(made, days) for days in group]
+                try:
+                    for days, rows in zip(group, found):
+                        rows = rows.result()
+                        present = set(tables.days_of(rows))
+                        tables.overwrite_days(rows, state.rows)
+                        for day in set(days) - present:
+                            tables.remove(spark, f"{state.rows}/{DAY}={day:%Y-%m-%d}")
+                        state.done(days)
+                finally:
+                    for rest in found:
+                        rest.cancel()
+
+        # One that is broken off is counted again by the next reader, so its windows may be done before.
+        index.update(listed, write)
     state.finished()
     return len(cut)
